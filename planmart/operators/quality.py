@@ -104,7 +104,7 @@ def clean_costs(costs: DataFrame) -> DataFrame:
     return costs.where(passes(cost_rule_predicate()))
 
 
-def _funnel_rows(counts: DataFrame, rules: list[tuple[int, str]]) -> DataFrame:
+def funnel_rows(counts: DataFrame, rules: list[tuple[int, str]]) -> DataFrame:
     """Turn one row of ``total`` + ``r<k>`` counts into rule_no/rule/rejected/remaining."""
     args = ", ".join(f"{no}, '{name}', r{no}" for no, name in rules)
     long = counts.select(
@@ -128,10 +128,14 @@ def plan_funnel_counts() -> list[Column]:
     return exprs
 
 
+def plan_funnel_from_flagged(flagged: DataFrame) -> DataFrame:
+    """Funnel rows from ``flag_plans`` output (one small aggregate)."""
+    return funnel_rows(flagged.agg(*plan_funnel_counts()), PLAN_RULES)
+
+
 def plan_funnel(plans: DataFrame) -> DataFrame:
     """Rows rejected by each plan rule (first failed rule) and rows remaining."""
-    counts = flag_plans(plans).agg(*plan_funnel_counts())
-    return _funnel_rows(counts, PLAN_RULES)
+    return plan_funnel_from_flagged(flag_plans(plans))
 
 
 def cost_funnel(costs: DataFrame) -> DataFrame:
@@ -140,7 +144,7 @@ def cost_funnel(costs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.count_if(~passes(cost_rule_predicate())).alias(f"r{COST_RULE[0]}"),
     )
-    return _funnel_rows(counts, [COST_RULE])
+    return funnel_rows(counts, [COST_RULE])
 
 
 def observe_plan_funnel(flagged: DataFrame, name: str = "plan_funnel") -> tuple[DataFrame, Observation]:

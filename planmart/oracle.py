@@ -412,4 +412,13 @@ FROM f3 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel) t WHERE pct_
 FROM p1 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel""")
     q["panel_state_scatter"] = _panel_sql(f"""SELECT statecode, {_mean_double('avg_individual_deductible', 2)} AS deductible,
   {_mean_double('avg_individual_oop_max', 2)} AS oop, CAST(sum(num_plans) AS BIGINT) AS plans FROM p1 GROUP BY statecode""")
+    plan_cols = ", ".join(PLAN_COLUMNS)
+    q["io_snapshot_roundtrip"] = _with(SOURCES) + (
+        f"SELECT {plan_cols}, '{DEFAULT_SNAPSHOT}' AS snapshot_date FROM plans UNION ALL "
+        f"SELECT {plan_cols}, '2024-01-16' AS snapshot_date FROM plans")
+    q["io_catalog_table"] = _with(SOURCES, CLEAN, SILVER) + (
+        f"SELECT {silver_cols}, '{DEFAULT_SNAPSHOT}' AS snapshot_date FROM silver")
+    q["io_csv_source"] = _with(SOURCES) + f"SELECT {plan_cols} FROM plans"
+    q["io_pipeline_dm1"] = q["dm1_affordability"]
+    q["io_pipeline_silver"] = q["silver_enriched"]
     return q

@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators.enrich import build_silver, join_plans_costs
+from ..schemas import DM1_TABLE, PLANS_SCHEMA, SILVER_SCHEMA, with_snapshot
+from ..session import work_path
+from ..sources.catalog import read_table, register_external_table
+from ..sources.csv import read_csv_source, write_csv_source
 from ..sources.fixtures import FIXTURE_BENEFIT_CATEGORIES, fixture_costs, fixture_plans
+from ..sources.snapshots import read_snapshot, snapshot_path, write_snapshot
+from . import pipeline as PL
 from . import panels as P
 from . import reports as R
 from . import serving as S
@@ -65,6 +71,54 @@ def _mart_volumes(spark, sf):
     return M.mart_volumes(*_marts(spark, sf))
 
 
+RUN_DATE, NEXT_DATE = M.DEFAULT_SNAPSHOT, "2024-01-16"
+
+
+def io_snapshot_roundtrip(spark, sf):
+    """Write two dates, rewrite the first; both dates read back whole."""
+    root = work_path(spark, "bronze")
+    src = plans(spark, sf)
+    for d in (RUN_DATE, NEXT_DATE, RUN_DATE):
+        write_snapshot(src, root, "plans", d)
+    parts = [read_snapshot(spark, root, "plans", PLANS_SCHEMA, d, keep_label=True) for d in (RUN_DATE, NEXT_DATE)]
+    return parts[0].unionByName(parts[1])
+
+
+def io_catalog_table(spark, sf):
+    """Silver written as a dated partition, read back through the catalog."""
+    root = work_path(spark, "silver")
+    write_snapshot(silver(spark, sf), root, PL.SILVER_TABLE, RUN_DATE)
+    name = register_external_table(spark, "planmart_silver", PL.SILVER_TABLE, snapshot_path(root, PL.SILVER_TABLE),
+                                   with_snapshot(SILVER_SCHEMA), ["snapshot_date"],
+                                   database_location=f"{root}/catalog.db")
+    return read_table(spark, name).where("snapshot_date = '%s'" % RUN_DATE)
+
+
+def io_csv_source(spark, sf):
+    """S3: plans landed as headered CSV and read back with the explicit schema."""
+    path = work_path(spark, "plans_csv")
+    write_csv_source(plans(spark, sf), path)
+    return read_csv_source(spark, path, PLANS_SCHEMA)
+
+
+def _pipeline(spark, sf):
+    lake = work_path(spark, "lake")
+    PL.run(spark, plans(spark, sf), costs(spark, sf), lake, RUN_DATE, catalog_db="planmart_lake")
+    return lake
+
+
+def io_pipeline_dm1(spark, sf):
+    """E1 end to end: bronze -> silver -> gold; the affordability mart read back."""
+    return PL.read_gold(spark, _pipeline(spark, sf), DM1_TABLE, RUN_DATE)
+
+
+def io_pipeline_silver(spark, sf):
+    """The silver partition written by the pipeline, read through the catalog."""
+    _pipeline(spark, sf)
+    return read_table(spark, f"planmart_lake.{PL.SILVER_TABLE}").where("snapshot_date = '%s'" % RUN_DATE) \
+        .drop("snapshot_date")
+
+
 QUERIES: dict[str, QueryFn] = {
     # S13 source checks
     "src_plan_count": lambda s, d: R.src_plan_count(plans(s, d)),
@@ -132,4 +186,10 @@ QUERIES: dict[str, QueryFn] = {
     "raw_panel_rows": lambda s, d: _filtered(s, d, as_double=True)[0],
     "raw_panel_rows_dm2": lambda s, d: _filtered(s, d, as_double=True)[1],
     "raw_panel_rows_dm3": lambda s, d: _filtered(s, d, as_double=True)[2],
+    # Sources and sinks
+    "io_snapshot_roundtrip": io_snapshot_roundtrip,
+    "io_catalog_table": io_catalog_table,
+    "io_csv_source": io_csv_source,
+    "io_pipeline_dm1": io_pipeline_dm1,
+    "io_pipeline_silver": io_pipeline_silver,
 }

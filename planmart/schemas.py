@@ -97,3 +97,35 @@ SILVER_COLUMNS = PLAN_COLUMNS + COST_COLUMNS[1:] + DERIVED_SILVER.fieldNames()
 def with_snapshot(schema: T.StructType) -> T.StructType:
     """Schema of a dated snapshot: the partition label is a string, never inferred."""
     return T.StructType(list(schema.fields) + [T.StructField("snapshot_date", T.StringType())])
+
+SILVER_SCHEMA = T.StructType(list(PLANS_SCHEMA.fields) + list(COSTS_SCHEMA.fields[1:]) + list(DERIVED_SILVER.fields))
+
+_D11_2 = T.DecimalType(11, 2)
+_TAGS = [T.StructField("snapshot_date", T.StringType()), T.StructField("datamart_id", T.StringType())]
+
+DM1_SCHEMA = T.StructType(
+    [T.StructField("StateCode", T.StringType()), T.StructField("MetalLevel", T.StringType()),
+     T.StructField("num_plans", T.LongType())]
+    + [T.StructField(c, _D11_2) for c in ("avg_individual_deductible", "avg_family_deductible",
+                                          "avg_individual_oop_max", "avg_family_oop_max",
+                                          "min_deductible", "max_deductible")]
+    + [T.StructField("avg_affordability_score", T.DoubleType())] + _TAGS)
+
+DM2_SCHEMA = T.StructType(
+    [T.StructField("StateCode", T.StringType()), T.StructField("NetworkType", T.StringType()),
+     T.StructField("IssuerName", T.StringType()), T.StructField("num_plans", T.LongType()),
+     T.StructField("metal_diversity", T.LongType()), T.StructField("network_share_pct", T.DoubleType()),
+     T.StructField("avg_deductible", _D11_2), T.StructField("county_coverage", T.LongType())] + _TAGS)
+
+DM3_SCHEMA = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("StateCode", "MetalLevel", "NetworkType", "BenefitCategory")]
+    + [T.StructField("num_plans", T.LongType())]
+    + [T.StructField(c, _D11_2) for c in ("avg_copay_primary", "avg_copay_specialist", "avg_copay_er",
+                                          "avg_copay_generic")]
+    + [T.StructField("avg_coinsurance_rate", T.DecimalType(8, 4))]
+    + [T.StructField(c, T.LongType()) for c in ("num_excluded", "num_hsa_eligible", "distinct_exclusions")]
+    + _TAGS)
+
+
+def without(schema: T.StructType, *names: str) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name not in names])
