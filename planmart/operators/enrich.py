@@ -9,12 +9,12 @@ scale form instead:
 * W2-W5 (averages and counts per state / state+network / state+metal) come
   from one aggregate at (state, network, metal) grain - combined map-side,
   at most 51 x 4 x 5 = 1,020 rows once rules R2/R4/R6 have run - and are
-  broadcast back. That bound is proven by the validation domains.
+  broadcast back (after the same size check as below).
 * W1 (``rank`` by deductible within state) is a counted rank: rows per
   (state, deductible) are counted map-side, the rank is 1 + the running sum of
-  the counts of smaller deductibles. That table is checkpointed, its size is
-  measured, and it is broadcast only below a row limit; above it the join is
-  a shuffle join left to AQE (which splits skewed partitions).
+  the counts of smaller deductibles. That table's size is measured and it is
+  broadcast only below a row limit; above it the join is a shuffle join left
+  to AQE (which splits skewed partitions).
 
 ``enrich_windows`` is the literal window form, kept as the test oracle.
 """
@@ -30,9 +30,9 @@ from ..schemas import DEC_MONEY, SILVER_COLUMNS
 STATE, NETWORK, METAL = "StateCode", "NetworkType", "MetalLevel"
 DED, OOP = "IndividualDeductible", "IndividualOutOfPocketMax"
 
-# Broadcast the counted-rank table only below this many rows. The reference's
-# domain (51 states x 9,001 whole-dollar deductibles) stays below it.
-RANK_BROADCAST_MAX_ROWS = 1_000_000
+# Broadcast the stats / counted-rank tables only below this many rows. The
+# reference's domain (51 states x 9,001 whole-dollar deductibles) stays below.
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def join_plans_costs(plans: DataFrame, costs: DataFrame) -> DataFrame:
@@ -93,20 +93,43 @@ def _null_safe_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFr
     return big.join(renamed, on=cond, how="inner").drop(*[f"_k_{k}" for k in keys])
 
 
-def enrich(joined: DataFrame, rank_broadcast_max_rows: int | None = RANK_BROADCAST_MAX_ROWS) -> DataFrame:
+def table_sizes(*tables: DataFrame) -> list[int]:
+    """Row counts of several small tables in one job."""
+    tagged = [t.select(F.lit(i).alias("_t")) for i, t in enumerate(tables)]
+    union = tagged[0]
+    for t in tagged[1:]:
+        union = union.unionByName(t)
+    counts = {r["_t"]: r["n"] for r in union.groupBy("_t").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) for i in range(len(tables))]
+
+
+def enrich(joined: DataFrame, broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
+           materialize: bool = True) -> DataFrame:
     """Silver rows: join output + the eight derived columns, in contract order.
 
     Windows run over every joined row (inactive plans included), as in the
     source job; the active filter comes later, in the marts.
-    ``rank_broadcast_max_rows=None`` skips the size check and leaves the rank
-    join entirely to AQE (fully lazy).
+
+    ``joined`` feeds three branches (cell stats, rank counts, the rows). Their
+    column sets differ, so Spark cannot reuse one exchange for all of them and
+    would run the de-duplication and join shuffles three times. With
+    ``materialize`` (default) the join output is checkpointed once into the
+    shared checkpoint folder (reliable, lineage cut); pass ``False`` when the
+    caller has already persisted or checkpointed it.
+    ``broadcast_max_rows=None`` skips the size check and leaves both joins
+    to AQE.
     """
-    # Bounded by the validated domains (<= 1,020 rows): safe to broadcast.
-    stats = F.broadcast(group_stats(joined))
+    if materialize:
+        joined = joined.checkpoint(eager=True)
+    stats = group_stats(joined)
     ranks = counted_rank(joined)
-    if rank_broadcast_max_rows is not None:
-        ranks = ranks.checkpoint(eager=True)
-        if ranks.count() <= rank_broadcast_max_rows:
+    if broadcast_max_rows is not None:
+        # One small job measures both tables over the materialised join. Once
+        # rules R2/R4/R6 have run, stats has at most 51 x 4 x 5 = 1,020 rows.
+        n_stats, n_ranks = table_sizes(stats, ranks)
+        if n_stats <= broadcast_max_rows:
+            stats = F.broadcast(stats)
+        if n_ranks <= broadcast_max_rows:
             ranks = F.broadcast(ranks)
     out = _null_safe_join(joined, ranks, [STATE, DED])
     out = _null_safe_join(out, stats, [STATE, NETWORK, METAL])

@@ -73,7 +73,7 @@ def process(spark: SparkSession, lake: str, run_date: str, catalog_db: str | Non
     clean_plans = flagged.where(F.col("PlanID").isNotNull() & F.col("failed_rule").isNull()).select(*PLAN_COLUMNS)
     joined = join_plans_costs(clean_plans, Q.clean_costs(costs)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        silver = enrich(joined)
+        silver = enrich(joined, materialize=False)  # persisted above
         obs = Observation("silver")
         write_snapshot(silver, f"{lake}/silver", SILVER_TABLE, run_date, observation=obs)
         result.rows["silver"] = _rows(obs)

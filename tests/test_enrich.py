@@ -45,7 +45,7 @@ def test_scale_form_equals_windows_with_nulls(spark):
 
 def test_scale_form_equals_windows_on_fixture(spark, sf_small):
     j = join_plans_costs(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
-    a, b = enrich(j), enrich(j, rank_broadcast_max_rows=None)
+    a, b = enrich(j), enrich(j, broadcast_max_rows=None)
     w = enrich_windows(j)
     assert a.count() == 1149
     assert a.exceptAll(w).count() == 0 and w.exceptAll(a).count() == 0
@@ -59,5 +59,5 @@ def test_silver_contract(spark, sf_small):
 
 def test_rank_join_falls_back_to_shuffle_above_limit(spark, sf_small):
     j = join_plans_costs(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
-    small_limit = enrich(j, rank_broadcast_max_rows=1)
+    small_limit = enrich(j, broadcast_max_rows=1)
     assert small_limit.exceptAll(enrich_windows(j)).count() == 0
