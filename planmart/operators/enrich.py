@@ -33,6 +33,9 @@ DED, OOP = "IndividualDeductible", "IndividualOutOfPocketMax"
 # Broadcast the stats / counted-rank tables only below this many rows. The
 # reference's domain (51 states x 9,001 whole-dollar deductibles) stays below.
 BROADCAST_MAX_ROWS = 1_000_000
+# Above this many (state, deductible) pairs the running sum is computed in
+# ranges instead of one window partition per state.
+SINGLE_TASK_RANK_ROWS = 20_000_000
 
 
 def join_plans_costs(plans: DataFrame, costs: DataFrame) -> DataFrame:
@@ -73,17 +76,37 @@ def group_stats(joined: DataFrame) -> DataFrame:
     )
 
 
-def counted_rank(joined: DataFrame) -> DataFrame:
+def rank_counts(joined: DataFrame) -> DataFrame:
+    """Rows per (state, deductible), combined map-side."""
+    return joined.groupBy(STATE, DED).agg(F.count(F.lit(1)).alias("_c"))
+
+
+def counted_rank(joined: DataFrame, counts: DataFrame | None = None, range_parts: int = 0) -> DataFrame:
     """W1 as a table (state, deductible, rank): 1 + rows with a smaller deductible.
 
-    NULL deductibles sort first, as in ``rank()`` ascending.
+    NULL deductibles sort first, as in ``rank()`` ascending. With
+    ``range_parts`` > 1 the running sum is computed in two levels so no state
+    is ever handled by one task: the counts are range-partitioned on
+    (state, deductible), each range sums locally, and each range adds the
+    totals of the ranges before it (a table of at most ranges x states rows).
     """
-    counts = joined.groupBy(STATE, DED).agg(F.count(F.lit(1)).alias("_c"))
-    before = Window.partitionBy(STATE).orderBy(F.col(DED).asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return counts.select(
-        STATE, DED, (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1).cast("int").alias("rank_deductible_state")
-    )
+    counts = rank_counts(joined) if counts is None else counts
+    order = F.col(DED).asc_nulls_first()
+    if range_parts <= 1:
+        before = Window.partitionBy(STATE).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(STATE, DED, (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1)
+                             .cast("int").alias("rank_deductible_state"))
+    # The range id must be the same in both uses below: checkpoint fixes it.
+    ranged = (counts.repartitionByRange(range_parts, F.col(STATE).asc_nulls_first(), order)
+              .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
+    local = Window.partitionBy("_p", STATE).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    prefix = ranged.withColumn("_bl", F.coalesce(F.sum("_c").over(local), F.lit(0)))
+    totals = ranged.groupBy("_p", STATE).agg(F.sum("_c").alias("_t"))
+    earlier = Window.partitionBy(STATE).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_p", STATE, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
+    # ranges x states rows: bounded by the number of ranges chosen here.
+    joined_back = _null_safe_join(prefix, F.broadcast(offsets), ["_p", STATE])
+    return joined_back.select(STATE, DED, (F.col("_off") + F.col("_bl") + 1).cast("int").alias("rank_deductible_state"))
 
 
 def _null_safe_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
@@ -104,7 +127,7 @@ def table_sizes(*tables: DataFrame) -> list[int]:
 
 
 def enrich(joined: DataFrame, broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
-           materialize: bool = True) -> DataFrame:
+           materialize: bool = True, single_task_rank_rows: int = SINGLE_TASK_RANK_ROWS) -> DataFrame:
     """Silver rows: join output + the eight derived columns, in contract order.
 
     Windows run over every joined row (inactive plans included), as in the
@@ -116,20 +139,23 @@ def enrich(joined: DataFrame, broadcast_max_rows: int | None = BROADCAST_MAX_ROW
     ``materialize`` (default) the join output is checkpointed once into the
     shared checkpoint folder (reliable, lineage cut); pass ``False`` when the
     caller has already persisted or checkpointed it.
-    ``broadcast_max_rows=None`` skips the size check and leaves both joins
-    to AQE.
+    One small job measures the two tables: below ``broadcast_max_rows`` they
+    are broadcast (``None``: leave both joins to AQE); above
+    ``single_task_rank_rows`` the rank's running sum is spread over ranges.
     """
     if materialize:
         joined = joined.checkpoint(eager=True)
     stats = group_stats(joined)
-    ranks = counted_rank(joined)
+    counts = rank_counts(joined)
+    n_stats, n_counts = table_sizes(stats, counts)
+    # A running sum over one state stays in one task only while it is small.
+    parts = 0 if n_counts <= single_task_rank_rows else -(-n_counts // single_task_rank_rows) * 4
+    ranks = counted_rank(joined, counts, range_parts=parts)
     if broadcast_max_rows is not None:
-        # One small job measures both tables over the materialised join. Once
-        # rules R2/R4/R6 have run, stats has at most 51 x 4 x 5 = 1,020 rows.
-        n_stats, n_ranks = table_sizes(stats, ranks)
+        # Once rules R2/R4/R6 have run, stats has at most 51 x 4 x 5 = 1,020 rows.
         if n_stats <= broadcast_max_rows:
             stats = F.broadcast(stats)
-        if n_ranks <= broadcast_max_rows:
+        if n_counts <= broadcast_max_rows:
             ranks = F.broadcast(ranks)
     out = _null_safe_join(joined, ranks, [STATE, DED])
     out = _null_safe_join(out, stats, [STATE, NETWORK, METAL])

@@ -92,16 +92,21 @@ def flag_plans(plans: DataFrame) -> DataFrame:
 
 
 def clean_plans(plans: DataFrame) -> DataFrame:
-    """Plans passing R1..R7 (dedup first, then the validity rules)."""
-    keep = F.lit(True)
-    for _, pred in plan_rule_predicates():
-        keep = keep & passes(pred)
+    """Plans passing R1..R7 (dedup first, then the validity rules).
+
+    In a filter a NULL predicate drops the row, exactly like ``passes``; the
+    bare predicates are used so Catalyst can push and simplify them.
+    """
+    preds = [pred for _, pred in plan_rule_predicates()]
+    keep = preds[0]
+    for pred in preds[1:]:
+        keep = keep & pred
     return deduplicate_plans(plans.where(F.col("PlanID").isNotNull())).where(keep)
 
 
 def clean_costs(costs: DataFrame) -> DataFrame:
-    """Cost rows passing R3 (the predicate reaches the Parquet scan)."""
-    return costs.where(passes(cost_rule_predicate()))
+    """Cost rows passing R3; the bare predicate reaches the Parquet scan."""
+    return costs.where(cost_rule_predicate())
 
 
 def funnel_rows(counts: DataFrame, rules: list[tuple[int, str]]) -> DataFrame:

@@ -61,3 +61,23 @@ def test_rank_join_falls_back_to_shuffle_above_limit(spark, sf_small):
     j = join_plans_costs(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
     small_limit = enrich(j, broadcast_max_rows=1)
     assert small_limit.exceptAll(enrich_windows(j)).count() == 0
+
+
+def test_two_level_rank_equals_window(spark, sf_small):
+    from planmart.operators.enrich import counted_rank
+    j = join_plans_costs(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
+    one = counted_rank(j)
+    for parts in (2, 7):
+        many = counted_rank(j, range_parts=parts)
+        assert many.exceptAll(one).count() == 0 and one.exceptAll(many).count() == 0
+    forced = enrich(j, single_task_rank_rows=100)
+    assert forced.exceptAll(enrich_windows(j)).count() == 0
+
+
+def test_two_level_rank_with_nulls(spark):
+    from planmart.operators.enrich import counted_rank
+    p = plans_df(spark, [plan(f"P{i}", state=[None, "CA", "TX"][i % 3]) for i in range(30)])
+    c = costs_df(spark, [cost(f"P{i}", ded=None if i % 5 == 0 else str(i % 7)) for i in range(30)])
+    j = join_plans_costs(p, c)
+    a, b = counted_rank(j), counted_rank(j, range_parts=3)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
