@@ -107,13 +107,16 @@ def _in_metal_order(df: DataFrame) -> DataFrame:
 
 def kpis(dm1f: DataFrame, dm2f: DataFrame) -> DataFrame:
     """Total plans, states, issuers, mean deductible and mean out-of-pocket max."""
-    total_plans = dm2f.select(F.coalesce(F.sum("num_plans"), F.lit(0)).cast("bigint")).scalar()
-    n_issuers = dm2f.select(F.countDistinct("issuername")).scalar()
+    # Both mart-2 numbers come from one scalar subquery (one pass over dm2f).
+    m2 = dm2f.select(F.struct(
+        F.coalesce(F.sum("num_plans"), F.lit(0)).cast("bigint").alias("total_plans"),
+        F.countDistinct("issuername").alias("n_issuers"))).scalar()
     return dm1f.agg(
         F.countDistinct("statecode").alias("n_states"),
         _mean("avg_individual_deductible", "avg_deductible"),
         _mean("avg_individual_oop_max", "avg_oop"),
-    ).select(total_plans.alias("total_plans"), "n_states", n_issuers.alias("n_issuers"), "avg_deductible", "avg_oop")
+    ).select(m2["total_plans"].alias("total_plans"), "n_states", m2["n_issuers"].alias("n_issuers"),
+             "avg_deductible", "avg_oop")
 
 
 def state_deductible(dm1f: DataFrame) -> DataFrame:

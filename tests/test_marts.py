@@ -41,3 +41,14 @@ def test_mart_volumes(spark):
     v = {r.datamart: r.lignes for r in M.mart_volumes(
         M.dm1_affordability(s), M.dm2_market(s), M.dm3_competitiveness(s)).collect()}
     assert v == {"datamart_affordability": 1, "datamart_market_structure": 2, "datamart_competitiveness": 2}
+
+
+def test_ordered_marts(spark):
+    s = _silver(spark, [plan("A", state="TX"), plan("B", state="CA", network="PPO"), plan("C", state="CA"),
+                        plan("D", state="CA", issuer="Issuer_02")],
+                [cost("A"), cost("B"), cost("C"), cost("D")])
+    d1 = [(r.StateCode, r.MetalLevel) for r in M.dm1_affordability(s, ordered=True).collect()]
+    assert d1 == sorted(d1)
+    d2 = [(r.StateCode, r.NetworkType, r.IssuerName) for r in M.dm2_market(s, ordered=True).collect()]
+    assert d2 == [("CA", "HMO", "Issuer_01"), ("CA", "HMO", "Issuer_02"), ("CA", "PPO", "Issuer_01"),
+                  ("TX", "HMO", "Issuer_01")]
