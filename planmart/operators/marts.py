@@ -4,8 +4,11 @@ All three keep active plans only (the silver windows ran before this filter,
 so shares and ranks include inactive plans - kept on purpose). Each mart is a
 single ``groupBy().agg()``: Spark combines the plain aggregates map-side and
 rewrites the COUNT(DISTINCT ...) measures into one Expand + two-level
-aggregate. The ORDER BY of the source job is presentational (it is lost on the
-JDBC write) and is applied only when ``ordered=True``.
+aggregate. With ``unique_plan_ids`` (checked by ``plan_ids_unique``) the
+plan count is a plain count, so only small-domain distinct measures remain
+and every mart combines map-side. The ORDER BY of the source job is
+presentational (it is lost on the JDBC write) and is applied only when
+``ordered=True``.
 """
 
 from __future__ import annotations
@@ -26,6 +29,23 @@ DM3_KEYS = ["StateCode", "MetalLevel", "NetworkType", "BenefitCategory"]
 MART_KEYS = {DM1_TABLE: DM1_KEYS, DM2_TABLE: DM2_KEYS, DM3_TABLE: DM3_KEYS}
 
 
+def plan_ids_unique(silver: DataFrame) -> bool:
+    """True when no PlanID occurs twice in silver (one job over the PlanID column).
+
+    Plans are de-duplicated, so only repeated cost rows can repeat a PlanID.
+    When this holds, COUNT(DISTINCT PlanID) equals COUNT(PlanID) in every
+    group, and the marts can drop that distinct measure: without it each
+    mart combines map-side into domain-sized groups instead of shuffling
+    every active row by (group, PlanID).
+    """
+    dup = silver.groupBy("PlanID").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    return dup.isEmpty()
+
+
+def _num_plans(unique_plan_ids: bool) -> Column:
+    return (F.count("PlanID") if unique_plan_ids else F.countDistinct("PlanID")).alias("num_plans")
+
+
 def active(silver: DataFrame) -> DataFrame:
     """active plans only."""
     return silver.where(F.col("IsActive") == 1)
@@ -41,11 +61,12 @@ def _count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
-def dm1_affordability(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False) -> DataFrame:
+def dm1_affordability(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False,
+                      unique_plan_ids: bool = False) -> DataFrame:
     """DM1: deductibles, out-of-pocket maxima and affordability by state and metal."""
     score = F.col("IndividualDeductible") + F.col("IndividualOutOfPocketMax") * F.lit(Decimal("0.3"))
     df = active(silver).groupBy(*DM1_KEYS).agg(
-        F.countDistinct("PlanID").alias("num_plans"),
+        _num_plans(unique_plan_ids),
         rounded_avg("IndividualDeductible", 2).alias("avg_individual_deductible"),
         rounded_avg("FamilyDeductible", 2).alias("avg_family_deductible"),
         rounded_avg("IndividualOutOfPocketMax", 2).alias("avg_individual_oop_max"),
@@ -60,14 +81,15 @@ def dm1_affordability(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT,
     return _tag(df, snapshot_date, DM1_ID)
 
 
-def dm2_market(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False) -> DataFrame:
+def dm2_market(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False,
+               unique_plan_ids: bool = False) -> DataFrame:
     """DM2: plans, metal diversity, network share and county coverage per issuer."""
     # The share is a 2-decimal constant per (state, network); averaging its
     # exact decimal keeps the mean exact.
     share = F.col("pct_network_type_in_state").cast("decimal(5,2)")
     df = (
         active(silver).groupBy(*DM2_KEYS).agg(
-            F.countDistinct("PlanID").alias("num_plans"),
+            _num_plans(unique_plan_ids),
             F.countDistinct("MetalLevel").alias("metal_diversity"),
             F.round(F.avg(share), 2).cast("double").alias("network_share_pct"),
             rounded_avg("IndividualDeductible", 2).alias("avg_deductible"),
@@ -80,10 +102,11 @@ def dm2_market(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered
     return _tag(df, snapshot_date, DM2_ID)
 
 
-def dm3_competitiveness(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False) -> DataFrame:
+def dm3_competitiveness(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False,
+                        unique_plan_ids: bool = False) -> DataFrame:
     """DM3: copays, coinsurance, exclusions and HSA eligibility per benefit cell."""
     df = active(silver).groupBy(*DM3_KEYS).agg(
-        F.countDistinct("PlanID").alias("num_plans"),
+        _num_plans(unique_plan_ids),
         rounded_avg("CopayPrimaryCare", 2).alias("avg_copay_primary"),
         rounded_avg("CopaySpecialist", 2).alias("avg_copay_specialist"),
         rounded_avg("CopayER", 2).alias("avg_copay_er"),

@@ -96,10 +96,11 @@ def build_gold(spark: SparkSession, lake: str, run_date: str, result: RunResult
     """Gold: three marts from the silver partition, each written in one pass."""
     result = result or RunResult(run_date)
     silver = read_silver(spark, lake, run_date)
+    unique = M.plan_ids_unique(silver)  # reads only the PlanID column
     builders = ((DM1_TABLE, M.dm1_affordability), (DM2_TABLE, M.dm2_market), (DM3_TABLE, M.dm3_competitiveness))
     for table, build in builders:
         obs = Observation(table)
-        mart = build(silver, snapshot_date=run_date).drop("snapshot_date")
+        mart = build(silver, snapshot_date=run_date, unique_plan_ids=unique).drop("snapshot_date")
         write_snapshot(mart, f"{lake}/gold", table, run_date, observation=obs)
         result.rows[table] = _rows(obs)
     return result

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..operators.enrich import build_silver, join_plans_costs
+from ..operators.enrich import enrich, join_plans_costs
 from ..schemas import DM1_TABLE, PLANS_SCHEMA, SILVER_SCHEMA, with_snapshot
 from ..session import work_path
 from ..sources.catalog import read_table, register_external_table
@@ -36,25 +36,36 @@ def costs(spark: SparkSession, sf: str) -> DataFrame:
     return fixture_costs(spark, sf)
 
 
+def _silver(spark: SparkSession, sf: str, check_unique: bool = True) -> tuple[DataFrame, bool]:
+    """Silver rows and whether PlanID is unique in them (checked on the join)."""
+    joined = join_plans_costs(Q.clean_plans(plans(spark, sf)), Q.clean_costs(costs(spark, sf)))
+    joined = joined.checkpoint(eager=True)  # feeds the uniqueness check and three enrich branches
+    return enrich(joined, materialize=False), check_unique and M.plan_ids_unique(joined)
+
+
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return build_silver(Q.clean_plans(plans(spark, sf)), Q.clean_costs(costs(spark, sf)))
+    return _silver(spark, sf, check_unique=False)[0]
 
 
 def dm1(spark, sf):
-    return M.dm1_affordability(silver(spark, sf))
+    s, unique = _silver(spark, sf)
+    return M.dm1_affordability(s, unique_plan_ids=unique)
 
 
 def dm2(spark, sf):
-    return M.dm2_market(silver(spark, sf))
+    s, unique = _silver(spark, sf)
+    return M.dm2_market(s, unique_plan_ids=unique)
 
 
 def dm3(spark, sf):
-    return M.dm3_competitiveness(silver(spark, sf))
+    s, unique = _silver(spark, sf)
+    return M.dm3_competitiveness(s, unique_plan_ids=unique)
 
 
 def _marts(spark, sf):
-    s = silver(spark, sf)
-    return M.dm1_affordability(s), M.dm2_market(s), M.dm3_competitiveness(s)
+    s, unique = _silver(spark, sf)
+    return (M.dm1_affordability(s, unique_plan_ids=unique), M.dm2_market(s, unique_plan_ids=unique),
+            M.dm3_competitiveness(s, unique_plan_ids=unique))
 
 
 def _panel_marts(spark, sf, as_double=False):

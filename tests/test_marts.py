@@ -52,3 +52,18 @@ def test_ordered_marts(spark):
     d2 = [(r.StateCode, r.NetworkType, r.IssuerName) for r in M.dm2_market(s, ordered=True).collect()]
     assert d2 == [("CA", "HMO", "Issuer_01"), ("CA", "HMO", "Issuer_02"), ("CA", "PPO", "Issuer_01"),
                   ("TX", "HMO", "Issuer_01")]
+
+
+def test_unique_plan_ids_form_matches_distinct(spark, sf_small):
+    s = build_silver(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
+    assert M.plan_ids_unique(s)
+    for build in (M.dm1_affordability, M.dm2_market, M.dm3_competitiveness):
+        a, b = build(s), build(s, unique_plan_ids=True)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_duplicate_cost_rows_are_detected(spark):
+    s = _silver(spark, [plan("A"), plan("B")], [cost("A"), cost("A", category="Benefit_2"), cost("B")])
+    assert not M.plan_ids_unique(s)
+    # Fan-out: averages weigh both cost rows, the plan is counted once.
+    assert M.dm1_affordability(s).collect()[0].num_plans == 2
