@@ -1,0 +1,2 @@
+"""Sources and sinks: driver-table fixtures, dated Parquet snapshots, catalog
+tables, CSV landing and JDBC."""

@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The rebuilt workload is a daily batch over whole tables: there is no event
+time, watermark, late data or cross-batch state to keep, so nothing here uses
+Structured Streaming. The daily cadence is a call to
+``planmart.plans.pipeline.run`` per run date.
+"""
