@@ -21,27 +21,30 @@ def duckdb_connection(sf_dir: str):
     return con
 
 
-def _norm(v) -> str:
+def _norm(v, strict: bool = False) -> str:
     if v is None:
         return "NULL"
     if isinstance(v, float):
-        return "NaN" if v != v else repr(round(v, 9))
+        return "NaN" if v != v else repr(v if strict else round(v, 9))
     if isinstance(v, Decimal):
-        return format(v.normalize(), "f")
+        return str(v) if strict else format(v.normalize(), "f")
     return str(v)
 
 
-def canonical_lines(cols, rows) -> list[str]:
+def canonical_lines(cols, rows, strict: bool = False) -> list[str]:
     order = sorted(range(len(cols)), key=lambda i: cols[i])
-    return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
+    return sorted("|".join(_norm(r[i], strict) for i in order) for r in rows)
 
 
 def digest(cols, rows) -> str:
     return hashlib.sha256("\n".join(canonical_lines(cols, rows)).encode()).hexdigest()[:16]
 
 
-def compare(df, con, sql: str) -> tuple[bool, str]:
-    """(equal, message) for a Spark DataFrame against oracle SQL."""
+def compare(df, con, sql: str, strict: bool = False) -> tuple[bool, str]:
+    """(equal, message) for a Spark DataFrame against oracle SQL.
+
+    ``strict`` compares doubles bit for bit and decimals with their scale.
+    """
     rows = [tuple(r) for r in df.collect()]
     res = con.execute(sql)
     ocols = [d[0] for d in res.description]
@@ -50,7 +53,7 @@ def compare(df, con, sql: str) -> tuple[bool, str]:
         return False, f"columns differ: {df.columns} vs {ocols}"
     if len(rows) != len(orows):
         return False, f"row counts differ: {len(rows)} vs {len(orows)}"
-    a, b = canonical_lines(df.columns, rows), canonical_lines(ocols, orows)
+    a, b = canonical_lines(df.columns, rows, strict), canonical_lines(ocols, orows, strict)
     if a != b:
         only_s = sorted(set(a) - set(b))[:2]
         only_o = sorted(set(b) - set(a))[:2]
