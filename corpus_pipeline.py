@@ -6,8 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planmart.llm import common as C
+from planmart.llm.bpe import encode_decode
 from planmart.llm.decontaminate import drop_contaminated
+from planmart.llm.language_id import identify, train
 from planmart.llm.line_dedup import line_dedup
+from planmart.llm.ngram_join import keep_one
+from planmart.llm.queries import public_tokenizer
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or in no language that the model is sure of, go."""
+    return identify(docs, train(docs)).where(~F.col("rejected")).select("row.*")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,9 +33,23 @@ def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group joined by links of 0.8 or more the document with the smallest id stays."""
+    return keep_one(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that are left, as token ids; ``decoded`` is what the ids decode to."""
+    return encode_decode(docs, public_tokenizer()).select(
+        "row.*", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
 STAGES = [
+    ("language_id", keep_known_languages),
     ("line_dedup", drop_repeated_lines),
+    ("ngram_join", keep_one_of_near_copies),
     ("decontamination", drop_benchmark_copies),
+    ("bpe", encode),
 ]
 
 ORACLE_SQL = None  # models and tokenizers can't be put in SQL: tested against a brute-force version

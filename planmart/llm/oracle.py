@@ -50,3 +50,19 @@ SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(l
        CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(k.text, '')) END AS kept_sha256
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+ORACLE["op10_substring_dedup"] = r"""
+WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+starts AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs),
+grams AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM starts),
+firsts AS (SELECT g, min(doc_id) AS first FROM grams GROUP BY g HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM grams JOIN firsts USING (g) WHERE doc_id > first),
+words AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs),
+kept AS (
+  SELECT k.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY k.i) AS text
+  FROM words k LEFT JOIN gone g ON k.doc_id = g.doc_id AND k.i = g.i WHERE g.i IS NULL GROUP BY k.doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""

@@ -46,11 +46,12 @@ def slot_totals(records: DataFrame, n_slots: int = N_SLOTS) -> DataFrame:
             .join(sums, "virtual_slot", "left").na.fill(0, ["bytes", "rows"]))
 
 
-def _fold(slots: Column, n_shards: int) -> Column:
+def _fold(slots: Column, n_shards: int, first: int) -> Column:
     """Edit the shard of each slot, largest first, in one pass over the slot array.
 
-    A slot without a shard goes to the least loaded one. A slot that has one
-    moves there if its shard is above the mean and stays the larger of the two.
+    Only shards from ``first`` on take slots. A slot without a shard goes to
+    the least loaded of them. A slot that has one moves there if its shard is
+    above the mean and stays the larger of the two.
     """
     start = F.transform(
         F.sequence(F.lit(0), F.lit(n_shards - 1)),
@@ -59,27 +60,32 @@ def _fold(slots: Column, n_shards: int) -> Column:
     mean = F.aggregate(slots, F.lit(0).cast("long"), lambda acc, s: acc + s["bytes"]) / F.lit(n_shards)
 
     def step(acc, s):
-        least = (F.array_position(acc["loads"], F.array_min(acc["loads"])) - 1).cast("int")
+        takers = F.slice(acc["loads"], first + 1, n_shards - first)
+        least = (F.array_position(takers, F.array_min(takers)) - 1 + first).cast("int")
         own = F.coalesce(s["shard"], F.lit(-1))
         own_load = F.when(own >= 0, F.get(acc["loads"], own)).otherwise(F.lit(None).cast("long"))
-        moves = (own < 0) | ((own_load > mean) & (F.array_min(acc["loads"]) + s["bytes"] < own_load))
+        moves = (own < 0) | ((own_load > mean) & (F.array_min(takers) + s["bytes"] < own_load))
         to = F.when(moves, least).otherwise(own)
         loads = F.transform(acc["loads"], lambda x, i: x + F.when(moves & (i == to), s["bytes"])
                             .when(moves & (i == own), -s["bytes"]).otherwise(F.lit(0).cast("long")))
         return F.struct(loads.alias("loads"), F.concat(acc["shards"], F.array(to)).alias("shards"))
 
-    first = F.struct(start.alias("loads"), F.array().cast("array<int>").alias("shards"))
-    return F.aggregate(slots, first, step, lambda acc: acc["shards"])
+    begin = F.struct(start.alias("loads"), F.array().cast("array<int>").alias("shards"))
+    return F.aggregate(slots, begin, step, lambda acc: acc["shards"])
 
 
 def edit_map(totals: DataFrame, n_shards: int, current: DataFrame | None = None, version: int = 1) -> DataFrame:
     """The next version of the slot map: version, virtual_slot, shard, bytes, rows, moved.
 
     Without ``current`` every slot is placed anew. With it only as many slots
-    move as bring shards above the mean down towards it, so a shard that is
-    added takes slots from the others and none moves between those that stay
-    below the mean. Shards at or above ``n_shards`` are emptied.
+    move as bring shards above the mean down towards it; where shards are
+    added, slots move into these only. Shards at or above ``n_shards`` are
+    emptied.
     """
+    first = 0
+    if current is not None:
+        used = current.agg(F.max("shard")).first()[0] + 1
+        first = used if n_shards > used else 0
     if current is None:
         known = totals.withColumn("shard", F.lit(None).cast("int"))
     else:
@@ -88,7 +94,7 @@ def edit_map(totals: DataFrame, n_shards: int, current: DataFrame | None = None,
     # n_slots rows in one array: bounded by the parameter, not by the corpus.
     packed = known.agg(F.sort_array(F.collect_list(F.struct("bytes", "rows", "virtual_slot", "shard")), asc=False)
                        .alias("slots"))
-    zipped = packed.select(F.explode(F.arrays_zip("slots", _fold(F.col("slots"), n_shards).alias("to"))).alias("z"))
+    zipped = packed.select(F.explode(F.arrays_zip("slots", _fold(F.col("slots"), n_shards, first).alias("to"))).alias("z"))
     return zipped.select(
         F.lit(version).alias("version"), F.col("z.slots.virtual_slot").alias("virtual_slot"),
         F.col("z.to").alias("shard"), F.col("z.slots.bytes").alias("bytes"), F.col("z.slots.rows").alias("rows"),
