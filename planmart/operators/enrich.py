@@ -1,27 +1,24 @@
 """Silver layer: inner join of validated plans and costs, then eight derived
 columns (state rank and averages, counts, network share, affordability score).
 
-The source job computes these with four ``Window.partitionBy(StateCode...)``
-specs. Partitioning by state gives at most 51 busy tasks, and a state holding
-a third of all rows lands in one task. ``enrich`` computes the same values in
-scale form instead:
-
-* W2-W5 (averages and counts per state / state+network / state+metal) come
-  from one aggregate at (state, network, metal) grain - combined map-side,
-  at most 51 x 4 x 5 = 1,020 rows once rules R2/R4/R6 have run - and are
-  broadcast back (after the same size check as below).
-* W1 (``rank`` by deductible within state) is a counted rank: rows per
-  (state, deductible) are counted map-side, the rank is 1 + the running sum of
-  the counts of smaller deductibles. That table's size is measured and it is
-  broadcast only below a row limit; above it the join is a shuffle join left
-  to AQE (which splits skewed partitions).
-
-``enrich_windows`` is the literal window form, kept as the test oracle.
+The source job computes these with windows per state: at most 51 busy tasks,
+and a state holding a third of all rows lands in one task. Here they come from
+map-side-combined aggregates that are joined back, one path at every size:
+
+* W2-W5 (averages and counts per state / state+network / state+metal) from one
+  aggregate at (state, network, metal) grain. Rules R2/R4/R6 bound it to
+  51 x 4 x 5 = 1,020 rows, so it is broadcast.
+* W1 (``rank`` by deductible within state) as a counted rank: rows per
+  (state, deductible); the rank is 1 + the rows of smaller deductibles, summed
+  in two levels: inside a bucket of ``BUCKET`` money units (at most 10,000
+  cent values) and over the buckets of a state. That table grows with the
+  deductibles that occur, so its join is a shuffle join on
+  (state, deductible), whose hot pairs adaptive execution splits.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import affordability_score_exact, decimal_avg
@@ -29,13 +26,7 @@ from ..schemas import DEC_MONEY, SILVER_COLUMNS
 
 STATE, NETWORK, METAL = "StateCode", "NetworkType", "MetalLevel"
 DED, OOP = "IndividualDeductible", "IndividualOutOfPocketMax"
-
-# Broadcast the stats / counted-rank tables only below this many rows. The
-# reference's domain (51 states x 9,001 whole-dollar deductibles) stays below.
-BROADCAST_MAX_ROWS = 1_000_000
-# Above this many (state, deductible) pairs the running sum is computed in
-# ranges instead of one window partition per state.
-SINGLE_TASK_RANK_ROWS = 20_000_000
+BUCKET = 100
 
 
 def join_plans_costs(plans: DataFrame, costs: DataFrame) -> DataFrame:
@@ -43,17 +34,9 @@ def join_plans_costs(plans: DataFrame, costs: DataFrame) -> DataFrame:
     return plans.join(costs, on="PlanID", how="inner")
 
 
-def _share_and_score(df: DataFrame) -> DataFrame:
-    """P3-P5 from the window/aggregate columns."""
-    return (
-        df.withColumn("diff_from_avg_state_deductible", F.col(DED) - F.col("avg_deductible_state"))
-        .withColumn(
-            "pct_network_type_in_state",
-            F.round(F.col("plan_count_state_network") * 100.0 / F.col("plan_count_state"), 2),
-        )
-        # Exact decimal, then double: the same value on every run and engine.
-        .withColumn("affordability_score", affordability_score_exact(DED, OOP).cast("double"))
-    )
+def _network_share() -> Column:
+    """P4 from the counts of a network and of its state."""
+    return F.round(F.col("plan_count_state_network") * 100.0 / F.col("plan_count_state"), 2)
 
 
 def group_stats(joined: DataFrame) -> DataFrame:
@@ -76,37 +59,33 @@ def group_stats(joined: DataFrame) -> DataFrame:
     )
 
 
-def rank_counts(joined: DataFrame) -> DataFrame:
-    """Rows per (state, deductible), combined map-side."""
-    return joined.groupBy(STATE, DED).agg(F.count(F.lit(1)).alias("_c"))
+def network_shares(joined: DataFrame) -> DataFrame:
+    """P4 per (state, network): at most 204 rows of validated plans."""
+    counts = joined.groupBy(STATE, NETWORK).agg(F.count("PlanID").alias("plan_count_state_network"))
+    return (counts.withColumn("plan_count_state", F.sum("plan_count_state_network").over(Window.partitionBy(STATE)))
+            .select(STATE, NETWORK, _network_share().alias("pct_network_type_in_state")))
+
+
+def with_network_share(joined: DataFrame) -> DataFrame:
+    """Join output plus P4, all that mart 2 needs of silver."""
+    return _null_safe_join(joined, F.broadcast(network_shares(joined)), [STATE, NETWORK])
 
 
-def counted_rank(joined: DataFrame, counts: DataFrame | None = None, range_parts: int = 0) -> DataFrame:
+def counted_rank(joined: DataFrame) -> DataFrame:
     """W1 as a table (state, deductible, rank): 1 + rows with a smaller deductible.
 
-    NULL deductibles sort first, as in ``rank()`` ascending. With
-    ``range_parts`` > 1 the running sum is computed in two levels so no state
-    is ever handled by one task: the counts are range-partitioned on
-    (state, deductible), each range sums locally, and each range adds the
-    totals of the ranges before it (a table of at most ranges x states rows).
+    NULL deductibles sort first, as in ``rank()`` ascending.
     """
-    counts = rank_counts(joined) if counts is None else counts
-    order = F.col(DED).asc_nulls_first()
-    if range_parts <= 1:
-        before = Window.partitionBy(STATE).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(STATE, DED, (F.coalesce(F.sum("_c").over(before), F.lit(0)) + 1)
-                             .cast("int").alias("rank_deductible_state"))
-    # The range id must be the same in both uses below: checkpoint fixes it.
-    ranged = (counts.repartitionByRange(range_parts, F.col(STATE).asc_nulls_first(), order)
-              .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
-    local = Window.partitionBy("_p", STATE).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    prefix = ranged.withColumn("_bl", F.coalesce(F.sum("_c").over(local), F.lit(0)))
-    totals = ranged.groupBy("_p", STATE).agg(F.sum("_c").alias("_t"))
-    earlier = Window.partitionBy(STATE).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_p", STATE, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_off"))
-    # ranges x states rows: bounded by the number of ranges chosen here.
-    joined_back = _null_safe_join(prefix, F.broadcast(offsets), ["_p", STATE])
-    return joined_back.select(STATE, DED, (F.col("_off") + F.col("_bl") + 1).cast("int").alias("rank_deductible_state"))
+    counts = joined.groupBy(STATE, DED).agg(F.count(F.lit(1)).alias("_c")).withColumn(
+        "_b", F.floor(F.col(DED) / BUCKET).cast("bigint"))
+    in_bucket = Window.partitionBy(STATE, "_b").orderBy(F.col(DED).asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, -1)
+    lower = Window.partitionBy(STATE).orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda w, c: F.coalesce(F.sum(c).over(w), F.lit(0))
+    inside = counts.withColumn("_inside", before(in_bucket, "_c"))
+    totals = counts.groupBy(STATE, "_b").agg(F.sum("_c").alias("_t")).withColumn("_lower", before(lower, "_t"))
+    return _null_safe_join(inside, totals, [STATE, "_b"]).select(
+        STATE, DED, (F.col("_lower") + F.col("_inside") + 1).cast("bigint").alias("rank_deductible_state"))
 
 
 def _null_safe_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
@@ -116,64 +95,24 @@ def _null_safe_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFr
     return big.join(renamed, on=cond, how="inner").drop(*[f"_k_{k}" for k in keys])
 
 
-def table_sizes(*tables: DataFrame) -> list[int]:
-    """Row counts of several small tables in one job."""
-    tagged = [t.select(F.lit(i).alias("_t")) for i, t in enumerate(tables)]
-    union = tagged[0]
-    for t in tagged[1:]:
-        union = union.unionByName(t)
-    counts = {r["_t"]: r["n"] for r in union.groupBy("_t").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) for i in range(len(tables))]
-
-
-def enrich(joined: DataFrame, broadcast_max_rows: int | None = BROADCAST_MAX_ROWS,
-           materialize: bool = True, single_task_rank_rows: int = SINGLE_TASK_RANK_ROWS) -> DataFrame:
+def enrich(joined: DataFrame) -> DataFrame:
     """Silver rows: join output + the eight derived columns, in contract order.
 
-    Windows run over every joined row (inactive plans included), as in the
-    source job; the active filter comes later, in the marts.
-
-    ``joined`` feeds three branches (cell stats, rank counts, the rows). Their
-    column sets differ, so Spark cannot reuse one exchange for all of them and
-    would run the de-duplication and join shuffles three times. With
-    ``materialize`` (default) the join output is checkpointed once into the
-    shared checkpoint folder (reliable, lineage cut); pass ``False`` when the
-    caller has already persisted or checkpointed it.
-    One small job measures the two tables: below ``broadcast_max_rows`` they
-    are broadcast (``None``: leave both joins to AQE); above
-    ``single_task_rank_rows`` the rank's running sum is spread over ranges.
+    Statistics run over every joined row (inactive plans included), as in the
+    source job; the active filter comes later, in the marts. ``joined`` is
+    read three times (cells, ranks, rows), so callers pass a stored table:
+    the pipeline and the registry write the join once as Parquet, and each
+    read is pruned to its columns.
     """
-    if materialize:
-        joined = joined.checkpoint(eager=True)
-    stats = group_stats(joined)
-    counts = rank_counts(joined)
-    n_stats, n_counts = table_sizes(stats, counts)
-    # A running sum over one state stays in one task only while it is small.
-    parts = 0 if n_counts <= single_task_rank_rows else -(-n_counts // single_task_rank_rows) * 4
-    ranks = counted_rank(joined, counts, range_parts=parts)
-    if broadcast_max_rows is not None:
-        # Once rules R2/R4/R6 have run, stats has at most 51 x 4 x 5 = 1,020 rows.
-        if n_stats <= broadcast_max_rows:
-            stats = F.broadcast(stats)
-        if n_counts <= broadcast_max_rows:
-            ranks = F.broadcast(ranks)
-    out = _null_safe_join(joined, ranks, [STATE, DED])
-    out = _null_safe_join(out, stats, [STATE, NETWORK, METAL])
-    return _share_and_score(out).select(*SILVER_COLUMNS)
-
-
-def enrich_windows(joined: DataFrame) -> DataFrame:
-    """Literal window form of the source job (test oracle for ``enrich``)."""
-    state = Window.partitionBy(STATE)
-    out = (
-        joined.withColumn("rank_deductible_state", F.rank().over(state.orderBy(F.col(DED).asc())))
-        .withColumn("avg_deductible_state", F.avg(DED).over(state))
-        .withColumn("plan_count_state", F.count("PlanID").over(state))
-        .withColumn("plan_count_state_network", F.count("PlanID").over(Window.partitionBy(STATE, NETWORK)))
-        .withColumn("avg_oop_max_state_metal", F.avg(OOP).over(Window.partitionBy(STATE, METAL)))
-    )
-    return _share_and_score(out).select(*SILVER_COLUMNS)
+    out = _null_safe_join(joined, counted_rank(joined), [STATE, DED])
+    out = _null_safe_join(out, F.broadcast(group_stats(joined)), [STATE, NETWORK, METAL])
+    return out.withColumns({
+        "diff_from_avg_state_deductible": F.col(DED) - F.col("avg_deductible_state"),
+        "pct_network_type_in_state": _network_share(),
+        # Exact decimal, then double: the same value on every run and engine.
+        "affordability_score": affordability_score_exact(DED, OOP).cast("double"),
+    }).select(*SILVER_COLUMNS)
 
 
-def build_silver(clean_plans_df: DataFrame, clean_costs_df: DataFrame, **kw) -> DataFrame:
-    return enrich(join_plans_costs(clean_plans_df, clean_costs_df), **kw)
+def build_silver(clean_plans_df: DataFrame, clean_costs_df: DataFrame) -> DataFrame:
+    return enrich(join_plans_costs(clean_plans_df, clean_costs_df))

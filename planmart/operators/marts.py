@@ -1,5 +1,8 @@
 """Gold marts DM1-DM3 over silver rows, plus their volume report.
 
+Marts 1 and 3 need row-level columns only, so they may read the plain join of
+plans and costs; mart 2 needs one derived column, the network share.
+
 All three keep active plans only (the silver windows ran before this filter,
 so shares and ranks include inactive plans - kept on purpose). Each mart is a
 single ``groupBy().agg()``: Spark combines the plain aggregates map-side and
@@ -29,17 +32,16 @@ DM3_KEYS = ["StateCode", "MetalLevel", "NetworkType", "BenefitCategory"]
 MART_KEYS = {DM1_TABLE: DM1_KEYS, DM2_TABLE: DM2_KEYS, DM3_TABLE: DM3_KEYS}
 
 
-def plan_ids_unique(silver: DataFrame) -> bool:
-    """True when no PlanID occurs twice in silver (one job over the PlanID column).
+def plan_ids_unique(costs: DataFrame) -> bool:
+    """True when no PlanID occurs twice in the validated costs (one job over that column).
 
-    Plans are de-duplicated, so only repeated cost rows can repeat a PlanID.
-    When this holds, COUNT(DISTINCT PlanID) equals COUNT(PlanID) in every
-    group, and the marts can drop that distinct measure: without it each
+    Plans are de-duplicated, so only repeated cost rows can repeat a PlanID
+    in silver. When this holds, COUNT(DISTINCT PlanID) equals COUNT(PlanID) in
+    every group, and the marts can drop that distinct measure: without it each
     mart combines map-side into domain-sized groups instead of shuffling
     every active row by (group, PlanID).
     """
-    dup = silver.groupBy("PlanID").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return dup.isEmpty()
+    return costs.groupBy("PlanID").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).isEmpty()
 
 
 def _num_plans(unique_plan_ids: bool) -> Column:

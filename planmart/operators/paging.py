@@ -2,8 +2,8 @@
 
 ``page`` returns the rows of one page plus the envelope numbers as columns
 (page, page_size, total, total_pages). ``total`` is a scalar subquery over the
-filtered rows, so a page past the end still knows the total through
-``page_summary``. The order always ends with the full group key, so equal
+filtered rows. A page past the end has no rows to carry it, so ``envelope``
+gives one row with the numbers and the items as an array, empty past the end. The order always ends with the full group key, so equal
 sort values never make pages overlap or skip rows.
 """
 
@@ -62,18 +62,22 @@ def page(
     )
 
 
-def page_summary(
+def envelope(
     df: DataFrame,
+    order: Sequence[Column],
     filters: Mapping[str, object | None] | None = None,
     page_no: int = 1,
     page_size: int = DEFAULT_PAGE_SIZE,
 ) -> DataFrame:
-    """One-row envelope (page, page_size, total, total_pages), also past the end."""
+    """T4: one row (page, page_size, total, total_pages, n_items, items), also past the end."""
     _check_bounds(page_no, page_size)
     rows = equality_filter(df, filters or {})
-    return rows.agg(F.count(F.lit(1)).alias("total")).select(
-        F.lit(page_no).alias("page"),
-        F.lit(page_size).alias("page_size"),
-        "total",
-        F.ceil(F.col("total") / F.lit(page_size)).cast("bigint").alias("total_pages"),
-    )
+    wanted = rows.orderBy(*order).offset((page_no - 1) * page_size).limit(page_size)
+    # at most page_size rows, in page order
+    items = wanted.withColumn("_n", F.monotonically_increasing_id()).agg(
+        F.sort_array(F.collect_list(F.struct("_n", F.struct(*df.columns).alias("item")))).alias("sorted"))
+    total = rows.select(F.count(F.lit(1))).scalar()
+    return items.select(
+        F.lit(page_no).alias("page"), F.lit(page_size).alias("page_size"), total.alias("total"),
+        F.ceil(total / F.lit(page_size)).cast("bigint").alias("total_pages"),
+        F.size("sorted").cast("bigint").alias("n_items"), F.col("sorted.item").alias("items"))

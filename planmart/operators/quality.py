@@ -56,30 +56,38 @@ def cost_rule_predicate() -> Column:
     return (ded >= 0) & (oop > 0) & (ded <= oop)
 
 
-def _preference_key() -> Column:
-    """Struct ordered like the preference: per column a null flag, then the value."""
+def _preference() -> Column:
+    """All columns but the key as one struct that sorts like the preference.
+
+    Per column a null flag, then the value (negated where larger is better):
+    the smallest struct is the row to keep, and holds its values.
+    """
     fields = []
-    for i, (name, descending) in enumerate(DEDUP_ORDER):
+    for name, descending in DEDUP_ORDER:
         c = F.col(name)
-        fields.append(c.isNull().alias(f"n{i}"))
-        fields.append((-c.cast("bigint") if descending else c).alias(f"v{i}"))
+        fields.append(c.isNull().alias(f"no_{name}"))
+        fields.append((-c.cast("bigint") if descending else c).alias(name))
     return F.struct(*fields)
 
 
 def deduplicate_plans(plans: DataFrame, with_counts: bool = False) -> DataFrame:
     """One row per PlanID (NULL keys form one group of their own).
 
-    An aggregate rather than a ``row_number`` window: partial aggregation folds
-    each key map-side, so a key holding a third of all rows never reaches one
-    task whole. ``with_counts`` adds ``_rows`` = input rows of the key.
+    The smallest preference struct is both the choice and the row, so each
+    column is shuffled once. An aggregate rather than a ``row_number`` window:
+    partial aggregation folds each key map-side, so a key holding a third of
+    all rows never reaches one task whole. ``with_counts`` adds ``_rows`` =
+    input rows of the key.
     """
-    others = [c for c in PLAN_COLUMNS if c != "PlanID"]
-    aggs = [F.min_by(F.struct(*others), _preference_key()).alias("_row")]
+    aggs = [F.min(_preference()).alias("_row")]
     if with_counts:
         aggs.append(F.count(F.lit(1)).alias("_rows"))
-    out = plans.groupBy("PlanID").agg(*aggs)
-    cols = ["PlanID"] + [f"_row.{c}" for c in others] + (["_rows"] if with_counts else [])
-    return out.select(*cols)
+    descending = {name for name, d in DEDUP_ORDER if d}
+    kinds = {f.name: f.dataType for f in plans.schema.fields}
+    columns = [F.col("PlanID")] + [
+        (-F.col(f"_row.{c}") if c in descending else F.col(f"_row.{c}")).cast(kinds[c]).alias(c)
+        for c in PLAN_COLUMNS if c != "PlanID"]
+    return plans.groupBy("PlanID").agg(*aggs).select(*columns, *(["_rows"] if with_counts else []))
 
 
 def flag_plans(plans: DataFrame) -> DataFrame:
@@ -94,8 +102,9 @@ def flag_plans(plans: DataFrame) -> DataFrame:
 def clean_plans(plans: DataFrame) -> DataFrame:
     """Plans passing R1..R7 (dedup first, then the validity rules).
 
-    In a filter a NULL predicate drops the row, exactly like ``passes``; the
-    bare predicates are used so Catalyst can push and simplify them.
+    In a filter a NULL predicate drops the row, exactly like ``passes``. The
+    rules judge the row that de-duplication keeps, so they stay above that
+    aggregate; only the key's own filter is below it.
     """
     preds = [pred for _, pred in plan_rule_predicates()]
     keep = preds[0]
@@ -143,16 +152,26 @@ def plan_funnel(plans: DataFrame) -> DataFrame:
     return plan_funnel_from_flagged(flag_plans(plans))
 
 
+def cost_funnel_counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("total"), F.count_if(~passes(cost_rule_predicate())).alias(f"r{COST_RULE[0]}")]
+
+
 def cost_funnel(costs: DataFrame) -> DataFrame:
     """Rows rejected by R3 and rows remaining (costs are not de-duplicated)."""
-    counts = costs.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(~passes(cost_rule_predicate())).alias(f"r{COST_RULE[0]}"),
-    )
-    return funnel_rows(counts, [COST_RULE])
+    return funnel_rows(costs.agg(*cost_funnel_counts()), [COST_RULE])
 
 
-def observe_plan_funnel(flagged: DataFrame, name: str = "plan_funnel") -> tuple[DataFrame, Observation]:
-    """Attach the funnel counts to a pass that runs anyway (e.g. the silver write)."""
+def observed(df: DataFrame, counts: list[Column], name: str) -> tuple[DataFrame, Observation]:
+    """Attach funnel counts to a pass that runs anyway (e.g. a write)."""
     obs = Observation(name)
-    return flagged.observe(obs, *plan_funnel_counts()), obs
+    return df.observe(obs, *counts), obs
+
+
+def funnel_of(counts: dict, rules: list[tuple[int, str]]) -> list[dict]:
+    """Funnel rows from observed counts (nulls of an empty table count as 0)."""
+    left, out = counts.get("total") or 0, []
+    for no, name in rules:
+        rejected = counts.get(f"r{no}") or 0
+        left -= rejected
+        out.append({"rule_no": no, "rule": name, "rejected": rejected, "remaining": left})
+    return out

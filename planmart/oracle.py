@@ -1,7 +1,8 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-The oracle never shares code paths with the Spark operators except the
-fixture SQL text (the inputs). Averages are recomputed with integer
+The oracle shares nothing with the Spark operators but the fixture SQL text
+(the inputs) and the column names of the contracts; rules, domains and orders
+are stated here again (a test compares them). Averages are recomputed with integer
 arithmetic, because DuckDB averages decimals as DOUBLE while Spark keeps
 exact decimals rounded HALF_UP: for a sum ``S`` in units of ``10^-a`` over
 ``n`` values, the mean in units of ``10^-(a+k)`` rounded half up is
@@ -12,12 +13,25 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from .operators.marts import DEFAULT_SNAPSHOT
-from .operators.quality import COST_RULE, DEDUP_ORDER, PLAN_RULES
-from .schemas import (COST_COLUMNS, DM1_ID, DM1_TABLE, DM2_ID, DM2_TABLE, DM3_ID, DM3_TABLE, METAL_ORDER,
-                      MIN_PLAN_YEAR, PLAN_COLUMNS, SILVER_COLUMNS, VALID_METAL_LEVELS, VALID_NETWORK_TYPES,
-                      VALID_STATES)
-from .sources.fixtures import COSTS_SQL, FIXTURE_BENEFIT_CATEGORIES, PLANS_SQL
+from .schemas import COST_COLUMNS, PLAN_COLUMNS, SILVER_COLUMNS
+from .sources.fixtures import COSTS_SQL, PLANS_SQL
+
+# Fixed values of the contract.
+VALID_STATES = ("AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK "
+                "OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC").split()
+VALID_NETWORK_TYPES = ["HMO", "PPO", "EPO", "POS"]
+VALID_METAL_LEVELS = ["Bronze", "Silver", "Gold", "Platinum", "Catastrophic"]
+METAL_ORDER = ["Catastrophic", "Bronze", "Silver", "Gold", "Platinum"]
+MIN_PLAN_YEAR = 2020
+PLAN_RULES = [(1, "PlanID unique/non-null"), (2, "StateCode valid"), (4, "NetworkType valid"), (5, "IssuerName non-empty"),
+              (6, "MetalLevel valid"), (7, "PlanYear >= 2020")]
+COST_RULE = (3, "cost validity")
+DM1_ID, DM2_ID, DM3_ID = "DM1_AFFORDABILITY", "DM2_MARKET_STRUCTURE", "DM3_COMPETITIVENESS"
+DM1_TABLE, DM2_TABLE, DM3_TABLE = "datamart_affordability", "datamart_market_structure", "datamart_competitiveness"
+DEFAULT_SNAPSHOT = "2024-01-15"
+_DEDUP = ("PlanYear DESC NULLS LAST, MetalLevel NULLS LAST, NetworkType NULLS LAST, StateCode NULLS LAST, "
+          "IssuerName NULLS LAST, IsActive NULLS LAST, PlanType NULLS LAST, MarketCoverage NULLS LAST, "
+          "IssuerID NULLS LAST, CountyName NULLS LAST, PlanName NULLS LAST")
 
 
 # -- integer rounding helpers (SQL text) -------------------------------------
@@ -67,7 +81,6 @@ def _in(values) -> str:
 
 
 # -- the pipeline up to the marts ------------------------------------------------
-_DEDUP = ", ".join(f"{c} {'DESC' if d else 'ASC'} NULLS LAST" for c, d in DEDUP_ORDER)
 _RULES = {
     2: f"StateCode IN {_in(VALID_STATES)}",
     4: f"NetworkType IN {_in(VALID_NETWORK_TYPES)}",
@@ -94,7 +107,7 @@ joined AS (SELECT p.*, {_COST_ONLY} FROM clean_plans p JOIN clean_costs c ON p.P
 _AVG_DED_STATE = _dec(_mean_units("_sd", "_nd", 4), 6, 14)
 SILVER = f"""win AS (
   SELECT *,
-    CAST(rank() OVER (PARTITION BY StateCode ORDER BY IndividualDeductible ASC NULLS FIRST) AS INTEGER) AS rank_deductible_state,
+    CAST(rank() OVER (PARTITION BY StateCode ORDER BY IndividualDeductible ASC NULLS FIRST) AS BIGINT) AS rank_deductible_state,
     sum({_units('IndividualDeductible', 2)}) OVER (PARTITION BY StateCode) AS _sd,
     count(IndividualDeductible) OVER (PARTITION BY StateCode) AS _nd,
     count(PlanID) OVER (PARTITION BY StateCode) AS plan_count_state,
@@ -404,21 +417,46 @@ WHERE {' AND '.join(f'{c} IS NOT NULL' for c in dm3_nums[:4])}""")
   CAST(sum(num_hsa_eligible) AS BIGINT) AS hsa,
   {_dbl(_half_even_tenths('sum(num_hsa_eligible)', 'sum(num_plans)'), 1)} AS pct_hsa
 FROM f3 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel) t WHERE pct_hsa IS NOT NULL""")
-    q["panel_exclusion_matrix"] = _panel_sql(
-        "SELECT statecode, " + ", ".join(
-            f"CAST(coalesce(sum(CASE WHEN benefitcategory = '{c}' THEN num_excluded END), 0) AS BIGINT) AS {c}"
-            for c in FIXTURE_BENEFIT_CATEGORIES) + " FROM f3 GROUP BY statecode")
+    # the categories that occur, not a list
+    q["panel_exclusion_matrix"] = _panel_sql("""SELECT statecode, CAST(coalesce(COLUMNS(* EXCLUDE (statecode)), 0) AS BIGINT)
+FROM (PIVOT (SELECT statecode, benefitcategory, num_excluded FROM f3) ON benefitcategory USING sum(num_excluded) GROUP BY statecode)""")
     q["panel_plans_by_metal"] = _panel_sql(f"""SELECT metallevel, CAST(sum(num_plans) AS BIGINT) AS num_plans
 FROM p1 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel""")
     q["panel_state_scatter"] = _panel_sql(f"""SELECT statecode, {_mean_double('avg_individual_deductible', 2)} AS deductible,
   {_mean_double('avg_individual_oop_max', 2)} AS oop, CAST(sum(num_plans) AS BIGINT) AS plans FROM p1 GROUP BY statecode""")
     plan_cols = ", ".join(PLAN_COLUMNS)
+    dated = lambda d, where: f"SELECT {plan_cols}, '{d}' AS snapshot_date FROM plans WHERE {where}"
     q["io_snapshot_roundtrip"] = _with(SOURCES) + (
-        f"SELECT {plan_cols}, '{DEFAULT_SNAPSHOT}' AS snapshot_date FROM plans UNION ALL "
-        f"SELECT {plan_cols}, '2024-01-16' AS snapshot_date FROM plans")
+        f"{dated(DEFAULT_SNAPSHOT, 'IsActive = 1')} UNION ALL {dated('2024-01-16', 'PlanYear >= 2022')}")
+    q["io_snapshot_empty_rerun"] = _with(SOURCES) + dated("2024-01-16", "IsActive = 1")
     q["io_catalog_table"] = _with(SOURCES, CLEAN, SILVER) + (
         f"SELECT {silver_cols}, '{DEFAULT_SNAPSHOT}' AS snapshot_date FROM silver")
     q["io_csv_source"] = _with(SOURCES) + f"SELECT {plan_cols} FROM plans"
     q["io_pipeline_dm1"] = q["dm1_affordability"]
+    q["io_pipeline_dm2"] = q["dm2_market"]
+    q["io_pipeline_dm3"] = q["dm3_competitiveness"]
     q["io_pipeline_silver"] = q["silver_enriched"]
+    q["io_row_counts"] = _marts_sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, CAST(count(*) AS BIGINT) AS n_rows FROM {table}" for name, table in (
+            ("bronze_plans", "plans"), ("bronze_costs", "costs"), ("silver", "silver"), (DM1_TABLE, "dm1"), (DM2_TABLE, "dm2"),
+            (DM3_TABLE, "dm3"))))
+    q["io_pipeline_funnel"] = f"SELECT * FROM ({q['dq_funnel_plans']}) UNION ALL SELECT * FROM ({q['dq_funnel_costs']})"
+    for n, order in ((1, "StateCode, MetalLevel"), (2, "StateCode, NetworkType, num_plans DESC, IssuerName"),
+                     (3, "StateCode, MetalLevel, NetworkType, BenefitCategory")):
+        cols = DM1_COLS if n == 1 else "*"
+        q[f"dm{n}_ordered"] = _marts_sql(
+            f"SELECT {cols}, CAST(row_number() OVER (ORDER BY {order}) AS BIGINT) AS position FROM dm{n}")
+    chosen = "WHERE statecode IN ('CA', 'NY', 'TX')"
+    metals = "AND metallevel IN ('Gold', 'Silver')"
+    q["raw_panel_chosen"] = _panel_sql(f"SELECT {p1_double} FROM p1 {chosen} {metals}")
+    q["raw_panel_chosen_dm2"] = _panel_sql(f"SELECT {p2_double} FROM p2 {chosen} AND networktype = 'HMO'")
+    q["raw_panel_chosen_dm3"] = _panel_sql(f"SELECT {p3_double} FROM p3 {chosen} {metals}")
+    q["raw_panel_none_chosen"] = _panel_sql(f"SELECT {p1_double} FROM p1 WHERE false")
+    q["panel_lenient_limits"] = _with(SOURCES) + (
+        "SELECT PlanID, QuantitativeLimit, TRY_CAST(QuantitativeLimit AS DOUBLE) AS limit_value FROM costs")
+    for key, page_no in (("svc_affordability_page_envelope", 2), ("svc_affordability_page_envelope_past_end", 99)):
+        q[key] = _marts_sql(f"""SELECT {page_no} AS page, 10 AS page_size, (SELECT CAST(count(*) AS BIGINT) FROM dm1) AS total,
+  CAST(ceil((SELECT count(*) FROM dm1) / 10.0) AS BIGINT) AS total_pages, CAST(count(*) AS BIGINT) AS n_items,
+  coalesce(string_agg(StateCode || '/' || MetalLevel, ',' ORDER BY rn), '') AS item_keys
+FROM (SELECT *, row_number() OVER (ORDER BY {_DM1_ORDER}) AS rn FROM dm1) WHERE rn > {(page_no - 1) * 10} AND rn <= {page_no * 10}""")
     return q

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import canonical_position, isin_or_false, lenient_double, percent
 from ..schemas import CHEAPEST_TAG, DEFAULT_STATE_SELECTION, METAL_ORDER, PRICIEST_TAG, VALID_NETWORK_TYPES
 
+# Fixed names: measures of the marts' contract that the panels read as floats.
 DM1_NUMERIC = ["avg_individual_deductible", "avg_family_deductible", "avg_individual_oop_max",
                "avg_family_oop_max", "min_deductible", "max_deductible"]
 DM2_NUMERIC = ["avg_deductible"]
@@ -202,10 +203,19 @@ def hsa_pct(dm3f: DataFrame) -> DataFrame:
     return _in_metal_order(sums.withColumn("pct_hsa", F.bround(ratio, 1).cast("double")))
 
 
-def exclusion_matrix(dm3f: DataFrame, categories: Sequence[str]) -> DataFrame:
-    """Chart 12: state x benefit category excluded count, gaps as 0."""
-    wide = dm3f.groupBy("statecode").pivot("benefitcategory", list(categories)).agg(F.sum("num_excluded"))
-    return wide.select("statecode", *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in categories])
+def exclusion_matrix(dm3f: DataFrame) -> DataFrame:
+    """Chart 12: state x benefit category excluded count, gaps as 0.
+
+    No rule bounds the categories, so the columns are those that occur in the
+    selection (one small job over the mart), in sort order.
+    """
+    found = dm3f.select("benefitcategory").where("benefitcategory IS NOT NULL").distinct().collect()
+    categories = sorted(r[0] for r in found)
+    wide = dm3f.groupBy("statecode")
+    if not categories:
+        return wide.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    wide = wide.pivot("benefitcategory", categories).agg(F.sum("num_excluded"))
+    return wide.select("statecode", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(c) for c in categories])
 
 
 def plans_by_metal(dm1p: DataFrame) -> DataFrame:

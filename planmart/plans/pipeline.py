@@ -1,11 +1,12 @@
 """The daily batch: bronze (landed sources) -> silver (validated, enriched) ->
 gold (three marts), one callable per run date.
 
-Hand-off between the steps is through written, dated Parquet datasets in the
-lake folder, so each step restarts from storage (lineage is cut there and a
-lost executor only re-runs the current step's tasks). Row counts come from
-``observe`` on the writes themselves, not from extra ``count()`` jobs; the
-rule funnel is one small aggregate over the de-duplicated plans.
+Every hand-off is a written, dated Parquet dataset in the lake folder, so each
+step restarts from storage and a lost executor only re-runs the current step's
+tasks. Inside silver two more are handed on and removed at the end: the
+validated plans, whose write also counts the rule funnel, and the join, which
+enrichment reads three times with different columns. Row counts come from
+``observe`` on the writes themselves, not from extra ``count()`` jobs.
 """
 
 from __future__ import annotations
@@ -13,17 +14,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators.enrich import enrich, join_plans_costs
-from ..schemas import (COSTS_SCHEMA, DM1_SCHEMA, DM1_TABLE, DM2_SCHEMA, DM2_TABLE, DM3_SCHEMA, DM3_TABLE,
-                       PLAN_COLUMNS, PLANS_SCHEMA, SILVER_SCHEMA, with_snapshot, without)
-from ..sources.catalog import register_external_table
-from ..sources.snapshots import read_snapshot, snapshot_path, write_snapshot
+from ..schemas import COSTS_SCHEMA, DM1_TABLE, DM2_TABLE, DM3_TABLE, PLAN_COLUMNS, PLANS_SCHEMA, SILVER_SCHEMA, without
+from ..session import delete_path
+from ..sources.catalog import register_snapshots
+from ..sources.snapshots import leaf_path, read_snapshot, write_snapshot
+from .store import MART_SCHEMAS
 
 SILVER_TABLE = "plans_enriched"
 
@@ -60,31 +61,31 @@ def ingest(plans_src: DataFrame, costs_src: DataFrame, lake: str, run_date: str)
 
 def process(spark: SparkSession, lake: str, run_date: str, catalog_db: str | None = None,
             result: RunResult | None = None) -> RunResult:
-    """Silver: rules, funnel, join, enrichment; write the ``run_date`` partition."""
+    """Silver: rules, funnel, join, enrichment; write the ``run_date`` leaf."""
     result = result or RunResult(run_date)
     plans = read_snapshot(spark, f"{lake}/bronze", "plans", PLANS_SCHEMA, run_date)
     costs = read_snapshot(spark, f"{lake}/bronze", "costs", COSTS_SCHEMA, run_date)
-
-    flagged = Q.flag_plans(plans).persist(StorageLevel.MEMORY_AND_DISK)
-    # Seven small rows each: the funnel is reported, not data passed on.
-    result.plan_funnel = [r.asDict() for r in Q.plan_funnel_from_flagged(flagged).collect()]
-    result.cost_funnel = [r.asDict() for r in Q.cost_funnel(costs).collect()]
-
-    clean_plans = flagged.where(F.col("PlanID").isNotNull() & F.col("failed_rule").isNull()).select(*PLAN_COLUMNS)
-    joined = join_plans_costs(clean_plans, Q.clean_costs(costs)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        silver = enrich(joined, materialize=False)  # persisted above
-        obs = Observation("silver")
-        write_snapshot(silver, f"{lake}/silver", SILVER_TABLE, run_date, observation=obs)
-        result.rows["silver"] = _rows(obs)
-    finally:
-        joined.unpersist()
-        flagged.unpersist()
+    work = f"{lake}/work"
+
+    flagged, counted = Q.observed(Q.flag_plans(plans), Q.plan_funnel_counts(), "plan_funnel")
+    kept = flagged.where(F.col("PlanID").isNotNull() & F.col("failed_rule").isNull()).select(*PLAN_COLUMNS)
+    write_snapshot(kept, work, "clean_plans", run_date)
+    result.plan_funnel = Q.funnel_of(counted.get, Q.PLAN_RULES)
+    result.cost_funnel = [r.asDict() for r in Q.cost_funnel(costs).collect()]  # one row; a scan of two columns
+
+    clean = read_snapshot(spark, work, "clean_plans", PLANS_SCHEMA, run_date)
+    joined = join_plans_costs(clean, Q.clean_costs(costs))
+    write_snapshot(joined, work, "joined", run_date)
+    obs = Observation("silver")
+    write_snapshot(enrich(read_snapshot(spark, work, "joined", joined.schema, run_date)), f"{lake}/silver", SILVER_TABLE,
+                   run_date, observation=obs)
+    result.rows["silver"] = _rows(obs)
+    for table in ("clean_plans", "joined"):
+        delete_path(spark, leaf_path(work, table, run_date))
 
     if catalog_db:
-        register_external_table(spark, catalog_db, SILVER_TABLE, snapshot_path(f"{lake}/silver", SILVER_TABLE),
-                                with_snapshot(SILVER_SCHEMA), ["snapshot_date"],
-                                database_location=f"{lake}/catalog/{catalog_db}.db")
+        register_snapshots(spark, catalog_db, f"{lake}/silver", SILVER_TABLE, SILVER_SCHEMA, [run_date],
+                           database_location=f"{lake}/catalog/{catalog_db}.db")
     return result
 
 
@@ -93,10 +94,10 @@ def read_silver(spark: SparkSession, lake: str, run_date: str) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, lake: str, run_date: str, result: RunResult | None = None) -> RunResult:
-    """Gold: three marts from the silver partition, each written in one pass."""
+    """Gold: three marts from the silver leaf (an error when it is missing), each written in one pass."""
     result = result or RunResult(run_date)
     silver = read_silver(spark, lake, run_date)
-    unique = M.plan_ids_unique(silver)  # reads only the PlanID column
+    unique = M.plan_ids_unique(silver.select("PlanID"))  # a scan of that column
     builders = ((DM1_TABLE, M.dm1_affordability), (DM2_TABLE, M.dm2_market), (DM3_TABLE, M.dm3_competitiveness))
     for table, build in builders:
         obs = Observation(table)
@@ -106,9 +107,6 @@ def build_gold(spark: SparkSession, lake: str, run_date: str, result: RunResult
     return result
 
 
-MART_SCHEMAS = {DM1_TABLE: DM1_SCHEMA, DM2_TABLE: DM2_SCHEMA, DM3_TABLE: DM3_SCHEMA}
-
-
 def read_gold(spark: SparkSession, lake: str, table: str, run_date: str) -> DataFrame:
     """A mart of one run, with its ``snapshot_date`` tag as written (contract column order)."""
     schema = MART_SCHEMAS[table]

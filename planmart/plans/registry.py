@@ -1,29 +1,34 @@
 """Named queries over a folder of driver tables: ``QUERIES[name](spark, sf_dir)``.
 
 Every query starts from the driver tables (``orders`` and ``lineitem`` feed
-the two sources) and runs the whole pipeline it needs, so its work grows with
-the tables. Nothing is sampled, capped or subset.
+the two sources), so its work grows with them; nothing is sampled, capped or
+subset. What reads silver or a mart reads the tables that ``store`` writes
+once per application and state of the sources.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import lenient_double
 from ..operators import marts as M
 from ..operators import quality as Q
-from ..operators.enrich import enrich, join_plans_costs
-from ..schemas import DM1_TABLE, PLANS_SCHEMA, SILVER_SCHEMA, with_snapshot
+from ..operators.enrich import join_plans_costs
+from ..schemas import DM1_TABLE, DM2_TABLE, DM3_TABLE, PLANS_SCHEMA, SILVER_SCHEMA
 from ..session import work_path
-from ..sources.catalog import read_table, register_external_table
+from ..sources.catalog import read_table, register_snapshots
 from ..sources.csv import read_csv_source, write_csv_source
-from ..sources.fixtures import FIXTURE_BENEFIT_CATEGORIES, fixture_costs, fixture_plans
-from ..sources.snapshots import read_snapshot, snapshot_path, write_snapshot
+from ..sources.fixtures import fixture_costs, fixture_plans
+from ..sources.snapshots import read_snapshot, write_snapshot
 from . import pipeline as PL
 from . import panels as P
 from . import reports as R
 from . import serving as S
+from .store import store
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -36,36 +41,30 @@ def costs(spark: SparkSession, sf: str) -> DataFrame:
     return fixture_costs(spark, sf)
 
 
-def _silver(spark: SparkSession, sf: str, check_unique: bool = True) -> tuple[DataFrame, bool]:
-    """Silver rows and whether PlanID is unique in them (checked on the join)."""
-    joined = join_plans_costs(Q.clean_plans(plans(spark, sf)), Q.clean_costs(costs(spark, sf)))
-    joined = joined.checkpoint(eager=True)  # feeds the uniqueness check and three enrich branches
-    return enrich(joined, materialize=False), check_unique and M.plan_ids_unique(joined)
-
-
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return _silver(spark, sf, check_unique=False)[0]
+    return store(spark, sf).silver()
 
 
 def dm1(spark, sf):
-    s, unique = _silver(spark, sf)
-    return M.dm1_affordability(s, unique_plan_ids=unique)
+    return store(spark, sf).mart(DM1_TABLE)
 
 
 def dm2(spark, sf):
-    s, unique = _silver(spark, sf)
-    return M.dm2_market(s, unique_plan_ids=unique)
+    return store(spark, sf).mart(DM2_TABLE)
 
 
 def dm3(spark, sf):
-    s, unique = _silver(spark, sf)
-    return M.dm3_competitiveness(s, unique_plan_ids=unique)
+    return store(spark, sf).mart(DM3_TABLE)
 
 
 def _marts(spark, sf):
-    s, unique = _silver(spark, sf)
-    return (M.dm1_affordability(s, unique_plan_ids=unique), M.dm2_market(s, unique_plan_ids=unique),
-            M.dm3_competitiveness(s, unique_plan_ids=unique))
+    return dm1(spark, sf), dm2(spark, sf), dm3(spark, sf)
+
+
+def _ordered(spark, sf, table):
+    """The mart in its presentation order with the position of each row (a mart is small: one file)."""
+    rows = store(spark, sf).build_mart(table, ordered=True).coalesce(1)
+    return rows.withColumn("position", F.monotonically_increasing_id() + 1)
 
 
 def _panel_marts(spark, sf, as_double=False):
@@ -74,34 +73,54 @@ def _panel_marts(spark, sf, as_double=False):
             P.panel_frame(d3, P.DM3_NUMERIC, as_double))
 
 
-def _filtered(spark, sf, as_double=False):
-    return P.apply_selection(*_panel_marts(spark, sf, as_double))
+def _filtered(spark, sf, as_double=False, selection=P.Selection()):
+    return P.apply_selection(*_panel_marts(spark, sf, as_double), selection)
+
 
+def _envelope(spark, sf, page_no):
+    """The envelope with its items as the keys of the page's rows."""
+    out = S.affordability_envelope(dm1(spark, sf), page_no=page_no, page_size=10)
+    keys = F.transform("items", lambda r: F.concat_ws("/", r["StateCode"], r["MetalLevel"]))
+    return out.withColumn("item_keys", F.array_join(keys, ",")).drop("items")
 
-def _mart_volumes(spark, sf):
-    return M.mart_volumes(*_marts(spark, sf))
+
+CHOSEN = P.Selection(states=("CA", "NY", "TX"), metals=("Gold", "Silver"), networks=("HMO",))
 
 
 RUN_DATE, NEXT_DATE = M.DEFAULT_SNAPSHOT, "2024-01-16"
 
 
 def io_snapshot_roundtrip(spark, sf):
-    """Write two dates, rewrite the first; both dates read back whole."""
+    """Two dates of different rows, then a smaller rerun of the first; both read back whole."""
     root = work_path(spark, "bronze")
     src = plans(spark, sf)
-    for d in (RUN_DATE, NEXT_DATE, RUN_DATE):
-        write_snapshot(src, root, "plans", d)
+    write_snapshot(src, root, "plans", RUN_DATE)
+    write_snapshot(src.where("PlanYear >= 2022"), root, "plans", NEXT_DATE)
+    write_snapshot(src.where("IsActive = 1"), root, "plans", RUN_DATE)
     parts = [read_snapshot(spark, root, "plans", PLANS_SCHEMA, d, keep_label=True) for d in (RUN_DATE, NEXT_DATE)]
     return parts[0].unionByName(parts[1])
 
 
+def io_snapshot_empty_rerun(spark, sf):
+    """A rerun without rows empties its own date only."""
+    root = work_path(spark, "bronze")
+    src = plans(spark, sf)
+    write_snapshot(src, root, "plans", RUN_DATE)
+    write_snapshot(src.where("IsActive = 1"), root, "plans", NEXT_DATE)
+    write_snapshot(src.where("PlanYear < 0"), root, "plans", RUN_DATE)
+    return read_snapshot(spark, root, "plans", PLANS_SCHEMA)
+
+
+def _own_database() -> str:
+    return f"planmart_{uuid.uuid4().hex[:8]}"  # runs don't share names
+
+
 def io_catalog_table(spark, sf):
-    """Silver written as a dated partition, read back through the catalog."""
+    """Silver written as a dated leaf, read back through the catalog."""
     root = work_path(spark, "silver")
     write_snapshot(silver(spark, sf), root, PL.SILVER_TABLE, RUN_DATE)
-    name = register_external_table(spark, "planmart_silver", PL.SILVER_TABLE, snapshot_path(root, PL.SILVER_TABLE),
-                                   with_snapshot(SILVER_SCHEMA), ["snapshot_date"],
-                                   database_location=f"{root}/catalog.db")
+    name = register_snapshots(spark, _own_database(), root, PL.SILVER_TABLE, SILVER_SCHEMA, [RUN_DATE],
+                              database_location=f"{root}/catalog.db")
     return read_table(spark, name).where("snapshot_date = '%s'" % RUN_DATE)
 
 
@@ -112,22 +131,38 @@ def io_csv_source(spark, sf):
     return read_csv_source(spark, path, PLANS_SCHEMA)
 
 
-def _pipeline(spark, sf):
+def _pipeline(spark, sf, catalog_db=None):
     lake = work_path(spark, "lake")
-    PL.run(spark, plans(spark, sf), costs(spark, sf), lake, RUN_DATE, catalog_db="planmart_lake")
-    return lake
+    return lake, PL.run(spark, plans(spark, sf), costs(spark, sf), lake, RUN_DATE, catalog_db=catalog_db)
 
 
-def io_pipeline_dm1(spark, sf):
-    """E1 end to end: bronze -> silver -> gold; the affordability mart read back."""
-    return PL.read_gold(spark, _pipeline(spark, sf), DM1_TABLE, RUN_DATE)
+def _gold(table):
+    """E1 end to end: bronze -> silver -> gold; one mart read back."""
+    return lambda spark, sf: PL.read_gold(spark, _pipeline(spark, sf)[0], table, RUN_DATE)
 
 
 def io_pipeline_silver(spark, sf):
-    """The silver partition written by the pipeline, read through the catalog."""
-    _pipeline(spark, sf)
-    return read_table(spark, f"planmart_lake.{PL.SILVER_TABLE}").where("snapshot_date = '%s'" % RUN_DATE) \
-        .drop("snapshot_date")
+    """The silver leaf written by the pipeline, read through the catalog."""
+    db = _own_database()
+    _pipeline(spark, sf, db)
+    return read_table(spark, f"{db}.{PL.SILVER_TABLE}").where("snapshot_date = '%s'" % RUN_DATE).drop("snapshot_date")
+
+
+def io_row_counts(spark, sf):
+    """Rows that each write of a run reported."""
+    return spark.createDataFrame(sorted(_pipeline(spark, sf)[1].rows.items()), "dataset string, n_rows long")
+
+
+def io_pipeline_funnel(spark, sf):
+    """the funnels that a run counted while writing."""
+    run = _pipeline(spark, sf)[1]
+    rows = [(r["rule_no"], r["rule"], r["rejected"], r["remaining"]) for r in [*run.plan_funnel, *run.cost_funnel]]
+    return spark.createDataFrame(rows, "rule_no int, rule string, rejected long, remaining long")
+
+
+def lenient_limits(spark, sf):
+    """Text that is no number becomes NULL."""
+    return costs(spark, sf).select("PlanID", "QuantitativeLimit", lenient_double("QuantitativeLimit").alias("limit_value"))
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -145,10 +180,13 @@ QUERIES: dict[str, QueryFn] = {
     "silver_joined": lambda s, d: join_plans_costs(Q.clean_plans(plans(s, d)), Q.clean_costs(costs(s, d))),
     "silver_enriched": silver,
     # Marts
-    "dm1_affordability": dm1,
-    "dm2_market": dm2,
-    "dm3_competitiveness": dm3,
-    "mart_volumes": _mart_volumes,
+    "dm1_affordability": lambda s, d: store(s, d).build_mart(DM1_TABLE),
+    "dm2_market": lambda s, d: store(s, d).build_mart(DM2_TABLE),
+    "dm3_competitiveness": lambda s, d: store(s, d).build_mart(DM3_TABLE),
+    "dm1_ordered": lambda s, d: _ordered(s, d, DM1_TABLE),
+    "dm2_ordered": lambda s, d: _ordered(s, d, DM2_TABLE),
+    "dm3_ordered": lambda s, d: _ordered(s, d, DM3_TABLE),
+    "mart_volumes": lambda s, d: M.mart_volumes(*_marts(s, d)),
     # Reports
     "q01_metal_profile": lambda s, d: R.q01_metal_profile(dm1(s, d)),
     "q02_costliest_states": lambda s, d: R.q02_costliest_states(dm1(s, d)),
@@ -166,6 +204,8 @@ QUERIES: dict[str, QueryFn] = {
     "svc_affordability_page": lambda s, d: S.affordability_page(dm1(s, d), page_no=1, page_size=10),
     "svc_affordability_page_ny_silver": lambda s, d: S.affordability_page(dm1(s, d), "NY", "Silver"),
     "svc_affordability_page_past_end": lambda s, d: S.affordability_page(dm1(s, d), page_no=99, page_size=10),
+    "svc_affordability_page_envelope": lambda s, d: _envelope(s, d, 2),
+    "svc_affordability_page_envelope_past_end": lambda s, d: _envelope(s, d, 99),
     "svc_market_page": lambda s, d: S.market_page(dm2(s, d), page_no=1, page_size=10),
     "svc_market_page_tx_ppo": lambda s, d: S.market_page(dm2(s, d), "TX", "PPO", page_no=2, page_size=5),
     "svc_competitiveness_page": lambda s, d: S.competitiveness_page(dm3(s, d), page_no=1, page_size=10),
@@ -191,16 +231,26 @@ QUERIES: dict[str, QueryFn] = {
     "panel_copays": lambda s, d: P.copays(_filtered(s, d)[2]),
     "panel_coinsurance": lambda s, d: P.coinsurance(_filtered(s, d)[2]),
     "panel_hsa_pct": lambda s, d: P.hsa_pct(_filtered(s, d)[2]),
-    "panel_exclusion_matrix": lambda s, d: P.exclusion_matrix(_filtered(s, d)[2], FIXTURE_BENEFIT_CATEGORIES),
+    "panel_exclusion_matrix": lambda s, d: P.exclusion_matrix(_filtered(s, d)[2]),
     "panel_plans_by_metal": lambda s, d: P.plans_by_metal(_panel_marts(s, d)[0]),
     "panel_state_scatter": lambda s, d: P.state_scatter(_panel_marts(s, d)[0]),
     "raw_panel_rows": lambda s, d: _filtered(s, d, as_double=True)[0],
     "raw_panel_rows_dm2": lambda s, d: _filtered(s, d, as_double=True)[1],
     "raw_panel_rows_dm3": lambda s, d: _filtered(s, d, as_double=True)[2],
+    "raw_panel_chosen": lambda s, d: _filtered(s, d, as_double=True, selection=CHOSEN)[0],
+    "raw_panel_chosen_dm2": lambda s, d: _filtered(s, d, as_double=True, selection=CHOSEN)[1],
+    "raw_panel_chosen_dm3": lambda s, d: _filtered(s, d, as_double=True, selection=CHOSEN)[2],
+    "raw_panel_none_chosen": lambda s, d: _filtered(s, d, as_double=True, selection=P.Selection(states=()))[0],
+    "panel_lenient_limits": lenient_limits,
     # Sources and sinks
     "io_snapshot_roundtrip": io_snapshot_roundtrip,
+    "io_snapshot_empty_rerun": io_snapshot_empty_rerun,
     "io_catalog_table": io_catalog_table,
     "io_csv_source": io_csv_source,
-    "io_pipeline_dm1": io_pipeline_dm1,
+    "io_pipeline_dm1": _gold(DM1_TABLE),
+    "io_pipeline_dm2": _gold(DM2_TABLE),
+    "io_pipeline_dm3": _gold(DM3_TABLE),
+    "io_row_counts": io_row_counts,
+    "io_pipeline_funnel": io_pipeline_funnel,
     "io_pipeline_silver": io_pipeline_silver,
 }

@@ -5,6 +5,8 @@ domains), so these are cheap; they stay DataFrames so a caller can write or
 page them like any other result. Top-N reports order by the measure and then
 by the group key, so ties are resolved the same way on every run.
 Percentages are exact decimals, as in the serving database's NUMERIC.
+
+The output column names are the reports' fixed contract.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rounded_avg
 from ..operators.marts import DM1_KEYS, DM2_KEYS, DM3_KEYS
-from ..operators.paging import page
+from ..operators.paging import envelope, page
 from ..schemas import DEFAULT_PAGE_SIZE
 
 
@@ -37,6 +37,12 @@ def affordability_page(dm1: DataFrame, state: str | None = None, metal_level: st
     return page(dm1, dm1_page_order(), {"StateCode": state, "MetalLevel": metal_level}, page_no, page_size)
 
 
+def affordability_envelope(dm1: DataFrame, state: str | None = None, metal_level: str | None = None,
+                           page_no: int = 1, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """What the endpoint returns: the page's numbers and its items, also past the end."""
+    return envelope(dm1, dm1_page_order(), {"StateCode": state, "MetalLevel": metal_level}, page_no, page_size)
+
+
 def market_page(dm2: DataFrame, state: str | None = None, network_type: str | None = None,
                 issuer: str | None = None, page_no: int = 1, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
     filters = {"StateCode": state, "NetworkType": network_type, "IssuerName": issuer}

@@ -23,14 +23,7 @@ VALID_METAL_LEVELS = ["Bronze", "Silver", "Gold", "Platinum", "Catastrophic"]
 MIN_PLAN_YEAR = 2020
 # Display order of metal levels on the dashboard panels.
 METAL_ORDER = ["Catastrophic", "Bronze", "Silver", "Gold", "Platinum"]
-# Benefit categories of the production source domain.
-BENEFIT_CATEGORIES = [
-    "Emergency Services", "Hospitalization", "Maternity and Newborn Care",
-    "Mental Health Services", "Prescription Drugs", "Rehabilitative Services",
-    "Laboratory Services", "Preventive Services", "Pediatric Services",
-    "Ambulatory Patient Services",
-]
-# Mart identifiers and serving table names.
+# Mart identifiers and serving table names (fixed contract names, as are all column names below).
 DM1_ID, DM2_ID, DM3_ID = "DM1_AFFORDABILITY", "DM2_MARKET_STRUCTURE", "DM3_COMPETITIVENESS"
 DM1_TABLE, DM2_TABLE, DM3_TABLE = "datamart_affordability", "datamart_market_structure", "datamart_competitiveness"
 # Tags of the two halves of the state-extremes panel.
@@ -81,7 +74,7 @@ PLAN_COLUMNS = PLANS_SCHEMA.fieldNames()
 COST_COLUMNS = COSTS_SCHEMA.fieldNames()
 
 DERIVED_SILVER = T.StructType([
-    T.StructField("rank_deductible_state", T.IntegerType()),
+    T.StructField("rank_deductible_state", T.LongType()),
     T.StructField("avg_deductible_state", T.DecimalType(14, 6)),
     T.StructField("diff_from_avg_state_deductible", T.DecimalType(15, 6)),
     T.StructField("plan_count_state", T.LongType()),

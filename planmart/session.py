@@ -22,7 +22,6 @@ DEFAULT_CONF = {
     # materialised side, so this threshold is applied to a checked size.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -43,21 +42,23 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-_LOCAL_ROOTS: dict[int, str] = {}
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared folder named by ``spark.checkpoint.dir``.
+    """The folder that the driver and all executors share.
 
-    A local folder is chosen here only when the session names none (tests).
+    It is what the session names in ``spark.checkpoint.dir`` or what was set
+    by ``sc.setCheckpointDir``. Only a local master may have neither (tests):
+    then a temporary folder is chosen.
     """
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        key = id(sc._jsc)
-        if key not in _LOCAL_ROOTS:
-            _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="planmart-ckpt-")
-        root = _LOCAL_ROOTS[key]
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _LOCAL_ROOTS.setdefault(sc.applicationId, "") or tempfile.mkdtemp(prefix="planmart-ckpt-")
+        _LOCAL_ROOTS[sc.applicationId] = root
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -65,7 +66,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared folder for a written table."""
-    return f"{ensure_checkpoint_dir(spark)}/planmart-work/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{ensure_checkpoint_dir(spark)}/planmart-work/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "work_path"]
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Delete what this application wrote under the shared folder."""
+    delete_path(spark, f"{ensure_checkpoint_dir(spark)}/planmart-work/{spark.sparkContext.applicationId}")
+
+
+__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "work_path", "clear_work", "delete_path"]

@@ -1,31 +1,35 @@
-"""Expose a partitioned Parquet dataset as an external catalog table."""
+"""Expose a dated Parquet dataset as an external catalog table."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .snapshots import SNAPSHOT_COL, leaf_path, snapshot_path
+
 
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def register_external_table(spark: SparkSession, database: str, table: str, location: str,
-                            schema: T.StructType, partition_cols: list[str],
-                            database_location: str | None = None) -> str:
-    """(Re)create ``database.table`` over ``location`` and discover its partitions.
+def register_snapshots(spark: SparkSession, database: str, root: str, table: str, schema: T.StructType,
+                       dates: Sequence[str], database_location: str | None = None) -> str:
+    """Create ``database.table`` over ``root/table`` if needed and add the partitions of ``dates``.
 
-    The schema is given explicitly (partition labels stay strings). Unlike the
-    source job, a failure here raises instead of being logged and ignored.
+    ``schema`` holds the data columns; the label is a string. Partitions are
+    added one by one: no listing of the whole dataset. Unlike the source job,
+    a failure here raises instead of being logged and ignored.
     """
     where = f" LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
     name = f"`{database}`.`{table}`"
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    parts = ", ".join(f"`{c}`" for c in partition_cols)
-    spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING PARQUET "
-              f"PARTITIONED BY ({parts}) LOCATION '{location}'")
-    spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(schema)}, {SNAPSHOT_COL} string) USING PARQUET "
+              f"PARTITIONED BY ({SNAPSHOT_COL}) LOCATION '{snapshot_path(root, table)}'")
+    for d in dates:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({SNAPSHOT_COL} = '{d}') "
+                  f"LOCATION '{leaf_path(root, table, d)}'")
     return f"{database}.{table}"
 
 

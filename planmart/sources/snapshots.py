@@ -1,19 +1,17 @@
-"""Dated Parquet snapshots (bronze and silver) and whole-mart reads.
-
-One dataset per table, partitioned by a ``snapshot_date`` string column.
-Writes use dynamic partition overwrite, so re-running a date replaces only
-that date (the source job's static overwrite of the partitioned silver table
-deleted every other date - fixed on purpose). Reads give an explicit schema,
-so the label stays a string instead of being inferred as a date, and filter
-on the label so only that folder is listed and scanned (partition pruning).
+"""Dated Parquet snapshots (bronze, silver, gold) and whole-mart reads.
+
+One folder per table with one leaf per date, ``<root>/<table>/snapshot_date=<d>``.
+A write replaces its own leaf, also by an empty result, and leaves every other
+date alone. A read of one date opens that leaf only and fails when it is
+missing; labels stay strings instead of being inferred as dates.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from ..schemas import with_snapshot
 
@@ -24,40 +22,40 @@ def snapshot_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def leaf_path(root: str, table: str, snapshot_date: str) -> str:
+    return f"{snapshot_path(root, table)}/{SNAPSHOT_COL}={snapshot_date}"
+
+
 def write_snapshot(df: DataFrame, root: str, table: str, snapshot_date: str,
                    observation: Observation | None = None) -> None:
-    """Write ``df`` as the ``snapshot_date`` partition of ``root/table``.
+    """Write ``df`` as the ``snapshot_date`` leaf of ``root/table``.
 
     With ``observation`` the written row count (S10) is gathered in the same
     pass as the write instead of by a second ``count()`` job.
     """
-    out = df.withColumn(SNAPSHOT_COL, F.lit(snapshot_date))
     if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
-    (out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT_COL)
-        .parquet(snapshot_path(root, table)))
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    df.write.mode("overwrite").parquet(leaf_path(root, table, snapshot_date))
 
 
 def read_snapshot(spark: SparkSession, root: str, table: str, schema: T.StructType,
                   snapshot_date: str | None = None, keep_label: bool = False) -> DataFrame:
-    """Rows of one snapshot (or all snapshots when ``snapshot_date`` is None)."""
-    df = spark.read.schema(with_snapshot(schema)).parquet(snapshot_path(root, table))
-    if snapshot_date is not None:
-        df = df.where(F.col(SNAPSHOT_COL) == F.lit(snapshot_date))
-    return df if keep_label or snapshot_date is None else df.drop(SNAPSHOT_COL)
+    """Rows of one snapshot (an error when that date was never written), or of all with their labels."""
+    if snapshot_date is None:
+        return spark.read.schema(with_snapshot(schema)).parquet(snapshot_path(root, table))
+    df = spark.read.schema(schema).parquet(leaf_path(root, table, snapshot_date))
+    return df.withColumn(SNAPSHOT_COL, F.lit(snapshot_date)) if keep_label else df
 
 
 def read_mart(spark: SparkSession, path: str, schema: T.StructType | None = None,
               fmt: str = "parquet") -> DataFrame:
-    """Whole-mart read; an empty frame (with ``schema``) when it is missing."""
+    """Whole-mart read; an empty frame (with ``schema``) when its path does not exist."""
     try:
         reader = spark.read.format(fmt)
         if schema is not None:
             reader = reader.schema(schema)
-        df = reader.load(path)
-        df.schema  # resolve now so a missing path is caught here
-        return df
-    except AnalysisException:
+        return reader.load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema or T.StructType([]))

@@ -1,10 +1,13 @@
-"""Silver join and enrichment: scale form equals the literal window form."""
+"""Silver join and enrichment against hand-computed rows (and, in test_oracle, DuckDB windows)."""
 
+from bisect import bisect_left
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from planmart.operators import quality as Q
-from planmart.operators.enrich import build_silver, enrich, enrich_windows, join_plans_costs
-from planmart.schemas import SILVER_SCHEMA
+from planmart.operators.enrich import build_silver, enrich, join_plans_costs, with_network_share
+from planmart.schemas import COSTS_SCHEMA, PLANS_SCHEMA, SILVER_SCHEMA
 from planmart.sources.fixtures import fixture_costs, fixture_plans
 from tests.helpers import cost, costs_df, plan, plans_df
 
@@ -33,51 +36,66 @@ def test_inactive_plans_count_in_windows(spark):
     assert rows["A"].affordability_score == 400.0
 
 
-def test_scale_form_equals_windows_with_nulls(spark):
-    # Unvalidated input: NULL state and NULL deductibles must rank like rank().
-    p = plans_df(spark, [plan("A", state=None), plan("B", state=None), plan("C"), plan("D"), plan("E")])
-    c = costs_df(spark, [cost("A", ded=None), cost("B", ded="5"), cost("C", ded=None), cost("D", ded="5"),
-                         cost("E", ded="7")])
-    j = join_plans_costs(p, c)
-    a, b = enrich(j), enrich_windows(j)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_scale_form_equals_windows_on_fixture(spark, sf_small):
-    j = join_plans_costs(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
-    a, b = enrich(j), enrich(j, broadcast_max_rows=None)
-    w = enrich_windows(j)
-    assert a.count() == 1149
-    assert a.exceptAll(w).count() == 0 and w.exceptAll(a).count() == 0
-    assert b.exceptAll(w).count() == 0
+def _derived(rows):
+    return sorted((r.PlanID, r.rank_deductible_state, r.avg_deductible_state, r.plan_count_state, r.plan_count_state_network,
+                   r.pct_network_type_in_state, r.avg_oop_max_state_metal) for r in rows)
+
+
+def test_hand_computed_rows(spark):
+    p = plans_df(spark, [plan("A", network="HMO", metal="Gold"), plan("B", network="HMO", metal="Silver"),
+                         plan("C", network="PPO", metal="Gold"), plan("T", state="TX")])
+    c = costs_df(spark, [cost("A", ded="99.99", oop="1000"), cost("B", ded="100.00", oop="2000"),
+                         cost("C", ded="100.00", oop="4001"), cost("T", ded="0", oop="10")])
+    third = Decimal("99.996667")
+    assert _derived(build_silver(p, c).collect()) == [
+        ("A", 1, third, 3, 2, 66.67, Decimal("2500.500000")), ("B", 2, third, 3, 2, 66.67, Decimal("2000.000000")),
+        ("C", 2, third, 3, 1, 33.33, Decimal("2500.500000")), ("T", 1, Decimal("0.000000"), 1, 1, 100.0, Decimal("10.000000"))]
+
+
+def _rank(values):
+    key = lambda v: (v is not None, v or 0)
+    return [1 + sum(key(o) < key(v) for o in values) for v in values]
+
+
+def test_rank_with_nulls_and_null_states(spark):
+    # Unvalidated input: NULL states form one state, NULL deductibles come first.
+    states, deds = [None, "CA", "TX"], [None, "0", "5", "99.99", "100", "100.01", "205"]
+    rows = [(f"P{i:02}", states[i % 3], deds[(i * i) % 7]) for i in range(40)]
+    p = plans_df(spark, [plan(i, state=s) for i, s, _ in rows])
+    c = costs_df(spark, [cost(i, ded=d) for i, _, d in rows])
+    got = {r.PlanID: r.rank_deductible_state for r in build_silver(p, c).collect()}
+    for s in states:
+        own = [(i, None if d is None else Decimal(d)) for i, st, d in rows if st == s]
+        assert [got[i] for i, _ in own] == _rank([d for _, d in own])
+
+
+def test_hot_state_and_hot_deductible(spark):
+    n = 3000
+    p = spark.range(n).selectExpr("concat('P', id) AS PlanID", "IF(id % 3 < 2, 'CA', 'NY') AS StateCode")
+    rest = {f.name: f.dataType for f in PLANS_SCHEMA.fields}
+    for name, kind in rest.items():
+        if name not in p.columns:
+            p = p.withColumn(name, F.lit("HMO" if name == "NetworkType" else "Gold" if name == "MetalLevel" else None).cast(kind))
+    c = spark.range(n).selectExpr("concat('P', id) AS PlanID", "CAST(IF(id % 2 = 0, 500, id) AS DECIMAL(10,2)) AS IndividualDeductible")
+    for f in COSTS_SCHEMA.fields:
+        if f.name not in c.columns:
+            c = c.withColumn(f.name, F.lit(None).cast(f.dataType))
+    got = build_silver(p, c).select("StateCode", "IndividualDeductible", "rank_deductible_state").collect()
+    for s in ("CA", "NY"):
+        own = sorted((r.IndividualDeductible, r.rank_deductible_state) for r in got if r.StateCode == s)
+        values = [v for v, _ in own]
+        assert len(own) == n * (2 if s == "CA" else 1) // 3
+        assert [k for _, k in own] == [bisect_left(values, v) + 1 for v in values]
 
 
 def test_silver_contract(spark, sf_small):
     s = build_silver(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
+    assert s.count() == 1149
     assert [(f.name, f.dataType) for f in s.schema.fields] == [(f.name, f.dataType) for f in SILVER_SCHEMA.fields]
 
 
-def test_rank_join_falls_back_to_shuffle_above_limit(spark, sf_small):
-    j = join_plans_costs(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
-    small_limit = enrich(j, broadcast_max_rows=1)
-    assert small_limit.exceptAll(enrich_windows(j)).count() == 0
-
-
-def test_two_level_rank_equals_window(spark, sf_small):
-    from planmart.operators.enrich import counted_rank
+def test_network_share_is_that_of_silver(spark, sf_small):
     j = join_plans_costs(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
-    one = counted_rank(j)
-    for parts in (2, 7):
-        many = counted_rank(j, range_parts=parts)
-        assert many.exceptAll(one).count() == 0 and one.exceptAll(many).count() == 0
-    forced = enrich(j, single_task_rank_rows=100)
-    assert forced.exceptAll(enrich_windows(j)).count() == 0
-
-
-def test_two_level_rank_with_nulls(spark):
-    from planmart.operators.enrich import counted_rank
-    p = plans_df(spark, [plan(f"P{i}", state=[None, "CA", "TX"][i % 3]) for i in range(30)])
-    c = costs_df(spark, [cost(f"P{i}", ded=None if i % 5 == 0 else str(i % 7)) for i in range(30)])
-    j = join_plans_costs(p, c)
-    a, b = counted_rank(j), counted_rank(j, range_parts=3)
+    cols = ["PlanID", "pct_network_type_in_state"]
+    a, b = with_network_share(j).select(cols), enrich(j).select(cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

@@ -1,8 +1,17 @@
 """Sources and sinks: dated snapshots, catalog, CSV, JDBC predicates, pipeline."""
 
+import shutil
+from types import SimpleNamespace
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
+
 from planmart.plans import pipeline as PL
+from planmart.plans.store import store
 from planmart.schemas import PLANS_SCHEMA
-from planmart.session import work_path
+from planmart.session import ensure_checkpoint_dir, work_path
 from planmart.sources.csv import read_csv_source, write_csv_source
 from planmart.sources.jdbc import key_range_predicates
 from planmart.sources.snapshots import read_mart, read_snapshot, write_snapshot
@@ -24,6 +33,61 @@ def test_two_dates_both_readable_and_rewrite_keeps_other(spark):
     assert dict(d2.dtypes)["snapshot_date"] == "string"
 
 
+def test_empty_rerun_empties_its_date_only(spark):
+    root = work_path(spark, "t-snap")
+    a, none = plans_df(spark, [plan("A")]), plans_df(spark, [])
+    for d in ("2024-01-01", "2024-01-02"):
+        write_snapshot(a, root, "plans", d)
+    obs = Observation("empty")
+    write_snapshot(none, root, "plans", "2024-01-01", observation=obs)
+    assert obs.get["rows"] == 0
+    assert read_snapshot(spark, root, "plans", PLANS_SCHEMA, "2024-01-01").count() == 0
+    assert [r.snapshot_date for r in read_snapshot(spark, root, "plans", PLANS_SCHEMA).collect()] == ["2024-01-02"]
+
+
+def test_missing_date_fails(spark):
+    root = work_path(spark, "t-snap")
+    write_snapshot(plans_df(spark, [plan("A")]), root, "plans", "2024-01-01")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_snapshot(spark, root, "plans", PLANS_SCHEMA, "2024-01-02")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        PL.build_gold(spark, work_path(spark, "t-lake"), "2024-01-01")
+
+
+def test_read_mart_hides_no_other_error(spark):
+    with pytest.raises(Exception, match="DATA_SOURCE_NOT_FOUND"):
+        read_mart(spark, work_path(spark, "x"), PLANS_SCHEMA, fmt="no_such_format")
+
+
+def test_store_follows_its_sources(spark, sf_small, tmp_path):
+    for t in ("orders", "lineitem"):
+        shutil.copy(f"{sf_small}/{t}.parquet", tmp_path / f"{t}.parquet")
+    first = store(spark, str(tmp_path))
+    n = first.mart("datamart_affordability").agg({"num_plans": "sum"}).first()[0]
+    assert store(spark, str(tmp_path)) is first
+    pq.write_table(pq.read_table(f"{sf_small}/orders.parquet").slice(0, 700), tmp_path / "orders.parquet")
+    second = store(spark, str(tmp_path))
+    assert second is not first
+    assert second.mart("datamart_affordability").agg({"num_plans": "sum"}).first()[0] < n
+
+
+def test_marts_read_the_stored_join_without_more_joins(spark, sf_small):
+    s = store(spark, sf_small)
+    for table in ("datamart_affordability", "datamart_competitiveness"):
+        plan = s.build_mart(table)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "ExistingRDD" not in plan
+        assert "FamilyDeductible" in plan or table != "datamart_affordability"
+        assert "PlanName" not in plan
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    conf, context = SimpleNamespace(get=lambda k, d: d), SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context))
+    context.getCheckpointDir, context.applicationId = lambda: "hdfs://x/y", "a"
+    assert ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=context)) == "hdfs://x/y"
+
+
 def test_csv_keeps_blank_values(spark):
     path = work_path(spark, "t-csv")
     src = plans_df(spark, [plan("A", issuer="  "), plan(None), plan("B", issuer='Quote "Co", Inc')])
@@ -53,10 +117,13 @@ def test_pipeline_end_to_end(spark, sf_small):
     assert {r["rule_no"]: r["rejected"] for r in res.plan_funnel}[7] == 223
     assert spark.table("planmart_test.plans_enriched").where("snapshot_date = '2024-02-01'").count() == 1149
     assert PL.read_gold(spark, lake, "datamart_affordability", "2024-02-01").count() == 224
+    again = PL.run(spark, fixture_plans(spark, sf_small), fixture_costs(spark, sf_small).limit(0), lake, "2024-02-01",
+                   catalog_db="planmart_test")  # a rerun that finds no costs
+    assert again.rows["silver"] == again.rows["datamart_affordability"] == 0
+    assert PL.read_gold(spark, lake, "datamart_affordability", "2024-02-01").count() == 0
 
 
 def test_run_date_is_strict():
-    import pytest
     assert PL.parse_run_date("2024-01-05") == "2024-01-05"
     with pytest.raises(ValueError):
         PL.parse_run_date("2024/01/05")

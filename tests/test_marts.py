@@ -56,7 +56,7 @@ def test_ordered_marts(spark):
 
 def test_unique_plan_ids_form_matches_distinct(spark, sf_small):
     s = build_silver(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
-    assert M.plan_ids_unique(s)
+    assert M.plan_ids_unique(Q.clean_costs(fixture_costs(spark, sf_small)))
     for build in (M.dm1_affordability, M.dm2_market, M.dm3_competitiveness):
         a, b = build(s), build(s, unique_plan_ids=True)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -64,6 +64,6 @@ def test_unique_plan_ids_form_matches_distinct(spark, sf_small):
 
 def test_duplicate_cost_rows_are_detected(spark):
     s = _silver(spark, [plan("A"), plan("B")], [cost("A"), cost("A", category="Benefit_2"), cost("B")])
-    assert not M.plan_ids_unique(s)
+    assert not M.plan_ids_unique(costs_df(spark, [cost("A"), cost("A", category="Benefit_2"), cost("B")]))
     # Fan-out: averages weigh both cost rows, the plan is counted once.
     assert M.dm1_affordability(s).collect()[0].num_plans == 2

@@ -2,7 +2,7 @@
 
 import pytest
 
-from planmart.operators.paging import page_summary
+from planmart.operators.paging import envelope
 from planmart.plans import serving as S
 from tests.helpers import cost, costs_df, plan, plans_df
 from planmart.operators import marts as M
@@ -35,8 +35,15 @@ def test_envelope_columns(spark, dm2):
 
 def test_past_end_page_is_empty_but_total_is_known(spark, dm2):
     assert S.market_page(dm2, page_no=50, page_size=10).count() == 0
-    s = page_summary(dm2, {}, page_no=50, page_size=10).collect()[0]
-    assert s.total == dm2.count()
+    s = envelope(dm2, S.dm2_page_order(), {}, page_no=50, page_size=10).collect()[0]
+    total = dm2.count()
+    assert (s.total, s.total_pages, s.n_items, s["items"]) == (total, -(-total // 10), 0, [])
+
+
+def test_envelope_holds_the_page_in_order(spark, dm2):
+    rows = [tuple(r)[:len(dm2.columns)] for r in S.market_page(dm2, page_no=2, page_size=4).collect()]
+    s = envelope(dm2, S.dm2_page_order(), {}, page_no=2, page_size=4).collect()[0]
+    assert [tuple(r) for r in s["items"]] == rows and s.n_items == 4
 
 
 def test_filters(spark, dm2):

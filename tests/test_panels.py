@@ -68,3 +68,14 @@ def test_hsa_half_even(spark):
     d1, d2, d3 = _marts(spark)
     r = {x.metallevel: x.pct_hsa for x in P.hsa_pct(d3).collect()}
     assert r == {"Bronze": 0.0, "Gold": 100.0}
+
+
+def test_exclusions_of_any_category_are_kept(spark):
+    rows = [("AK", "Benefit_1", 0), ("AL", "Dental | Vision", 0), ("AL", "Benefit_1", 1), ("AZ", "Ambulatory Care", 0)]
+    s = build_silver(plans_df(spark, [plan(f"P{i}", state=st) for i, (st, _, _) in enumerate(rows)]),
+                     costs_df(spark, [cost(f"P{i}", category=c, covered=k) for i, (_, c, k) in enumerate(rows)]))
+    d3 = P.panel_frame(M.dm3_competitiveness(s), P.DM3_NUMERIC, False)
+    m = P.exclusion_matrix(d3)
+    assert m.columns == ["statecode", "Ambulatory Care", "Benefit_1", "Dental | Vision"]
+    assert sorted(map(tuple, m.collect())) == [("AK", 0, 1, 0), ("AL", 0, 0, 1), ("AZ", 1, 0, 0)]
+    assert P.exclusion_matrix(d3.limit(0)).columns == ["statecode"]

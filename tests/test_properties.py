@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from planmart.operators import marts as M
 from planmart.operators import quality as Q
-from planmart.operators.enrich import enrich, enrich_windows, join_plans_costs
+from planmart.operators.enrich import enrich, join_plans_costs
 from tests.helpers import cost, costs_df, plan, plans_df
 
 ids = st.sampled_from(["P1", "P2", "P3", "P4", None])
@@ -43,13 +43,19 @@ def test_funnel_accounts_for_every_row(spark, rows):
 
 @SETTINGS
 @given(prow=plan_rows, crow=cost_rows)
-def test_scale_form_equals_windows(spark, prow, crow):
+def test_ranks_and_counts_by_brute_force(spark, prow, crow):
     # Unvalidated plans (NULL states and deductibles included); costs may fan out.
     p = Q.deduplicate_plans(_plans(spark, prow))
     c = costs_df(spark, [cost(pid, ded=d, oop=o) for pid, d, o in crow])
-    j = join_plans_costs(p, c)
-    a, b = enrich(j), enrich_windows(j)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    rows = enrich(join_plans_costs(p, c)).collect()
+    key = lambda v: (v is not None, v or 0)
+    for r in rows:
+        state = [x for x in rows if x.StateCode == r.StateCode]
+        deds = [x.IndividualDeductible for x in state]
+        assert r.rank_deductible_state == 1 + sum(key(d) < key(r.IndividualDeductible) for d in deds)
+        assert r.plan_count_state == len(state)
+        assert r.plan_count_state_network == sum(x.NetworkType == r.NetworkType for x in state)
+    assert len(rows) == join_plans_costs(p, c).count()
 
 
 @SETTINGS
