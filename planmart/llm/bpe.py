@@ -44,7 +44,8 @@ CAPITALS = ((0x1C89, 0x1C89, 1), (0xA7CB, 0xA7CB, 0x264 - 0xA7CB), (0xA7CC, 0xA7
             (0x16EA0, 0x16EB8, 0x1B))
 
 SHORT = 32  # bytes
-CACHE_WORDS = 150_000
+CACHE_WORDS = 400_000
+WIDTHS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 20, 24, SHORT)  # bytes; words of a group are padded to the next
 NO_RANK = np.int32(2**31 - 1)
 
 
@@ -111,6 +112,9 @@ class Encoder:
         self.split = regex.compile(pattern)
         self.small = {c: c + by for a, b, by in CAPITALS for c in range(a, b + 1)}
         self.odd = regex.compile(f"[{newer}{''.join(map(chr, self.small))}]")
+        # of the first 65,536 characters those that ``odd`` matches; beyond them any may
+        self.maybe_odd = np.zeros(0x10001, bool)
+        self.maybe_odd[[c for c in range(0x10000) if not 0xD800 <= c < 0xE000 and self.odd.match(chr(c))] + [0x10000]] = True
         if newer:
             known = {r"\p{L}": rf"[\p{{L}}--[{newer}]]", r"\p{N}": rf"[\p{{N}}--[{newer}]]"}
             for name, rest in known.items():
@@ -118,7 +122,8 @@ class Encoder:
         self.split_odd = regex.compile(pattern, regex.V1)
         self.special = regex.compile("|".join(map(regex.escape, sorted(spec["special"], key=len, reverse=True)))) \
             if spec["special"] else None
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.fixed = {t: (i,) for t, i in spec["special"].items()}  # no split word looks like one
+        self.cache: dict[str, tuple[int, ...]] = dict(self.fixed)
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of parts; NO_RANK where the pair never merges (or a part is absent, -1)."""
@@ -132,38 +137,42 @@ class Encoder:
         ids[-1] = self.spec["last"][codes[-1]]
         return ids
 
-    def encode_short(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        """All words of at most ``SHORT`` bytes at once: one row of parts and ranks per word."""
-        width = max(map(len, words))
-        parts = np.full((len(words), width), -1, np.int32)
-        for i, word in enumerate(words):
-            parts[i, :len(word)] = self.parts(word)
+    def encode_short(self, words: list[bytes], width: int) -> list[tuple[int, ...]]:
+        """All words of at most ``width`` bytes at once: one row of parts and one of ranks per word."""
+        sizes = np.array([len(w) for w in words])
+        codes = np.frombuffer(b"".join(words), np.uint8)
+        ends = np.cumsum(sizes) - 1
+        ids = self.spec["first"][codes]
+        ids[ends] = self.spec["last"][codes[ends]]
+        parts = np.full((len(words), width + 1), -1, np.int32)  # one place more, always empty
+        parts[np.arange(width + 1) < sizes[:, None]] = ids
         done = parts.copy()
         rows = np.arange(len(words))  # of the words that may still merge
-        ranks = self.ranks(parts[:, :-1], parts[:, 1:]) if width > 1 else np.zeros((len(words), 0), np.int32)
-        while width > 1 and rows.size:
+        ranks = np.full((len(words), width), NO_RANK, np.int32)
+        ranks[:, :-1] = self.ranks(parts[:, :-2], parts[:, 1:-1])
+        while rows.size and ranks.shape[1] > 1:
             at = ranks.argmin(axis=1)
             best = ranks[np.arange(rows.size), at]
             live = best < NO_RANK
             if not live.all():
-                done[rows[~live]] = parts[~live]
+                done[rows[~live], :parts.shape[1]] = parts[~live]
+                done[rows[~live], parts.shape[1]:] = -1
                 rows, parts, ranks, at, best = rows[live], parts[live], ranks[live], at[live], best[live]
-                if not rows.size:
-                    break
             each = np.arange(rows.size)
+            # delete the boundary behind `at`: what lies beyond moves one place forward, the merged part stands at `at`
+            columns = np.arange(parts.shape[1] - 1)
+            np.copyto(parts[:, :-1], parts[:, 1:], where=columns > at[:, None])
+            np.copyto(ranks[:, :-1], ranks[:, 1:], where=columns[:-1] >= at[:, None])
             parts[each, at] = self.spec["merged"][best]
-            # delete the boundary after `at`: what lies behind moves one place forward
-            columns = np.arange(width)
-            parts = np.where(columns[None] > at[:, None], np.pad(parts, ((0, 0), (0, 1)), constant_values=-1)[:, 1:], parts)
-            ranks = np.where(columns[None, :-1] >= at[:, None],
-                             np.pad(ranks, ((0, 0), (0, 1)), constant_values=NO_RANK)[:, 1:], ranks)
+            parts, ranks = parts[:, :-1], ranks[:, :-1]  # every row that still merges is one part shorter
             # refresh the ranks on both sides of the merged part
             before = np.maximum(at - 1, 0)
             ranks[each, before] = np.where(at > 0, self.ranks(parts[each, before], parts[each, at]), ranks[each, before])
-            after = np.minimum(at, width - 2)
-            ranks[each, after] = np.where(at < width - 1, self.ranks(parts[each, after], parts[each, after + 1]),
-                                          ranks[each, after])
-        return [tuple(i for i in row if i >= 0) for row in done.tolist()]
+            after = np.minimum(at, ranks.shape[1] - 1)
+            ranks[each, after] = np.where(after == at, self.ranks(parts[each, after], parts[each, after + 1]), ranks[each, after])
+        done[rows, :parts.shape[1]] = parts
+        done[rows, parts.shape[1]:] = -1
+        return [tuple(row[:n]) for row, n in zip(done.tolist(), (done >= 0).sum(axis=1).tolist(), strict=True)]
 
     def encode_long(self, word: bytes) -> tuple[int, ...]:
         """One word by a heap of (rank, place) over linked parts."""
@@ -198,41 +207,47 @@ class Encoder:
         return tuple(i for i in ids if i >= 0)
 
     def encode_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        out = {}
-        by_width: dict[int, list[str]] = {}
-        for word in words:
-            n = len(word.encode("utf-8", "surrogatepass"))
-            by_width.setdefault(min(w for w in (4, 8, 16, SHORT, n) if w >= n), []).append(word)
-        for width, group in by_width.items():
-            raw = [w.encode("utf-8", "surrogatepass") for w in group]
-            ids = self.encode_short(raw) if width <= SHORT else map(self.encode_long, raw)
-            out.update(zip(group, ids, strict=True))
+        raw = sorted(((w.encode("utf-8", "surrogatepass"), w) for w in words), key=lambda r: len(r[0]))
+        sizes = np.array([len(r) for r, _ in raw])
+        out, begin = {}, 0
+        for width in WIDTHS:
+            end = int(np.searchsorted(sizes, width, side="right"))
+            if end > begin:
+                ids = self.encode_short([r for r, _ in raw[begin:end]], width)
+                out.update(zip([w for _, w in raw[begin:end]], ids, strict=True))
+            begin = end
+        out.update((w, self.encode_long(r)) for r, w in raw[begin:])
         return out
 
-    def words(self, text: str) -> list[str | int]:
-        """Normalised words in order; special tokens as their ids."""
-        out: list[str | int] = []
+    def words(self, text: str) -> list[str]:
+        """Normalised words, and special tokens as they stand, in order."""
+        out: list[str] = []
         at = 0
-        for m in self.special.finditer(text) if self.special else ():
+        for m in self.special.finditer(text) if self.special and any(t in text for t in self.fixed) else ():
             out += self._plain(text[at:m.start()])
-            out.append(self.spec["special"][m[0]])
+            out.append(m[0])
             at = m.end()
         return out + self._plain(text[at:] if at else text)
 
     def _plain(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.split.findall(text.lower())
         # lower-cased character by character: a final sigma is no special case
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return self.split_odd.findall(text.translate(self.small)) if self.odd.search(text) else self.split.findall(text)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        if self.maybe_odd[np.minimum(codes, 0x10000)].any() and self.odd.search(text):
+            return self.split_odd.findall(text.translate(self.small))
+        return self.split.findall(text)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [self.words(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.cache and not isinstance(w, int)}
+        new = set().union(*split).difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache = {}
-            new = {w for words in split for w in words if not isinstance(w, int)}
+            self.cache = dict(self.fixed)
+            new = set().union(*split).difference(self.cache)
         self.cache.update(self.encode_words(new))
-        self.cache.update({i: (i,) for i in self.spec["special"].values()})
-        return [list(chain.from_iterable(map(self.cache.__getitem__, words))) for words in split]
+        get = self.cache.__getitem__
+        return [list(chain.from_iterable(map(get, words))) for words in split]
 
     def decode(self, ids: list[int]) -> str:
         """Without a decoder in its file, a tokenizer joins tokens with a space."""
