@@ -55,6 +55,11 @@ def clear_work(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def by_shuffle(df: DataFrame) -> DataFrame:
+    """A side that grows with the corpus: joined by shuffle and sort at every size, never broadcast."""
+    return df.hint("merge")
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

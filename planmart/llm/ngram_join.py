@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, materialize, shuffle_partitions
+from .common import bound_batches, by_shuffle, materialize, shuffle_partitions
 from .components import connected_components
 
 N = 5
@@ -254,7 +254,7 @@ def verify(df: DataFrame, classes: DataFrame, groups: DataFrame, id_col: str, te
         groups.join(sizes, "component").join(classes.select("set_key", "first"), F.col("node") == F.col("set_key"))
         .select("component", "members", "set_key", "first.doc_id", "first.text_hash"), "nodes")
     texts = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
-    found = texts.join(nodes, texts["id"].eqNullSafe(nodes["doc_id"]) & (texts["hash"] == nodes["text_hash"])).select(
+    found = texts.join(by_shuffle(nodes), texts["id"].eqNullSafe(nodes["doc_id"]) & (texts["hash"] == nodes["text_hash"])).select(
         "component", "members", "set_key", "text")
     dealt = (_blocks(found, "component", "set_key", "members", VERIFY_BLOCK)
              .repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "set_key"))
@@ -316,7 +316,7 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     leads = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
     gone = materialize(keys(joined.where(~leads)), "near-copies")
     is_row = lambda rows: df[id_col].eqNullSafe(rows["_id"]) & (F.xxhash64(df[text_col]) == rows["_hash"])
-    left = df.join(gone, is_row(gone), "left_anti")
+    left = df.join(by_shuffle(gone), is_row(gone), "left_anti")
     twice = materialize(joined.where(leads & (F.col("n_copies") > 1)).groupBy("doc_id", "text_hash")
                         .agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "repeated-rows")
     if twice.isEmpty():  # the rule: ids name one row each
