@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, row_key
+from .common import by_shuffle, materialize, row_key
 
 WINDOW = 2
 
@@ -71,7 +71,7 @@ def line_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text
     starts = materialize(repeated_lines(df, window, id_col, text_col), "repeated-lines").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("starts").alias("_starts"))
     joined = df.withColumn("_key", F.xxhash64(F.col(text_col))).join(
-        starts, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
+        by_shuffle(starts), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
     covered = F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + window - 1)))
