@@ -5,24 +5,26 @@ document with a smaller id; every word covered by such a window is removed.
 
 1. Exact copies: of equal texts only the one with the smallest id goes on; of
    the others all words are covered (if there are ``WINDOW`` of them).
-2. Anchors: in every window the smallest of its hashed 5-grams is selected, so
-   equal windows select the same place. Windows whose anchor occurs in one
-   document only cannot repeat and are dropped.
-3. Suffixes: each window left starts a suffix, cut at ``WINDOW`` words, as
-   deeper nodes change nothing. Variable-length prefixes split the suffixes
-   into groups that fit a task: a prefix that is heavy in a sample of the
-   corpus is lengthened word by word up to the whole window. A group is sorted
-   (Spark's external sort), and its suffix tree is read off in order: the
-   common prefix of neighbours is the depth of the node between them, and a
-   node of depth ``WINDOW`` holds all occurrences of one window. Its least id
-   comes first; all later documents lose the words it covers. Joined, the
-   windows of a document are its maximal repeats.
-
-Hot windows: a whole window that is heavy in the sample is salted by document;
-each part settles all but its own first document, and those few are settled
-against each other by a folding aggregate. The sample only decides how rows
-are dealt, never what is found. Anchors that the sample sees in two documents
-are known to repeat, so they are salted too.
+2. Prefixes: in every window the place with the smallest hashed 5-gram is
+   selected, so equal windows select the same place. 5-grams that only one
+   document selects cannot lie in a repeat and are dropped.
+3. Subtrees: the suffixes around the places that are left are partitioned by
+   that 5-word prefix; one row holds the words around a place, from which all
+   windows that selected it follow as suffixes that begin up to eight words
+   before it. Prefixes have variable length: one that is heavy in a sample of
+   the corpus is lengthened to the whole window. A task sorts the suffixes of
+   its groups, which is the order of their tree's leaves; the words that
+   neighbours share are the depth of the node between them, and a node of depth
+   ``WINDOW`` holds all occurrences of one window. Its first document keeps the
+   words, all later ones lose them. Joined, the windows of a document are its
+   maximal repeats.
+
+Hot cases: whole windows that are heavy in the sample get their smallest
+document from a folding aggregate over the corpus instead (a list of at most
+``HEAVY_ROWS`` rows, broadcast). 5-grams that the sample sees twice are known
+to repeat, so they need no counting and are salted. The sample only decides
+how rows are dealt, never what is found. A task holds one batch of rows and the
+distinct windows of the group that it is in.
 
 Defined cases: null texts have no words; texts of fewer than ``WINDOW`` words
 lose nothing; rows without an id neither remove nor lose words; rows that
@@ -32,7 +34,6 @@ empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,68 +42,76 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import bound_batches, materialize, shuffle_partitions
+from .common import bound_batches, by_shuffle, materialize, shuffle_partitions
+from .hashing import hashed_words, text_chunks
 
 WINDOW, GRAM = 13, 5
-LEVELS = (1, 2, 4, 8, 13)  # words of a prefix
-SAMPLE = 64  # one document in so many is looked at for heavy prefixes
-HEAVY_ROWS = 100_000  # longest list of heavy anchors or prefixes; broadcast
-GROUP_ROWS = 50_000  # suffixes that a group should hold at most
+SPAN = WINDOW - GRAM + 1  # 5-grams of a window
+AROUND = WINDOW + SPAN - 1  # words around a place that its windows can hold
+WORD_BYTES = 6  # of each word's hash that a row carries
+SAMPLE = 64  # one document in so many is looked at for heavy prefixes and windows
+HEAVY = 8  # occurrences in the sample that make one heavy
+HEAVY_ROWS = 100_000  # longest list of heavy prefixes or windows; broadcast
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _RNG = np.random.default_rng(13)
 _MULTIPLIERS = (_RNG.integers(0, 1 << 63, 16, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-SUFFIX_BYTES = 4 * WINDOW + 8
 
 
-def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text or "")
-
-
-def word_hashes(words: list[str]) -> np.ndarray:
-    import xxhash
-
-    digest = xxhash.xxh3_64_intdigest
-    return np.fromiter((digest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
-
-
-def gram_hashes(w: np.ndarray, n: int) -> np.ndarray:
-    """64-bit hash of the n words from each place on."""
-    size = max(0, len(w) - n + 1)
-    h = np.full(size, n, np.uint64)
-    for k in range(n):
-        h = (h ^ w[k:k + size]) * _MULTIPLIERS[k]
-        h ^= h >> np.uint64(29)
-    return h
-
-
-def anchors(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) that each window of a text selects; one entry per window."""
-    h = gram_hashes(w, GRAM)
-    span = WINDOW - GRAM + 1
-    if len(h) < span:
-        return h[:0], np.zeros(0, np.int64)
-    at = np.arange(len(h) - span + 1)
-    best, place = h[:len(at)].copy(), at.copy()
-    for k in range(1, span):
-        other = h[k:k + len(at)]
-        lower = other < best
-        best[lower], place[lower] = other[lower], at[lower] + k
-    return best, place
-
-
-def suffix_bytes(w: np.ndarray) -> np.ndarray:
-    """(windows x SUFFIX_BYTES): 32 bits of each word in order, then a 64-bit hash of the window."""
-    n = max(0, len(w) - WINDOW + 1)
-    out = np.empty((n, SUFFIX_BYTES), np.uint8)
-    low = (w >> np.uint64(32)).astype(">u4")
-    for k in range(WINDOW):
-        out[:, 4 * k:4 * k + 4] = low[k:k + n].view(np.uint8).reshape(-1, 4)
-    out[:, 4 * WINDOW:] = gram_hashes(w, WINDOW).astype(">u8").view(np.uint8).reshape(-1, 8)
-    return out
-
-
-def _ids(docs: DataFrame) -> str:
+class Words:
+    """The words of some texts as 64-bit hashes, with the windows and the places they select."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.hashes, self.doc = hashed_words(data, offsets)
+        self.first = np.searchsorted(self.doc, np.arange(len(offsets)))  # word where each text begins
+        at = np.arange(max(0, len(self.hashes) - WINDOW + 1))
+        self.windows = at[at + WINDOW <= self.first[self.doc[:len(at)] + 1]] if len(at) else at
+
+    def grams(self, n: int) -> np.ndarray:
+        """Hash of the n words from each place on (also across texts; callers look at windows only)."""
+        size = max(0, len(self.hashes) - n + 1)
+        h = np.full(size, n, np.uint64)
+        for k in range(n):
+            h = (h ^ self.hashes[k:k + size]) * _MULTIPLIERS[k]
+            h ^= h >> np.uint64(29)
+        return h
+
+    def selected(self) -> tuple[np.ndarray, np.ndarray]:
+        """(5-gram hash, place) that each window selects: the smallest hash, the first of equals."""
+        h, at = self.grams(GRAM), self.windows
+        best, place = h[at], at.copy()
+        for k in range(1, SPAN):
+            other = h[at + k]
+            lower = other < best
+            best[lower], place[lower] = other[lower], at[lower] + k
+        return best.view(np.int64), place
+
+    def marks(self) -> tuple[np.ndarray, np.ndarray]:
+        """(5-gram hash, text) of all selected places, each pair once."""
+        mark, place = self.selected()
+        fresh = np.ones(len(place), bool)
+        fresh[1:] = place[1:] != place[:-1]
+        mark, owner = mark[fresh], self.doc[place[fresh]]
+        order = np.lexsort((mark, owner))
+        mark, owner = mark[order], owner[order]
+        fresh = np.ones(len(mark), bool)
+        fresh[1:] = (mark[1:] != mark[:-1]) | (owner[1:] != owner[:-1])
+        return mark[fresh], owner[fresh]
+
+    def around(self, places: np.ndarray) -> np.ndarray:
+        """Bytes of the words around each place, from SPAN-1 before it on (0 beyond the ends)."""
+        at = places[:, None] + np.arange(1 - SPAN, WINDOW)
+        inside = (at >= 0) & (at < len(self.hashes))
+        words = np.where(inside, self.hashes[np.clip(at, 0, max(0, len(self.hashes) - 1))], np.uint64(0))
+        return np.ascontiguousarray(words.astype(">u8").view(np.uint8).reshape(len(places), AROUND, 8)[:, :, :WORD_BYTES])
+
+
+def chunks(texts: pa.Array) -> Iterator[tuple[int, Words]]:
+    """(number of the first text, words) of consecutive texts."""
+    for k, _, data, offsets in text_chunks(texts):
+        yield k, Words(data, offsets)
+
+
+def _kind(docs: DataFrame) -> str:
     return docs.schema["doc_id"].dataType.simpleString()
 
 
@@ -112,194 +121,237 @@ def _is_copy():
 
 def later_copies(docs: DataFrame) -> DataFrame:
     """doc_id, copies: digests of its texts that a smaller id also has."""
-    keyed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest")).where("doc_id IS NOT NULL AND digest IS NOT NULL")
+    keyed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
     first = materialize(keyed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
                         .where("n > 1").drop("n"), "first-copies")
-    return (keyed.join(first, "digest").where("doc_id > first").groupBy("doc_id")
+    return (keyed.join(by_shuffle(first), "digest").where("doc_id > first").groupBy("doc_id")
             .agg(F.collect_set("digest").alias("copies")))  # one, unless rows share the id
 
 
-def heavy_lists(docs: DataFrame) -> tuple[list[int], list[tuple[int, int]]]:
-    """From a sample: anchors seen in two documents or more, and (level, prefix hash) of groups that are too large."""
+def heavy_lists(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From a sample: 5-grams that two documents or more select; heavy 5-grams; heavy windows (hashes, sorted)."""
     sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SAMPLE)) == 0).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            levels, hashes, counts = [], [], []
-            for text in batch.column("text").to_pylist():
-                w = word_hashes(words_of(text))
-                found = [(0, np.unique(anchors(w)[0]), None)]
-                n = max(0, len(w) - WINDOW + 1)
-                for level in LEVELS:
-                    found.append((level, *np.unique(gram_hashes(w[:n + level - 1], level), return_counts=True)))
-                for level, h, c in found:
-                    levels.append(np.full(len(h), level, np.int32))
-                    hashes.append(h.view(np.int64))
-                    counts.append(np.ones(len(h), np.int64) if c is None else c)
-            if levels:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (levels, hashes, counts)],
-                                                 names=["level", "hash", "n"])
-
-    counted = sample.mapInArrow(run, "level int, hash long, n long").groupBy("level", "hash").agg(F.sum("n").alias("n"))
-    least = F.when(F.col("level") == 0, 2).otherwise(max(2, GROUP_ROWS // SAMPLE))
-    rows = counted.where(F.col("n") >= least).orderBy(F.desc("n"), "level", "hash").limit(HEAVY_ROWS).collect()
-    return [r[1] for r in rows if r[0] == 0], [(r[0], r[1]) for r in rows if r[0]]
-
-
-def repeated_anchors(docs: DataFrame, hot: list[int]) -> DataFrame:
-    """doc_id, marks: anchors of each document that other documents select too."""
-    sent = docs.sparkSession.sparkContext.broadcast(np.sort(np.array(hot, np.int64)))  # at most HEAVY_ROWS
+            for _, words in chunks(batch.column("text")):
+                found = [np.unique(h, return_counts=True) for h in (
+                    words.marks()[0], words.grams(WINDOW)[words.windows].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat([0, 1], [len(h) for h, _ in found]).astype(np.int32)),
+                     pa.array(np.concatenate([h for h, _ in found])), pa.array(np.concatenate([n for _, n in found]))],
+                    names=["whole", "hash", "n"])
+
+    counted = (sample.mapInArrow(run, "whole int, hash long, n long").groupBy("whole", "hash").agg(F.sum("n").alias("n"))
+               .where(F.col("n") >= F.when(F.col("whole") == 0, 2).otherwise(HEAVY)))
+    rows = []
+    for whole in (0, 1):
+        rows.append(counted.where(F.col("whole") == whole).orderBy(F.desc("n"), "hash").limit(HEAVY_ROWS).collect())
+    sorted_ = lambda r, least: np.sort(np.array([x[1] for x in r if x[2] >= least], np.int64))
+    return sorted_(rows[0], 2), sorted_(rows[0], HEAVY), sorted_(rows[1], HEAVY)
+
+
+def first_documents(docs: DataFrame, heavy: np.ndarray) -> dict[int, int]:
+    """Smallest id of each heavy window, over all documents."""
+    if not len(heavy):
+        return {}
+    sent = docs.sparkSession.sparkContext.broadcast(heavy)  # at most HEAVY_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
         for batch in batches:
-            ids, found = [], []
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                h = np.unique(anchors(word_hashes(words_of(text)))[0]).view(np.int64)
-                ids.append(np.full(len(h), k))
-                found.append(h)
-            marks, owner = np.concatenate([np.zeros(0, np.int64), *found]), np.concatenate([np.zeros(0, np.int64), *ids])
-            salt = np.where(np.isin(marks, known), 1 + owner % 97 + 97 * (marks % 7), 0)
-            yield pa.RecordBatch.from_arrays([pa.array(marks), pa.array(salt.astype(np.int16)),
-                                              batch.column("doc_id").take(pa.array(owner))], names=["mark", "salt", "doc_id"])
-
-    rows = docs.mapInArrow(run, f"mark long, salt short, doc_id {_ids(docs)}")
+            for k, words in chunks(batch.column("text")):
+                h = words.grams(WINDOW)[words.windows].view(np.int64)
+                hit = np.flatnonzero(np.isin(h, sent.value))
+                if len(hit):
+                    owner = k + words.doc[words.windows[hit]]
+                    yield pa.RecordBatch.from_arrays([pa.array(h[hit]), batch.column("doc_id").take(pa.array(owner))],
+                                                     names=["hash", "doc_id"])
+
+    found = docs.select("doc_id", "text").mapInArrow(run, f"hash long, doc_id {_kind(docs)}")
+    return {r[0]: r[1] for r in found.groupBy("hash").agg(F.min("doc_id")).collect()}  # at most HEAVY_ROWS
+
+
+def repeated_marks(docs: DataFrame, known: np.ndarray) -> DataFrame:
+    """doc_id, marks: selected 5-grams of each document that other documents select too."""
+    sent = docs.sparkSession.sparkContext.broadcast(known)  # at most HEAVY_ROWS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, words in chunks(batch.column("text")):
+                mark, owner = words.marks()
+                owner = owner + k
+                salt = np.where(np.isin(mark, sent.value), 1 + (owner * 31 + mark % 97) % 199, 0)
+                yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(salt.astype(np.int16)),
+                                                  batch.column("doc_id").take(pa.array(owner))], names=["mark", "salt", "doc_id"])
+
+    rows = docs.select("doc_id", "text").mapInArrow(run, f"mark long, salt short, doc_id {_kind(docs)}")
     same = F.count(F.lit(1)).over(Window.partitionBy("mark", "salt"))
     kept = rows.withColumn("n", same).where("n > 1 OR salt > 0")
     return kept.groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))  # of one document
 
 
-def suffixes(docs: DataFrame, marks: DataFrame, copies: DataFrame, heavy: list[tuple[int, int]]) -> DataFrame:
-    """grp, salt, suffix, doc_id, tag, start of every window whose anchor is marked."""
-    sent = docs.sparkSession.sparkContext.broadcast(  # at most HEAVY_ROWS
-        {n: np.sort(np.array([h for level, h in heavy if level == n], np.int64)) for n in LEVELS})
-    rows = (docs.join(marks, "doc_id").join(copies, "doc_id", "left")  # one exchange of the texts
-            .where(~_is_copy()).select("doc_id", "tag", "text", "marks"))
+def suffix_rows(marked: DataFrame, heavy_marks: np.ndarray, firsts: dict[int, int]) -> DataFrame:
+    """grp, doc_id, tag, place, open, known, words: one row per place (per window where its 5-gram is heavy).
+
+    Bit j of ``open`` stands for the window that begins j words before the
+    place; bit j of ``known`` for one that is already known to start in an
+    earlier document.
+    """
+    windows = np.array(sorted(firsts), np.int64)
+    sent = marked.sparkSession.sparkContext.broadcast(  # at most HEAVY_ROWS each
+        (heavy_marks, windows, np.array([firsts[h] for h in windows.tolist()])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = sent.value
+        lengthened, settled, least = sent.value
         for batch in batches:
-            marked = batch.column("marks")
-            for k, text in enumerate(batch.column("text").to_pylist()):
-                w = word_hashes(words_of(text))
-                mark, _ = anchors(w)
-                start = np.flatnonzero(np.isin(mark.view(np.int64), marked[k].values.to_numpy()))
-                if not len(start):
+            marks = np.unique(batch.column("marks").flatten().to_numpy())  # repeated is a property of the 5-gram
+            ids = batch.column("doc_id").to_numpy()
+            for k, words in chunks(batch.column("text")):
+                mark, place = words.selected()
+                use = np.flatnonzero(np.isin(mark, marks))
+                if not len(use):
                     continue
-                group, open_ = np.zeros(len(start), np.int64), np.ones(len(start), bool)
-                for level in LEVELS:
-                    h = gram_hashes(w, level)[start].view(np.int64)
-                    group[open_] = h[open_]
-                    open_ &= np.isin(h, lists[level])
-                own = pa.array(np.full(len(start), k))
-                doc, tag = batch.column("doc_id").take(own), batch.column("tag").take(own)
-                salt = np.where(open_, 1 + hash_of(doc[0].as_py()) % 61, 0)  # heavy to its whole length
-                flat = pa.py_buffer(np.ascontiguousarray(suffix_bytes(w)[start]).tobytes())
-                ends = pa.py_buffer((np.arange(len(start) + 1) * SUFFIX_BYTES).astype(np.int32).tobytes())
+                mark, place, start = mark[use], place[use], words.windows[use]
+                owner = k + words.doc[start]
+                bit = (1 << (place - start)).astype(np.int64)
+                whole = words.grams(WINDOW)[start].view(np.int64)
+                at = np.minimum(np.searchsorted(settled, whole), max(0, len(settled) - 1))
+                done = settled[at] == whole if len(settled) else np.zeros(len(use), bool)
+                late = done & (ids[owner] > least[at]) if len(settled) else done
+                lone = np.isin(mark, lengthened) & ~done
+                # a row per place; windows of heavy 5-grams stand alone, under their whole length
+                new = np.ones(len(use), bool)
+                new[1:] = (place[1:] != place[:-1]) | lone[1:] | lone[:-1]
+                row = np.cumsum(new) - 1
+                first = np.flatnonzero(new)
+                open_ = np.bincount(row, np.where(done, 0, bit)).astype(np.int16)
+                known = np.bincount(row, np.where(late, bit, 0)).astype(np.int16)
+                some = np.flatnonzero((open_ != 0) | (known != 0))
+                first, open_, known = first[some], open_[some], known[some]
+                group = np.where(lone[first], whole[first], mark[first])
+                group = np.where(open_ != 0, group, ids[owner[first]])  # nothing to settle: anywhere
+                body = words.around(place[first]).reshape(len(first), AROUND * WORD_BYTES)
+                sizes = np.where(open_ != 0, AROUND * WORD_BYTES, 0)
+                ends = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+                flat = pa.Array.from_buffers(pa.binary(), len(first), [
+                    None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body[open_ != 0].tobytes())])
+                own = pa.array(owner[first])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(group), pa.array(salt.astype(np.int16)),
-                     pa.Array.from_buffers(pa.binary(), len(start), [None, ends, flat]), doc, tag,
-                     pa.array(start.astype(np.int32))], names=["grp", "salt", "suffix", "doc_id", "tag", "start"])
+                    [pa.array(group), batch.column("doc_id").take(own), batch.column("tag").take(own),
+                     pa.array((place[first] - words.first[words.doc[place[first]]]).astype(np.int32)),
+                     pa.array(open_), pa.array(known), flat],
+                    names=["grp", "doc_id", "tag", "place", "open", "known", "words"])
 
-    return rows.mapInArrow(run, f"grp long, salt short, suffix binary, doc_id {_ids(docs)}, tag int, start int")
+    return marked.select("doc_id", "tag", "text", "marks").mapInArrow(
+        run, f"grp long, doc_id {_kind(marked)}, tag int, place int, open short, known short, words binary")
 
 
-def hash_of(value) -> int:
-    import zlib
+def node_depths(suffixes: np.ndarray) -> np.ndarray:
+    """Words that each of the sorted suffixes (rows of bytes) shares with the one before it."""
+    same = (suffixes[1:] == suffixes[:-1]).reshape(len(suffixes) - 1, WINDOW, WORD_BYTES).all(axis=2)
+    return np.concatenate(([0], np.cumprod(same, axis=1).sum(axis=1)))
 
-    return zlib.crc32(str(value).encode())
 
+def settle_groups(dealt: DataFrame) -> DataFrame:
+    """doc_id, tag, place, known: windows that start in an earlier document (rows come by group, then document)."""
+    width = WINDOW * WORD_BYTES
 
-def node_depths(before: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Words that each suffix shares with the one before it in order (``before``: the one before the first)."""
-    above = np.concatenate([before[None], rows[:-1]])
-    same = (above == rows)
-    words = same[:, :4 * WINDOW].reshape(len(rows), WINDOW, 4).all(axis=2)
-    depth = np.cumprod(words, axis=1).sum(axis=1)
-    return np.where((depth == WINDOW) & ~same[:, 4 * WINDOW:].all(axis=1), WINDOW - 1, depth)
-
-
-def settle(dealt: DataFrame, kind: str) -> DataFrame:
-    """Read sorted groups: doc_id, tag, start of later occurrences; ``window`` (a digest) where a salted part's first is open."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, least, last_salt = np.zeros(SUFFIX_BYTES, np.uint8), None, None
+        held, held_docs, held_group = np.zeros((0, width), np.uint8), np.zeros(0, np.int64), None
         for batch in batches:
-            if not batch.num_rows:
+            n = batch.num_rows
+            if not n:
                 continue
-            raw = batch.column("suffix")
-            base = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset]
-            rows = np.frombuffer(raw.buffers()[2], np.uint8)[base:base + batch.num_rows * SUFFIX_BYTES].reshape(-1, SUFFIX_BYTES)
-            docs, salt = batch.column("doc_id").to_pylist(), batch.column("salt").to_numpy()
-            fresh = node_depths(last, rows) < WINDOW
-            fresh[1:] |= salt[1:] != salt[:-1]
-            fresh[0] |= least is None or salt[0] != last_salt
-            pick, digests = [], []
-            for i, doc in enumerate(docs):
-                if fresh[i]:
-                    least = doc
-                if doc != least:
-                    pick.append(i)
-                    digests.append(None)
-                elif salt[i]:
-                    pick.append(i)
-                    digests.append(rows[i].tobytes())
-            last, last_salt = rows[-1].copy(), salt[-1]
-            at = pa.array(pick, pa.int64())
-            found = [batch.column(c).take(at) for c in ("doc_id", "tag", "start")]
-            yield pa.RecordBatch.from_arrays([*found, pa.array(digests, pa.binary())],
-                                             names=["doc_id", "tag", "start", "window"])
-
-    return dealt.select("salt", "suffix", "doc_id", "tag", "start").mapInArrow(
-        run, f"doc_id {kind}, tag int, start int, window binary")
-
-
-def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, copies), (doc_id, places)): place = tag << 32 | start of a window that starts in an earlier document."""
-    bound_batches(docs.sparkSession)
-    docs = docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-    copies = materialize(later_copies(docs), "copies")
-    hot, heavy = heavy_lists(docs)
-    marks = materialize(repeated_anchors(docs, hot), "marks")
-    dealt = (suffixes(docs, marks, copies, heavy).repartition(shuffle_partitions(docs), "grp", "salt")
-             .sortWithinPartitions("grp", "salt", "suffix", "doc_id"))
-    settled = materialize(settle(dealt, _ids(docs)), "settled")
-    still_open = settled.where("window IS NOT NULL")
-    first = materialize(still_open.groupBy("window").agg(F.min("doc_id").alias("least")), "open-windows")
-    late = still_open.join(first, "window").where("doc_id > least").select("doc_id", "tag", "start")
-    found = settled.where("window IS NULL").select("doc_id", "tag", "start").unionByName(late)
-    place = F.shiftleft(F.col("tag").cast("long"), 32).bitwiseOR(F.col("start").cast("long"))
-    return copies, materialize(found.groupBy("doc_id").agg(F.collect_set(place).alias("places")), "repeats")
+            group, docs = batch.column("grp").to_numpy(), batch.column("doc_id").to_numpy()
+            open_, known = batch.column("open").to_numpy(), batch.column("known").to_numpy().copy()
+            body = np.zeros((n, AROUND * WORD_BYTES), np.uint8)
+            raw = batch.column("words")
+            ends = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset:raw.offset + n + 1]
+            if raw.buffers()[2] is not None:
+                body[np.diff(ends) > 0] = np.frombuffer(raw.buffers()[2], np.uint8)[ends[0]:ends[-1]].reshape(-1, AROUND * WORD_BYTES)
+            rows, back = np.nonzero((open_[:, None] >> np.arange(SPAN)) & 1)
+            begin = (SPAN - 1 - back) * WORD_BYTES
+            keys = body[rows[:, None], begin[:, None] + np.arange(width)]
+            if held_group is None or group[0] != held_group:
+                held, held_docs = held[:0], held_docs[:0]
+            keys = np.ascontiguousarray(np.concatenate([held, keys]))
+            owner = np.concatenate([held_docs, docs[rows]])
+            if len(keys):
+                # leaves of the subtrees in order; of equal ones the first document leads
+                order = np.argsort(keys.view(f"V{width}").ravel(), kind="stable")
+                node = np.cumsum(node_depths(keys[order]) < WINDOW) - 1
+                lead = owner[order][np.searchsorted(node, np.arange(node[-1] + 1))]
+                late = np.empty(len(keys), bool)
+                late[order] = owner[order] > lead[node]
+                mine = late[len(held):]
+                np.bitwise_or.at(known, rows[mine], (1 << back[mine]).astype(np.int16))
+                # the distinct windows of the group that may go on in the next batch
+                firsts = order[np.searchsorted(node, np.arange(node[-1] + 1))]
+                in_group = np.concatenate([np.full(len(held), held_group == group[-1]), group[rows] == group[-1]])
+                firsts = firsts[in_group[firsts]]
+                held, held_docs = keys[firsts], owner[firsts]
+            held_group = group[-1]
+            out = pa.array(np.flatnonzero(known))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(out) for c in ("doc_id", "tag", "place")), pa.array(known).take(out)],
+                names=["doc_id", "tag", "place", "known"])
+
+    kind = _kind(dealt)
+    return dealt.select("grp", "doc_id", "tag", "place", "open", "known", "words").mapInArrow(
+        run, f"doc_id {kind}, tag int, place int, known short")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, spans (word ranges [start, end) removed, maximal), kept_text."""
+    bound_batches(df.sparkSession)
     # the tag tells apart texts that share an id
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                      F.xxhash64(F.col(text_col)).bitwiseAND(0x7FFFFFFF).cast("int").alias("tag"))
-    copies, repeats = repeated_windows(docs)
-    marked = (docs.join(repeats, "doc_id", "left").join(copies, "doc_id", "left")
-              .select("doc_id", "tag", "text", "places", _is_copy().alias("copy")))
+    docs = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    copies = materialize(later_copies(docs), "copies")
+    known, heavy_marks, heavy_windows = heavy_lists(docs)
+    firsts = first_documents(docs, heavy_windows)
+    marks = materialize(repeated_marks(docs, known), "marks")
+
+    # from here on one query: both joins read the same exchange of the texts
+    marked = (docs.join(by_shuffle(marks), "doc_id").join(by_shuffle(copies), "doc_id", "left").where(~_is_copy()))
+    dealt = (suffix_rows(marked, heavy_marks, firsts).repartition(shuffle_partitions(df), "grp")
+             .sortWithinPartitions("grp", "doc_id"))
+    found = settle_groups(dealt).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "place", "known")).alias("found"))
+    joined = (docs.join(by_shuffle(found), "doc_id", "left").join(by_shuffle(copies), "doc_id", "left")
+              .select("doc_id", "tag", "text", "found", _is_copy().alias("copy")))
+    apart = rows.where("doc_id IS NULL OR text IS NULL").withColumn("found", F.lit(None).cast(joined.schema["found"].dataType)) \
+        .select("doc_id", "tag", "text", "found", F.lit(False).alias("copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             counts, spans, kept = [], [], []
-            places, tags, copied = batch.column("places"), batch.column("tag").to_pylist(), batch.column("copy").to_pylist()
+            found, tags, copied = batch.column("found"), batch.column("tag").to_pylist(), batch.column("copy").to_pylist()
             for k, text in enumerate(batch.column("text").to_pylist()):
-                words = words_of(text)
-                at = places[k].values.to_numpy() if places[k].is_valid else np.zeros(0, np.int64)
-                at = at[at >> 32 == tags[k]] & 0xFFFFFFFF
+                words = (text or "").encode("utf-8", "surrogatepass").split()
+                counts.append(len(words))
+                at = np.zeros(0, np.int64)
                 if copied[k]:
                     at = np.arange(max(0, len(words) - WINDOW + 1))
-                edge = np.zeros(len(words) + 1, np.int64)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + WINDOW, -1)
+                elif found[k].is_valid:
+                    own = found[k].values
+                    mine = own.field("tag").to_numpy() == tags[k]
+                    bits = own.field("known").to_numpy()[mine]
+                    row, back = np.nonzero((bits[:, None] >> np.arange(SPAN)) & 1)
+                    at = own.field("place").to_numpy()[mine][row] - back
+                if not len(at):
+                    spans.append([])
+                    kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
+                    continue
+                edge = np.bincount(at, minlength=len(words) + 1) - np.bincount(at + WINDOW, minlength=len(words) + 1)
                 gone = np.concatenate(([0], (np.cumsum(edge)[:-1] > 0).astype(np.int8), [0]))
-                turn = np.flatnonzero(np.diff(gone))
-                counts.append(len(words))
-                spans.append([{"start": int(a), "end": int(b)} for a, b in zip(turn[::2], turn[1::2], strict=True)])
-                kept.append(" ".join(words[i] for i in np.flatnonzero(gone[1:-1] == 0)) if len(turn) else " ".join(words))
+                turn = np.flatnonzero(np.diff(gone)).tolist()
+                spans.append([{"start": a, "end": b} for a, b in zip(turn[::2], turn[1::2], strict=True)])
+                left = [w for a, b in zip([0, *turn[1::2]], [*turn[::2], len(words)], strict=True) for w in words[a:b]]
+                kept.append(b" ".join(left).decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(spans, span),
                                               pa.array(kept, pa.string())], names=["doc_id", "n_words", "spans", "kept_text"])
 
-    return marked.mapInArrow(run, f"doc_id {_ids(docs)}, n_words long, spans array<struct<start:int,end:int>>, kept_text string")
+    return joined.unionByName(apart).mapInArrow(
+        run, "doc_id long, n_words long, spans array<struct<start:int,end:int>>, kept_text string")

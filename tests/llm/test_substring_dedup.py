@@ -38,9 +38,9 @@ def run(spark, rows):
 
 @pytest.mark.parametrize("heavy", [False, True])
 def test_against_brute_force(spark, monkeypatch, heavy):
-    if heavy:  # every document is sampled, every prefix seen twice is heavy: all levels, salts and open windows
+    if heavy:  # every document is sampled, what is seen twice is heavy: whole windows, long prefixes, salts
         monkeypatch.setattr(S, "SAMPLE", 1)
-        monkeypatch.setattr(S, "GROUP_ROWS", 2)
+        monkeypatch.setattr(S, "HEAVY", 2)
     rows = corpus(n=200)
     hot = " ".join(f"h{k}" for k in range(40))
     rows += [(7000 + i, f"own{i} {hot} tail{i} " + " ".join(["z"] * (i % 30))) for i in range(150)]
