@@ -3,16 +3,18 @@
 A window network predicts every token from ``SIDE`` tokens on each side: the
 position-wise embeddings of the neighbours are summed, squashed, and feed a
 two-level softmax (class of the token, token inside its class). It is trained
-in numpy by stochastic gradient descent on every token of every document, in
-rounds: in each round every task trains a copy on its share of documents, and
-Spark sums the copies weighted by their tokens into the next round's start.
-A document's score is the sum of the log-probabilities of all its tokens.
-
-Tokens are lower-cased words between white space. The vocabulary is counted
-over all documents; words beyond the ``WORDS`` commonest fall into ``RARE``
-hashed ids. The model has a fixed size, so it may be sent to every task; what
-is gathered for it (word counts, one copy of the model per task and round)
-grows with the corpus and is summed by Spark, never on the driver.
+in numpy by stochastic gradient descent (Adagrad steps) on every token of
+every document, in rounds: in each round every task trains a copy on its share
+of documents, and Spark sums the copies weighted by their tokens into the next
+round's start. A document's score is the sum of the log-probabilities of all
+its tokens.
+
+Tokens are lower-cased words between ASCII white space, held as 64-bit hashes.
+The vocabulary is counted over all documents; words beyond the ``WORDS``
+commonest fall into ``RARE`` ids by their hash. The model has a fixed size, so
+it may be sent to every task; what is gathered for it (word counts, one copy
+of the model per task and round) grows with the corpus and is summed by Spark,
+never on the driver.
 
 Defined cases: a null or wordless text has 0 tokens, log-likelihood 0 and no
 mean; equal texts score alike; places beyond a text's ends are a token of
@@ -22,8 +24,6 @@ their own; an empty table gives no rows; further columns are carried in
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches
+from .hashing import hashed_words, text_chunks
 
 CLASSES, PER_CLASS = 32, 32
 VOCABULARY = CLASSES * PER_CLASS
@@ -40,21 +41,29 @@ WORDS = VOCABULARY - RARE
 SIDE, DIM = 2, 16
 OFFSETS = tuple(o for o in range(-SIDE, SIDE + 1) if o)
 CHUNK = 1 << 14  # tokens scored at once
-STEP = 256  # tokens in a training step
+STEP = 1 << 12  # tokens in a training step
 SHAPES = {"emb": (len(OFFSETS), VOCABULARY + 1, DIM), "hid": (DIM,), "cls": (DIM, CLASSES), "cls_b": (CLASSES,),
           "tok": (CLASSES, DIM, PER_CLASS), "tok_b": (CLASSES, PER_CLASS)}
 
 Params = dict[str, np.ndarray]
 
 
-def tokens_of(text: str | None) -> list[str]:
-    return (text or "").lower().split()
+def batch_tokens(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, last + 1, token hashes, text of each token) of consecutive texts."""
+    for k, stop, data, offsets in text_chunks(pa.array([t and t.lower() for t in texts.to_pylist()], pa.large_string())):
+        hashes, doc = hashed_words(data, offsets)
+        yield k, stop, hashes, doc
 
 
-def ids_of(tokens: list[str], vocabulary: dict[str, int]) -> np.ndarray:
-    get = vocabulary.get
-    return np.fromiter((i if (i := get(t)) is not None else WORDS + zlib.crc32(t.encode("utf-8", "surrogatepass")) % RARE
-                        for t in tokens), np.int32, len(tokens))
+def ids_of(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """Rank of each known token, a hashed id for the others."""
+    rare = (WORDS + (hashes >> np.uint64(7)) % np.uint64(RARE)).astype(np.int32)
+    if not len(vocabulary):
+        return rare
+    order = np.argsort(vocabulary)
+    at = np.minimum(np.searchsorted(vocabulary[order], hashes), len(order) - 1)
+    rank = order[at]
+    return np.where(vocabulary[rank] == hashes, rank, rare).astype(np.int32)
 
 
 def initial(seed: int = 42) -> Params:
@@ -63,68 +72,93 @@ def initial(seed: int = 42) -> Params:
             for k, s in SHAPES.items()}
 
 
-def contexts(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(targets, neighbours by offset) of all tokens of some texts; VOCABULARY stands beyond an end."""
-    gap = np.full(SIDE, VOCABULARY, np.int32)
-    line = np.concatenate([gap, *(x for i in ids for x in (i, gap))])
-    at = np.flatnonzero(line != VOCABULARY)
-    return line[at], np.stack([line[at + o] for o in OFFSETS])
+def contexts(ids: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Neighbours of every token, by offset; VOCABULARY stands beyond a text's end."""
+    at = np.arange(len(ids)) + SIDE * (doc + 1)
+    line = np.full((at[-1] if len(at) else 0) + SIDE + 1, VOCABULARY, np.int32)
+    line[at] = ids
+    return np.stack([line[at + o] for o in OFFSETS])
+
+
+def _exp(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exp(z), its row sums); rows are shifted where that is needed against overflow."""
+    if z.size and np.abs(z).max() > 60:
+        z = z - z.max(axis=1, keepdims=True)
+    e = np.exp(z)
+    return e, e @ np.ones(z.shape[1], z.dtype)
 
 
-def _log_softmax(z: np.ndarray) -> np.ndarray:
-    z = z - z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+def _log_share(z: np.ndarray, pick: np.ndarray) -> np.ndarray:
+    """Log of the softmax share of one entry of each row."""
+    e, total = _exp(z)
+    return np.log(np.maximum(e[np.arange(len(z)), pick], 1e-30) / total)
 
 
 def hidden(p: Params, around: np.ndarray) -> np.ndarray:
-    total = np.broadcast_to(p["hid"], (around.shape[1], DIM)).copy()
-    for k in range(len(OFFSETS)):
+    total = p["emb"][0][around[0]] + p["hid"]
+    for k in range(1, len(OFFSETS)):
         total += p["emb"][k][around[k]]
     return np.tanh(total, out=total)
 
 
+def _by_class(c: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(class, its rows) for the classes that occur."""
+    order = np.argsort(c.astype(np.uint8), kind="stable")
+    edges = np.concatenate(([0], np.cumsum(np.bincount(c, minlength=CLASSES))))
+    for k in np.flatnonzero(np.diff(edges)):
+        yield k, order[edges[k]:edges[k + 1]]
+
+
 def log_probabilities(p: Params, targets: np.ndarray, around: np.ndarray) -> np.ndarray:
     """log P(token | both sides) of each token."""
-    out = np.empty(len(targets), np.float32)
+    out = np.empty(len(targets), p["hid"].dtype)
     for i in range(0, len(targets), CHUNK):
         t, part = targets[i:i + CHUNK], slice(i, i + CHUNK)
         h = hidden(p, around[:, part])
         c = t // PER_CLASS
-        score = _log_softmax(h @ p["cls"] + p["cls_b"])[np.arange(len(t)), c]
-        order = np.argsort(c, kind="stable")
-        edges = np.searchsorted(c[order], np.arange(CLASSES + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            rows = order[edges[k]:edges[k + 1]]
-            score[rows] += _log_softmax(h[rows] @ p["tok"][k] + p["tok_b"][k])[np.arange(len(rows)), t[rows] % PER_CLASS]
+        score = _log_share(h @ p["cls"] + p["cls_b"], c)
+        for k, rows in _by_class(c):
+            score[rows] += _log_share(h[rows] @ p["tok"][k] + p["tok_b"][k], t[rows] % PER_CLASS)
         out[part] = score
     return out
 
 
-def train_step(p: Params, t: np.ndarray, around: np.ndarray, rate: float) -> None:
-    """One step of gradient descent on the summed log-probabilities, in place."""
+def gradients(p: Params, t: np.ndarray, around: np.ndarray) -> Params:
+    """Gradient of the summed negative log-probabilities."""
     n = len(t)
     h = hidden(p, around)
     c, w = t // PER_CLASS, t % PER_CLASS
-    g = np.exp(_log_softmax(h @ p["cls"] + p["cls_b"]))
+    grad = {k: np.zeros_like(p[k]) for k in ("tok", "tok_b")}
+    e, total = _exp(h @ p["cls"] + p["cls_b"])
+    g = e / total[:, None]
     g[np.arange(n), c] -= 1
+    grad["cls"], grad["cls_b"] = h.T @ g, g.sum(axis=0)
     back = g @ p["cls"].T
-    tok = p["tok"][c]  # n x DIM x PER_CLASS
-    g2 = np.exp(_log_softmax(np.matmul(h[:, None], tok)[:, 0] + p["tok_b"][c]))
-    g2[np.arange(n), w] -= 1
-    back += np.matmul(tok, g2[:, :, None])[:, :, 0]
-    step = rate / n
-    p["cls"] -= step * h.T @ g
-    p["cls_b"] -= step * g.sum(axis=0)
-    order = np.argsort(c, kind="stable")
-    edges = np.searchsorted(c[order], np.arange(CLASSES + 1))
-    for k in np.flatnonzero(np.diff(edges)):
-        rows = order[edges[k]:edges[k + 1]]
-        p["tok"][k] -= step * h[rows].T @ g2[rows]
-        p["tok_b"][k] -= step * g2[rows].sum(axis=0)
+    for k, rows in _by_class(c):
+        own = h[rows]
+        e, total = _exp(own @ p["tok"][k] + p["tok_b"][k])
+        g = e / total[:, None]
+        g[np.arange(len(rows)), w[rows]] -= 1
+        grad["tok"][k], grad["tok_b"][k] = own.T @ g, g.sum(axis=0)
+        back[rows] += g @ p["tok"][k].T
     back *= 1 - h * h
-    p["hid"] -= step * back.sum(axis=0)
+    grad["hid"] = back.sum(axis=0)
+    # sums per (offset, neighbour): rows in order of the neighbour, summed run by run
+    grad["emb"] = np.zeros_like(p["emb"])
     for k in range(len(OFFSETS)):
-        np.subtract.at(p["emb"][k], around[k], step * back)
+        order = np.argsort(around[k].astype(np.int16), kind="stable")
+        near = around[k][order]
+        runs = np.flatnonzero(np.concatenate(([True], near[1:] != near[:-1])))
+        grad["emb"][k][near[runs]] = np.add.reduceat(back[order], runs, axis=0)
+    return grad
+
+
+def train_step(p: Params, squares: Params, t: np.ndarray, around: np.ndarray, rate: float) -> None:
+    """One Adagrad step, in place."""
+    for k, g in gradients(p, t, around).items():
+        g /= len(t)
+        squares[k] += g * g
+        p[k] -= rate * g / np.sqrt(squares[k])
 
 
 def flat(p: Params) -> np.ndarray:
@@ -139,43 +173,42 @@ def unflat(values: np.ndarray) -> Params:
     return out
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
-    """The commonest words of all documents, commonest first; ties by the word."""
+def vocabulary(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """Hashes of the commonest words of all documents, commonest first; ties by the hash."""
+    bound_batches(docs.sparkSession)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: Counter[str] = Counter()
-            for text in batch.column(0).to_pylist():
-                found.update(tokens_of(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["word", "n"])
+            for _, _, hashes, _ in batch_tokens(batch.column(0)):
+                words, n = np.unique(hashes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
 
-    words = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word string, n long")
+    words = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word long, n long")
     top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    return {r[0]: i for i, r in enumerate(top)}
+    return np.array([r[0] for r in top], np.int64).view(np.uint64)
 
 
-def train(docs: DataFrame, words: dict[str, int], rounds: int = 3, rate: float = 0.5, text_col: str = "text") -> Params:
+def train(docs: DataFrame, words: np.ndarray, rounds: int = 3, rate: float = 0.1, text_col: str = "text") -> Params:
     """Every document is trained on once, in the round that its hash names."""
     spark = docs.sparkSession
     bound_batches(spark)
     params = initial()
     for r in range(rounds):
         sent = spark.sparkContext.broadcast((params, words))  # of fixed size
-        pace = rate * (1 - r / (rounds + 1))
 
-        def learn(batches: Iterator[pa.RecordBatch], sent=sent, pace=pace) -> Iterator[pa.RecordBatch]:
+        def learn(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             start, known = sent.value
-            own, seen = {k: v.copy() for k, v in start.items()}, 0
+            own = {k: v.copy() for k, v in start.items()}
+            squares, seen = {k: np.full_like(v, 1e-8) for k, v in own.items()}, 0
             for batch in batches:
-                ids = [x for t in batch.column(0).to_pylist() if len(x := ids_of(tokens_of(t), known))]
-                if not ids:
-                    continue
-                t, around = contexts(ids)
-                order = np.random.default_rng(seen).permutation(len(t))
-                for i in range(0, len(t), STEP):
-                    rows = order[i:i + STEP]
-                    train_step(own, t[rows], around[:, rows], pace * len(rows) / STEP)
-                seen += len(t)
+                for _, _, hashes, doc in batch_tokens(batch.column(0)):
+                    t = ids_of(hashes, known)
+                    around = contexts(t, doc)
+                    order = np.random.default_rng(seen).permutation(len(t))
+                    for i in range(0, len(t), STEP):
+                        rows = order[i:i + STEP]
+                        train_step(own, squares, t[rows], around[:, rows], rate)
+                    seen += len(t)
             if seen:
                 values = flat(own).astype(np.float64) * seen
                 yield pa.RecordBatch.from_arrays(
@@ -190,7 +223,7 @@ def train(docs: DataFrame, words: dict[str, int], rounds: int = 3, rate: float =
     return params
 
 
-def score(docs: DataFrame, words: dict[str, int], params: Params, text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, words: np.ndarray, params: Params, text_col: str = "text") -> DataFrame:
     """Every row as struct ``row`` with n_tokens, log_likelihood and mean_log_likelihood."""
     spark = docs.sparkSession
     bound_batches(spark)
@@ -200,15 +233,14 @@ def score(docs: DataFrame, words: dict[str, int], params: Params, text_col: str
         own, known = sent.value
         for batch in batches:
             row = batch.column("row")
-            counts, sums = [], []
-            for text in row.field(text_col).to_pylist():
-                ids = ids_of(tokens_of(text), known)
-                counts.append(len(ids))
-                sums.append(float(log_probabilities(own, *contexts([ids])).sum(dtype=np.float64)) if len(ids) else 0.0)
-            means = [s / n if n else None for s, n in zip(sums, counts, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [row, pa.array(counts, pa.int64()), pa.array(sums, pa.float64()), pa.array(means, pa.float64())],
-                names=["row", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+            counts, sums = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            for k, stop, hashes, doc in batch_tokens(row.field(text_col)):
+                t = ids_of(hashes, known)
+                counts[k:stop] = np.bincount(doc, minlength=stop - k)
+                sums[k:stop] = np.bincount(doc, log_probabilities(own, t, contexts(t, doc)), minlength=stop - k)
+            means = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
+            yield pa.RecordBatch.from_arrays([row, pa.array(counts), pa.array(sums), means],
+                                             names=["row", "n_tokens", "log_likelihood", "mean_log_likelihood"])
 
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
     return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, log_likelihood double, "
