@@ -162,7 +162,7 @@ def thresholds(scanned: DataFrame, fdr: float) -> dict[int, int]:
     return out
 
 
-def find_secrets(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001, id_col: str = "doc_id",
+def find_secrets(docs: DataFrame, fdr: float = 0.05, alpha: float = 0.001, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Every document: doc_id, base, spans (pattern spans and random strings outside them), by start, then kind."""
     scanned = materialize(scan(docs, id_col, text_col), "secrets")
