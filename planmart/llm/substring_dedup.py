@@ -50,7 +50,7 @@ SPAN = WINDOW - GRAM + 1  # 5-grams of a window
 AROUND = WINDOW + SPAN - 1  # words around a place that its windows can hold
 WORD_BYTES = 6  # of each word's hash that a row carries
 SAMPLE = 64  # one document in so many is looked at for heavy prefixes and windows
-HEAVY = 8  # occurrences in the sample that make one heavy
+HEAVY, HEAVY_SHARE = 8, 0.005  # occurrences in the sample that make one heavy, at least, and per document of it
 HEAVY_ROWS = 100_000  # longest list of heavy prefixes or windows; broadcast
 
 _RNG = np.random.default_rng(13)
@@ -112,29 +112,29 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, Words]]:
 
 
 def _kind(docs: DataFrame) -> str:
-    return docs.schema["doc_id"].dataType.simpleString()
+    return docs.schema["doc_key"].dataType.simpleString()
 
 
 def _is_copy():
-    return F.coalesce(F.array_contains("copies", F.md5(F.col("text").cast("binary"))), F.lit(False))
+    return F.coalesce(F.array_contains("copies", F.md5(F.col("doc_text").cast("binary"))), F.lit(False))
 
 
 def later_copies(docs: DataFrame) -> DataFrame:
-    """doc_id, copies: digests of its texts that a smaller id also has."""
-    keyed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
-    first = materialize(keyed.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    """doc_key, copies: digests of its texts that a smaller id also has."""
+    keyed = docs.select("doc_key", F.md5(F.col("doc_text").cast("binary")).alias("digest"))
+    first = materialize(keyed.groupBy("digest").agg(F.min("doc_key").alias("first"), F.count(F.lit(1)).alias("n"))
                         .where("n > 1").drop("n"), "first-copies")
-    return (keyed.join(by_shuffle(first), "digest").where("doc_id > first").groupBy("doc_id")
+    return (keyed.join(by_shuffle(first), "digest").where("doc_key > first").groupBy("doc_key")
             .agg(F.collect_set("digest").alias("copies")))  # one, unless rows share the id
 
 
 def heavy_lists(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """From a sample: 5-grams that two documents or more select; heavy 5-grams; heavy windows (hashes, sorted)."""
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(SAMPLE)) == 0).select("text")
+    sample = docs.where(F.pmod(F.xxhash64("doc_key", F.lit(3)), F.lit(SAMPLE)) == 0).select("doc_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, words in chunks(batch.column("text")):
+            for _, words in chunks(batch.column("doc_text")):
                 found = [np.unique(h, return_counts=True) for h in (
                     words.marks()[0], words.grams(WINDOW)[words.windows].view(np.int64))]
                 yield pa.RecordBatch.from_arrays(
@@ -142,13 +142,14 @@ def heavy_lists(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                      pa.array(np.concatenate([h for h, _ in found])), pa.array(np.concatenate([n for _, n in found]))],
                     names=["whole", "hash", "n"])
 
+    heavy = max(HEAVY, int(HEAVY_SHARE * sample.count()))
     counted = (sample.mapInArrow(run, "whole int, hash long, n long").groupBy("whole", "hash").agg(F.sum("n").alias("n"))
-               .where(F.col("n") >= F.when(F.col("whole") == 0, 2).otherwise(HEAVY)))
+               .where(F.col("n") >= F.when(F.col("whole") == 0, 2).otherwise(heavy)))
     rows = []
     for whole in (0, 1):
         rows.append(counted.where(F.col("whole") == whole).orderBy(F.desc("n"), "hash").limit(HEAVY_ROWS).collect())
     sorted_ = lambda r, least: np.sort(np.array([x[1] for x in r if x[2] >= least], np.int64))
-    return sorted_(rows[0], 2), sorted_(rows[0], HEAVY), sorted_(rows[1], HEAVY)
+    return sorted_(rows[0], 2), sorted_(rows[0], heavy), sorted_(rows[1], heavy)
 
 
 def first_documents(docs: DataFrame, heavy: np.ndarray) -> dict[int, int]:
@@ -159,39 +160,41 @@ def first_documents(docs: DataFrame, heavy: np.ndarray) -> dict[int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, words in chunks(batch.column("text")):
+            for k, words in chunks(batch.column("doc_text")):
                 h = words.grams(WINDOW)[words.windows].view(np.int64)
                 hit = np.flatnonzero(np.isin(h, sent.value))
                 if len(hit):
-                    owner = k + words.doc[words.windows[hit]]
-                    yield pa.RecordBatch.from_arrays([pa.array(h[hit]), batch.column("doc_id").take(pa.array(owner))],
-                                                     names=["hash", "doc_id"])
+                    ids = batch.column("doc_key").to_numpy()[k + words.doc[words.windows[hit]]]
+                    order = np.lexsort((ids, h[hit]))
+                    window, ids = h[hit][order], ids[order]
+                    first = np.concatenate(([True], window[1:] != window[:-1]))
+                    yield pa.RecordBatch.from_arrays([pa.array(window[first]), pa.array(ids[first])], names=["hash", "doc_key"])
 
-    found = docs.select("doc_id", "text").mapInArrow(run, f"hash long, doc_id {_kind(docs)}")
-    return {r[0]: r[1] for r in found.groupBy("hash").agg(F.min("doc_id")).collect()}  # at most HEAVY_ROWS
+    found = docs.select("doc_key", "doc_text").mapInArrow(run, f"hash long, doc_key {_kind(docs)}")
+    return {r[0]: r[1] for r in found.groupBy("hash").agg(F.min("doc_key")).collect()}  # at most HEAVY_ROWS
 
 
 def repeated_marks(docs: DataFrame, known: np.ndarray) -> DataFrame:
-    """doc_id, marks: selected 5-grams of each document that other documents select too."""
+    """doc_key, marks: selected 5-grams of each document that other documents select too."""
     sent = docs.sparkSession.sparkContext.broadcast(known)  # at most HEAVY_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, words in chunks(batch.column("text")):
+            for k, words in chunks(batch.column("doc_text")):
                 mark, owner = words.marks()
                 owner = owner + k
                 salt = np.where(np.isin(mark, sent.value), 1 + (owner * 31 + mark % 97) % 199, 0)
                 yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(salt.astype(np.int16)),
-                                                  batch.column("doc_id").take(pa.array(owner))], names=["mark", "salt", "doc_id"])
+                                                  batch.column("doc_key").take(pa.array(owner))], names=["mark", "salt", "doc_key"])
 
-    rows = docs.select("doc_id", "text").mapInArrow(run, f"mark long, salt short, doc_id {_kind(docs)}")
+    rows = docs.select("doc_key", "doc_text").mapInArrow(run, f"mark long, salt short, doc_key {_kind(docs)}")
     same = F.count(F.lit(1)).over(Window.partitionBy("mark", "salt"))
     kept = rows.withColumn("n", same).where("n > 1 OR salt > 0")
-    return kept.groupBy("doc_id").agg(F.collect_set("mark").alias("marks"))  # of one document
+    return kept.groupBy("doc_key").agg(F.collect_set("mark").alias("marks"))  # of one document
 
 
 def suffix_rows(marked: DataFrame, heavy_marks: np.ndarray, firsts: dict[int, int]) -> DataFrame:
-    """grp, doc_id, tag, place, open, known, words: one row per place (per window where its 5-gram is heavy).
+    """grp, doc_key, tag, place, open, known, words: one row per place (per window where its 5-gram is heavy).
 
     Bit j of ``open`` stands for the window that begins j words before the
     place; bit j of ``known`` for one that is already known to start in an
@@ -205,8 +208,8 @@ def suffix_rows(marked: DataFrame, heavy_marks: np.ndarray, firsts: dict[int, in
         lengthened, settled, least = sent.value
         for batch in batches:
             marks = np.unique(batch.column("marks").flatten().to_numpy())  # repeated is a property of the 5-gram
-            ids = batch.column("doc_id").to_numpy()
-            for k, words in chunks(batch.column("text")):
+            ids = batch.column("doc_key").to_numpy()
+            for k, words in chunks(batch.column("doc_text")):
                 mark, place = words.selected()
                 use = np.flatnonzero(np.isin(mark, marks))
                 if not len(use):
@@ -237,13 +240,13 @@ def suffix_rows(marked: DataFrame, heavy_marks: np.ndarray, firsts: dict[int, in
                     None, pa.py_buffer(ends.tobytes()), pa.py_buffer(body[open_ != 0].tobytes())])
                 own = pa.array(owner[first])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(group), batch.column("doc_id").take(own), batch.column("tag").take(own),
+                    [pa.array(group), batch.column("doc_key").take(own), batch.column("tag").take(own),
                      pa.array((place[first] - words.first[words.doc[place[first]]]).astype(np.int32)),
                      pa.array(open_), pa.array(known), flat],
-                    names=["grp", "doc_id", "tag", "place", "open", "known", "words"])
+                    names=["grp", "doc_key", "tag", "place", "open", "known", "words"])
 
-    return marked.select("doc_id", "tag", "text", "marks").mapInArrow(
-        run, f"grp long, doc_id {_kind(marked)}, tag int, place int, open short, known short, words binary")
+    return marked.select("doc_key", "tag", "doc_text", "marks").mapInArrow(
+        run, f"grp long, doc_key {_kind(marked)}, tag int, place int, open short, known short, words binary")
 
 
 def node_depths(suffixes: np.ndarray) -> np.ndarray:
@@ -253,7 +256,7 @@ def node_depths(suffixes: np.ndarray) -> np.ndarray:
 
 
 def settle_groups(dealt: DataFrame) -> DataFrame:
-    """doc_id, tag, place, known: windows that start in an earlier document (rows come by group, then document)."""
+    """doc_key, tag, place, known: windows that start in an earlier document (rows come by group, then document)."""
     width = WINDOW * WORD_BYTES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +265,7 @@ def settle_groups(dealt: DataFrame) -> DataFrame:
             n = batch.num_rows
             if not n:
                 continue
-            group, docs = batch.column("grp").to_numpy(), batch.column("doc_id").to_numpy()
+            group, docs = batch.column("grp").to_numpy(), batch.column("doc_key").to_numpy()
             open_, known = batch.column("open").to_numpy(), batch.column("known").to_numpy().copy()
             body = np.zeros((n, AROUND * WORD_BYTES), np.uint8)
             raw = batch.column("words")
@@ -293,42 +296,43 @@ def settle_groups(dealt: DataFrame) -> DataFrame:
             held_group = group[-1]
             out = pa.array(np.flatnonzero(known))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(out) for c in ("doc_id", "tag", "place")), pa.array(known).take(out)],
-                names=["doc_id", "tag", "place", "known"])
+                [*(batch.column(c).take(out) for c in ("doc_key", "tag", "place")), pa.array(known).take(out)],
+                names=["doc_key", "tag", "place", "known"])
 
     kind = _kind(dealt)
-    return dealt.select("grp", "doc_id", "tag", "place", "open", "known", "words").mapInArrow(
-        run, f"doc_id {kind}, tag int, place int, known short")
+    return dealt.select("grp", "doc_key", "tag", "place", "open", "known", "words").mapInArrow(
+        run, f"doc_key {kind}, tag int, place int, known short")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, spans (word ranges [start, end) removed, maximal), kept_text."""
     bound_batches(df.sparkSession)
-    # the tag tells apart texts that share an id
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+    # The tag tells apart texts that share an id. The columns get names of their own: a renamed column keeps its alias
+    # on both sides of the later self-join, so the two exchanges of the texts are equal and Spark reuses the first.
+    rows = df.select(F.col(id_col).cast("long").alias("doc_key"), F.col(text_col).alias("doc_text"),
                      F.xxhash64(F.col(text_col)).bitwiseAND(0x7FFFFFFF).cast("int").alias("tag"))
-    docs = rows.where("doc_id IS NOT NULL AND text IS NOT NULL")
+    docs = rows.where("doc_key IS NOT NULL AND doc_text IS NOT NULL")
     copies = materialize(later_copies(docs), "copies")
     known, heavy_marks, heavy_windows = heavy_lists(docs)
     firsts = first_documents(docs, heavy_windows)
     marks = materialize(repeated_marks(docs, known), "marks")
 
     # from here on one query: both joins read the same exchange of the texts
-    marked = (docs.join(by_shuffle(marks), "doc_id").join(by_shuffle(copies), "doc_id", "left").where(~_is_copy()))
+    marked = (docs.join(by_shuffle(marks), "doc_key").join(by_shuffle(copies), "doc_key", "left").where(~_is_copy()))
     dealt = (suffix_rows(marked, heavy_marks, firsts).repartition(shuffle_partitions(df), "grp")
-             .sortWithinPartitions("grp", "doc_id"))
-    found = settle_groups(dealt).groupBy("doc_id").agg(F.collect_list(F.struct("tag", "place", "known")).alias("found"))
-    joined = (docs.join(by_shuffle(found), "doc_id", "left").join(by_shuffle(copies), "doc_id", "left")
-              .select("doc_id", "tag", "text", "found", _is_copy().alias("copy")))
-    apart = rows.where("doc_id IS NULL OR text IS NULL").withColumn("found", F.lit(None).cast(joined.schema["found"].dataType)) \
-        .select("doc_id", "tag", "text", "found", F.lit(False).alias("copy"))
+             .sortWithinPartitions("grp", "doc_key"))
+    found = settle_groups(dealt).groupBy("doc_key").agg(F.collect_list(F.struct("tag", "place", "known")).alias("found"))
+    joined = (docs.join(by_shuffle(found), "doc_key", "left").join(by_shuffle(copies), "doc_key", "left")
+              .select("doc_key", "tag", "doc_text", "found", _is_copy().alias("copy")))
+    apart = rows.where("doc_key IS NULL OR doc_text IS NULL").withColumn("found", F.lit(None).cast(joined.schema["found"].dataType)) \
+        .select("doc_key", "tag", "doc_text", "found", F.lit(False).alias("copy"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             counts, spans, kept = [], [], []
             found, tags, copied = batch.column("found"), batch.column("tag").to_pylist(), batch.column("copy").to_pylist()
-            for k, text in enumerate(batch.column("text").to_pylist()):
+            for k, text in enumerate(batch.column("doc_text").to_pylist()):
                 words = (text or "").encode("utf-8", "surrogatepass").split()
                 counts.append(len(words))
                 at = np.zeros(0, np.int64)
@@ -350,7 +354,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 spans.append([{"start": a, "end": b} for a, b in zip(turn[::2], turn[1::2], strict=True)])
                 left = [w for a, b in zip([0, *turn[1::2]], [*turn[::2], len(words)], strict=True) for w in words[a:b]]
                 kept.append(b" ".join(left).decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(spans, span),
+            yield pa.RecordBatch.from_arrays([batch.column("doc_key"), pa.array(counts, pa.int64()), pa.array(spans, span),
                                               pa.array(kept, pa.string())], names=["doc_id", "n_words", "spans", "kept_text"])
 
     return joined.unionByName(apart).mapInArrow(
