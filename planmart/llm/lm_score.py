@@ -10,11 +10,17 @@ round's start. A document's score is the sum of the log-probabilities of all
 its tokens.
 
 Tokens are lower-cased words between ASCII white space, held as 64-bit hashes.
-The vocabulary is counted over all documents; words beyond the ``WORDS``
-commonest fall into ``RARE`` ids by their hash. The model has a fixed size, so
-it may be sent to every task; what is gathered for it (word counts, one copy
-of the model per task and round) grows with the corpus and is summed by Spark,
-never on the driver.
+The vocabulary is every word of the corpus, counted into a table that grows
+with it. The ``WORDS`` commonest have outputs of their own; the others share
+``RARE`` outputs by their hash, and such a word's probability is that of its
+output times its smoothed share (n + 1/2) / (T + V + 1/2) of the output's T
+tokens and V words, which leaves as many unseen words as seen ones 1/2 each.
+As neighbours, rare words stand as their output. Logs of the counts of up to
+``HEAD`` commoner rare words are sent to the tasks; all others are joined.
+
+The model has a fixed size, so it may be sent to every task; what is gathered
+for it (word counts, one copy of the model per task and round) grows with the
+corpus and is summed by Spark, never on the driver.
 
 Defined cases: a null or wordless text has 0 tokens, log-likelihood 0 and no
 mean; equal texts score alike; places beyond a text's ends are a token of
@@ -31,13 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, by_shuffle, materialize
 from .hashing import hashed_words, text_chunks
 
 CLASSES, PER_CLASS = 32, 32
 VOCABULARY = CLASSES * PER_CLASS
 RARE = 64
 WORDS = VOCABULARY - RARE
+HEAD = 1 << 17  # rare words looked up without a join, at most
 SIDE, DIM = 2, 16
 OFFSETS = tuple(o for o in range(-SIDE, SIDE + 1) if o)
 CHUNK = 1 << 14  # tokens scored at once
@@ -173,8 +180,8 @@ def unflat(values: np.ndarray) -> Params:
     return out
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Hashes of the commonest words of all documents, commonest first; ties by the hash."""
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """word (its hash), n: every word of all documents."""
     bound_batches(docs.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,10 +191,33 @@ def vocabulary(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)], names=["word", "n"])
 
     words = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word long, n long")
-    top = words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS).collect()
+    return materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def vocabulary(docs: DataFrame, text_col: str = "text", counts: DataFrame | None = None) -> np.ndarray:
+    """Hashes of the commonest words of all documents, commonest first; ties by the hash."""
+    counts = word_counts(docs, text_col) if counts is None else counts
+    top = counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()
     return np.array([r[0] for r in top], np.int64).view(np.uint64)
 
 
+def rare_words(counts: DataFrame, words: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """(rare words with their counts, log(T + V + 1/2) of each rare output, head of them sorted, its log(n + 1/2))."""
+    rare = counts.where(~F.col("word").isin(words.view(np.int64).tolist()))
+    place = F.pmod(F.shiftrightunsigned("word", 7), F.lit(RARE))
+    sizes = (rare.groupBy(place.alias("place"), F.floor(F.log2("n")).alias("power"))
+             .agg(F.sum("n"), F.count(F.lit(1))).collect())  # RARE x 64 rows at most
+    total, by_power = np.full(RARE, 0.5), np.zeros(65, np.int64)
+    for at, power, n, distinct in sizes:
+        total[at] += n + distinct
+        by_power[power] += distinct
+    least = 1 << int(np.flatnonzero(by_power[::-1].cumsum()[::-1] <= HEAD)[0])
+    head = rare.where(F.col("n") >= least).collect() if least <= 1 << 62 else []  # HEAD rows at most
+    hashes = np.array([r[0] for r in head], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return rare, np.log(total), hashes[order], np.log(np.array([r[1] for r in head], float)[order] + 0.5)
+
+
 def train(docs: DataFrame, words: np.ndarray, rounds: int = 3, rate: float = 0.1, text_col: str = "text") -> Params:
     """Every document is trained on once, in the round that its hash names."""
     spark = docs.sparkSession
@@ -223,30 +253,60 @@ def train(docs: DataFrame, words: np.ndarray, rounds: int = 3, rate: float = 0.1
     return params
 
 
-def score(docs: DataFrame, words: np.ndarray, params: Params, text_col: str = "text") -> DataFrame:
-    """Every row as struct ``row`` with n_tokens, log_likelihood and mean_log_likelihood."""
+def score(docs: DataFrame, words: np.ndarray, params: Params, text_col: str = "text",
+          counts: DataFrame | None = None) -> DataFrame:
+    """Every row as struct ``row`` with n_tokens, log_likelihood and mean_log_likelihood.
+
+    ``counts`` are the word counts of the corpus trained on, those of ``docs`` by default.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
-    sent = spark.sparkContext.broadcast((params, words))
+    rare, *shares = rare_words(word_counts(docs, text_col) if counts is None else counts, words)
+    sent = spark.sparkContext.broadcast((params, words, *shares))  # of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = sent.value
+        own, known, log_total, head, head_log = sent.value
         for batch in batches:
             row = batch.column("row")
-            counts, sums = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
+            counts, sums, n_far = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            far_words, far_times = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for k, stop, hashes, doc in batch_tokens(row.field(text_col)):
                 t = ids_of(hashes, known)
+                logs = log_probabilities(own, t, contexts(t, doc)).astype(np.float64)
+                at = np.flatnonzero(t >= WORDS)
+                logs[at] -= log_total[t[at] - WORDS]
+                if len(head):
+                    place = np.minimum(np.searchsorted(head, hashes[at]), len(head) - 1)
+                    found = head[place] == hashes[at]
+                    logs[at[found]] += head_log[place[found]]
+                    at = at[~found]
                 counts[k:stop] = np.bincount(doc, minlength=stop - k)
-                sums[k:stop] = np.bincount(doc, log_probabilities(own, t, contexts(t, doc)), minlength=stop - k)
-            means = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
-            yield pa.RecordBatch.from_arrays([row, pa.array(counts), pa.array(sums), means],
-                                             names=["row", "n_tokens", "log_likelihood", "mean_log_likelihood"])
-
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, log_likelihood double, "
-                                "mean_log_likelihood double")
+                sums[k:stop] = np.bincount(doc, logs, minlength=stop - k)
+                at = at[np.lexsort((hashes[at], doc[at]))]  # each far word once per text, with its times
+                far, of = hashes[at], doc[at]
+                first = np.flatnonzero(np.concatenate(([True], (far[1:] != far[:-1]) | (of[1:] != of[:-1])))[:len(at)])
+                far_words.append(far[first])
+                far_times.append(np.diff(np.append(first, len(at))))
+                n_far[k:stop] = np.bincount(of[first], minlength=stop - k)
+            far = pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum(n_far))), pa.int32()),
+                pa.StructArray.from_arrays([pa.array(np.concatenate(far_words).view(np.int64)),
+                                            pa.array(np.concatenate(far_times))], names=["word", "times"]))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), row, pa.array(counts), pa.array(sums), far],
+                                             names=["id", "row", "n_tokens", "near", "far"])
+
+    rows = docs.select(F.monotonically_increasing_id().alias("id"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    scored = materialize(rows.mapInArrow(run, f"id long, row {rows.schema['row'].dataType.simpleString()}, n_tokens long, "
+                                              "near double, far array<struct<word:long,times:long>>"), "scores")
+    far = scored.select("id", F.inline("far")).join(by_shuffle(rare), "word", "left").groupBy("id").agg(
+        F.sum(F.col("times") * F.log(F.coalesce("n", F.lit(0)) + 0.5)).alias("far"))
+    total = F.col("near") + F.coalesce("far", F.lit(0.0))
+    return scored.drop("far").join(by_shuffle(far), "id", "left").select(
+        "row", "n_tokens", total.alias("log_likelihood"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))
 
 
 def lm_score(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    words = vocabulary(docs, text_col)
-    return score(docs, words, train(docs, words, text_col=text_col, **options), text_col)
+    counts = word_counts(docs, text_col)
+    words = vocabulary(docs, text_col, counts)
+    return score(docs, words, train(docs, words, text_col=text_col, **options), text_col, counts)

@@ -1,8 +1,10 @@
+import random
 import re
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from planmart.llm import lm_score as M
 
@@ -83,3 +85,31 @@ def test_training_helps(spark, sf_small):
 
 def test_empty_table(spark):
     assert M.lm_score(docs_df(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("head", [0, 40, 1 << 17])
+def test_rare_words_are_scored_themselves(spark, monkeypatch, head):
+    monkeypatch.setattr(M, "HEAD", head)
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.4)) % 5000}" for _ in range(200))) for i in range(60)]
+    rows += [(100, "w4999x " * 30), (101, " ".join(f"zq{k}" for k in range(30))), (102, "w4999x"), (103, "zq1 zq1 zq2"), (104, None)]
+    docs = docs_df(spark, rows)
+    words = M.vocabulary(docs)
+    params = M.train(docs, words)
+    counts = Counter(w for _, t in rows for w in tokens(t))
+    known = set(words.tolist())
+    place = {w: int(M.ids_of(hashes_of(w), words)[0]) for w in [*counts, "unseen"]}
+    rare = {w: n for w, n in counts.items() if int(hashes_of(w)[0]) not in known}
+    assert len(rare) > 200
+    total = Counter()
+    for w, n in rare.items():
+        total[place[w]] += n + 1
+    share = lambda w: np.log((rare.get(w, 0) + 0.5) / (total[place[w]] + 0.5)) if place[w] >= M.WORDS else 0
+    want = lambda t: brute(params, [place[w] for w in tokens(t)]) + sum(map(share, tokens(t)))
+    got = {r.row.doc_id: r for r in M.score(docs, words, params).collect()}
+    assert len(got) == len(rows)
+    for i, t in rows:
+        assert got[i].n_tokens == len(tokens(t))
+        assert abs(got[i].log_likelihood - want(t)) < 1e-3 * max(1, len(tokens(t)))
+    other = M.score(docs_df(spark, [(1, "unseen w4999x")]), words, params, counts=M.word_counts(docs)).first()
+    assert abs(other.log_likelihood - want("unseen w4999x")) < 1e-2
