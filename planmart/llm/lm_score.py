@@ -5,8 +5,8 @@ position-wise embeddings of the neighbours are summed, squashed, and feed a
 two-level softmax (class of the token, token inside its class). It is trained
 in numpy by stochastic gradient descent (Adagrad steps) on every token of
 every document, in rounds: in each round every task trains a copy on its share
-of documents, and Spark sums the copies weighted by their tokens into the next
-round's start. A document's score is the sum of the log-probabilities of all
+of documents, in steps that grow from ``FIRST_STEP`` to ``STEP`` tokens, and
+Spark sums the copies weighted by their tokens into the next round's start. A document's score is the sum of the log-probabilities of all
 its tokens.
 
 Tokens are lower-cased words between ASCII white space, held as 64-bit hashes.
@@ -48,7 +48,8 @@ HEAD = 1 << 17  # rare words looked up without a join, at most
 SIDE, DIM = 2, 16
 OFFSETS = tuple(o for o in range(-SIDE, SIDE + 1) if o)
 CHUNK = 1 << 14  # tokens scored at once
-STEP = 1 << 12  # tokens in a training step
+STEP = 1 << 12  # tokens in a training step, at most
+FIRST_STEP = 1 << 8  # tokens in the first steps of a task
 SHAPES = {"emb": (len(OFFSETS), VOCABULARY + 1, DIM), "hid": (DIM,), "cls": (DIM, CLASSES), "cls_b": (CLASSES,),
           "tok": (CLASSES, DIM, PER_CLASS), "tok_b": (CLASSES, PER_CLASS)}
 
@@ -168,6 +169,15 @@ def train_step(p: Params, squares: Params, t: np.ndarray, around: np.ndarray, ra
         p[k] -= rate * g / np.sqrt(squares[k])
 
 
+def steps(n: int, seen: int) -> Iterator[slice]:
+    """The training steps over n tokens of a task that has seen others: they grow, so that few tokens make steps too."""
+    at = 0
+    while at < n:
+        size = min(STEP, max(FIRST_STEP, (seen + at) // 16))
+        yield slice(at, min(n, at + size))
+        at += size
+
+
 def flat(p: Params) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in SHAPES])
 
@@ -235,8 +245,8 @@ def train(docs: DataFrame, words: np.ndarray, rounds: int = 3, rate: float = 0.1
                     t = ids_of(hashes, known)
                     around = contexts(t, doc)
                     order = np.random.default_rng(seen).permutation(len(t))
-                    for i in range(0, len(t), STEP):
-                        rows = order[i:i + STEP]
+                    for part in steps(len(t), seen):
+                        rows = order[part]
                         train_step(own, squares, t[rows], around[:, rows], rate)
                     seen += len(t)
             if seen:

@@ -113,3 +113,19 @@ def test_rare_words_are_scored_themselves(spark, monkeypatch, head):
         assert abs(got[i].log_likelihood - want(t)) < 1e-3 * max(1, len(tokens(t)))
     other = M.score(docs_df(spark, [(1, "unseen w4999x")]), words, params, counts=M.word_counts(docs)).first()
     assert abs(other.log_likelihood - want("unseen w4999x")) < 1e-2
+
+
+def test_few_tokens_make_steps_too():
+    for n, seen in ((0, 0), (3000, 0), (200_000, 0), (9000, 10_000_000)):
+        parts = list(M.steps(n, seen))
+        assert [i for p in parts for i in range(p.start, p.stop)] == list(range(n))
+        assert all(p.stop - p.start <= M.STEP for p in parts)
+    assert len(list(M.steps(3000, 0))) >= 10
+
+
+@pytest.mark.parametrize("parts", [1, 32])
+def test_training_helps_by_one(spark, sf_small, parts):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").repartition(parts, "doc_id").cache()
+    words = M.vocabulary(docs)
+    mean = lambda p: M.score(docs, words, p).selectExpr("sum(log_likelihood) / sum(n_tokens)").first()[0]
+    assert mean(M.train(docs, words)) > mean(M.initial()) + 1.0
