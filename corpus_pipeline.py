@@ -9,7 +9,7 @@ from planmart.llm import common as C
 from planmart.llm.bpe import encode_decode
 from planmart.llm.decontaminate import drop_contaminated
 from planmart.llm.language_id import identify, train
-from planmart.llm.line_dedup import line_dedup
+from planmart.llm.line_dedup import LONG_WORDS, line_dedup
 from planmart.llm.ngram_join import keep_one
 from planmart.llm.queries import public_tokenizer
 
@@ -20,9 +20,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Delete runs of lines that occur earlier in the corpus; documents of which nothing is left go."""
+    """Delete runs of lines, and long single lines, that occur earlier in the corpus; documents of which nothing is left go."""
     columns = docs.columns
-    deduped = line_dedup(docs)
+    deduped = line_dedup(docs, long_words=LONG_WORDS)
     left = deduped.where((F.col("n_removed") == 0) | (F.length("text") > 0))
     return left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
                            .otherwise(F.col("n_chars"))).select(*columns)

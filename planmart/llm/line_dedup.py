@@ -7,7 +7,9 @@ missed. Selected hashes that occur once in the corpus are dropped; at the
 others the match is extended to both sides by forming all windows that
 selected the line. Of equal windows the one with the smallest (doc_id,
 position) stays, and each line covered by a later one is deleted; adjacent
-windows join into the whole repeated run.
+windows join into the whole repeated run. With ``long_words`` every line of so
+many words (between ASCII white space) or more is a window of its own too, so
+a passage on a single line is found between any neighbours.
 
 Hot lines: first occurrences are found by folding aggregates (one row per
 window and task is shuffled), later ones by joins of written tables, whose hot
@@ -15,7 +17,7 @@ keys adaptive execution splits. No pairs of documents are formed, and only
 hashes are shuffled until texts are joined with their own deleted lines once.
 
 Defined cases: a null text stays null with no lines; an empty text has one
-empty line; texts of fewer than ``window`` lines lose nothing; null ids sort
+empty line; texts of fewer than ``window`` lines lose long lines only; null ids sort
 first; rows that repeat id and text count as one document, all keep the same
 lines; an empty table gives no rows; further columns are kept.
 """
@@ -28,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import by_shuffle, materialize, row_key
 
 WINDOW = 2
+LONG_WORDS = 13  # the long lines of the pipeline
 
 
 def _window_starts(hashes: Column, window: int) -> Column:
@@ -36,25 +39,33 @@ def _window_starts(hashes: Column, window: int) -> Column:
         F.array().cast("array<int>"))
 
 
-def line_hashes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, hashes: one 64-bit hash per line, in order."""
+def line_hashes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_words: int | None = None) -> DataFrame:
+    """doc_id, text_hash, hashes (one 64-bit hash per line, in order), long (0-based places of the long lines)."""
     lines = F.split(F.col(text_col), "\n", -1)
+    long = F.array().cast("array<int>")
+    if long_words:
+        is_long = lambda x: (F.length(x) >= 2 * long_words - 1) & (F.regexp_count(x, F.lit(r"\S+")) >= long_words)
+        long = F.filter(F.transform(lines, lambda x, i: F.when(is_long(x), i)), lambda i: i.isNotNull())
     return df.where(F.col(text_col).isNotNull()).select(
-        *row_key(id_col, text_col), F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"))
+        *row_key(id_col, text_col), F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"), long.alias("long"))
 
 
 def _selected(lines: DataFrame, window: int) -> DataFrame:
-    """One row per window with the line it selects: doc_id, text_hash, start, mark, key."""
-    part = lambda i: F.slice("hashes", i + 1, window)
-    rows = F.transform(_window_starts(F.col("hashes"), window), lambda i: F.struct(
-        i.alias("start"), F.array_min(part(i)).alias("mark"),
-        F.md5(F.array_join(F.transform(part(i), lambda h: h.cast("string")), " ").cast("binary")).alias("key")))
-    return lines.select("doc_id", "text_hash", F.inline(rows))
-
-
-def repeated_lines(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text_hash, starts: windows of each document that occur earlier in the corpus."""
-    lines = materialize(line_hashes(df, id_col, text_col).distinct(), "line-hashes")
+    """One row per window with the line it selects: doc_id, text_hash, start, n_lines, mark, key."""
+    part = lambda i, n: F.slice("hashes", i + 1, n)
+    rows = lambda starts, n: F.transform(starts, lambda i: F.struct(
+        i.alias("start"), F.lit(n).alias("n_lines"), F.array_min(part(i, n)).alias("mark"),
+        F.md5(F.array_join(F.transform(part(i, n), lambda h: h.cast("string")), " ").cast("binary")).alias("key")))
+    found = rows(_window_starts(F.col("hashes"), window), window)
+    if window > 1:
+        found = F.concat(found, rows(F.col("long"), 1))
+    return lines.select("doc_id", "text_hash", F.inline(found))
+
+
+def repeated_lines(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+                   long_words: int | None = None) -> DataFrame:
+    """doc_id, text_hash, starts (with n_lines): windows of each document that occur earlier in the corpus."""
+    lines = materialize(line_hashes(df, id_col, text_col, long_words).distinct(), "line-hashes")
     repeated = materialize(_selected(lines, window).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
                            .where("n > 1").select("mark"), "marks")
     windows = materialize(_selected(lines, window).join(repeated, "mark", "left_semi").drop("mark"), "windows")
@@ -63,18 +74,19 @@ def repeated_lines(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                                    F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "first-windows")
     later = windows.join(first, "key").where(
         ~(F.struct("doc_id", "start", "text_hash").eqNullSafe(F.col("first"))))
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("starts"))  # of one document
+    return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "n_lines")).alias("starts"))  # of one document
 
 
-def line_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+               long_words: int | None = None) -> DataFrame:
     """``df`` with later repeated runs of lines deleted from ``text_col``, plus n_lines and n_removed."""
-    starts = materialize(repeated_lines(df, window, id_col, text_col), "repeated-lines").select(
+    starts = materialize(repeated_lines(df, window, id_col, text_col, long_words), "repeated-lines").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("starts").alias("_starts"))
     joined = df.withColumn("_key", F.xxhash64(F.col(text_col))).join(
         by_shuffle(starts), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
-    covered = F.flatten(F.transform("_starts", lambda s: F.sequence(s, s + window - 1)))
+    covered = F.flatten(F.transform("_starts", lambda s: F.sequence(s["start"], s["start"] + s["n_lines"] - 1)))
     keep = F.array_except(F.sequence(F.lit(0), n - 1), covered)
     text = F.when(F.col("_starts").isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))

@@ -2,6 +2,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline as P
 from planmart.llm.line_dedup import line_dedup
 
 from .helpers import corpus, docs_df
@@ -42,3 +43,34 @@ def test_columns_and_empty_table(spark):
     assert out.columns == [*df.columns, "n_lines", "n_removed"]
     assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "a\nb\ne"), (1, "c"), (2, "d")]  # null ids first
     assert line_dedup(docs_df(spark, [])).count() == 0
+
+
+def brute_with_long_lines(rows, long_words):
+    """Two-line windows and single long lines; no null ids."""
+    first, gone = {}, {}
+    for i, t in sorted(set(rows), key=lambda r: r[0]):
+        lines = [] if t is None else t.split("\n")
+        for k in range(len(lines)):
+            for n in (1, 2):
+                key = tuple(lines[k:k + n])
+                if len(key) < n or n == 1 and len(key[0].split()) < long_words:
+                    continue
+                if first.setdefault(key, (i, k)) != (i, k):
+                    gone.setdefault(i, set()).update(range(k, k + n))
+    split = lambda t: [] if t is None else t.split("\n")
+    return [(i, None if t is None else "\n".join(x for k, x in enumerate(split(t)) if k not in gone.get(i, ())), len(split(t)),
+             len(gone.get(i, ()))) for i, t in rows]
+
+
+def test_long_lines_are_windows(spark):
+    line = " ".join(f"license{k}" for k in range(13))
+    rows = [(i, f"own {i}\n{line}\nlast {i}") for i in range(500, 520)] + [(530, line), (531, line[:-2]), (532, f"{line}\n{line}")]
+    rows += [(i, t) for i, t in corpus() if i is not None]
+    got = line_dedup(docs_df(spark, rows), long_words=13).select("doc_id", "text", "n_lines", "n_removed").collect()
+    got = Counter(map(tuple, got))
+    want = brute_with_long_lines(sorted(set(rows), key=lambda r: r[0]), 13)
+    assert set(got) == set(want) and sum(got.values()) == len(rows)
+    assert (505, "own 505\nlast 505", 3, 1) in got and (530, "", 1, 1) in got and (531, line[:-2], 1, 0) in got
+    kept = P.drop_repeated_lines(spark, docs_df(spark, rows[:23]), "")
+    assert {r.doc_id: r.text for r in kept.collect()} == {
+        500: rows[0][1], 531: line[:-2], **{i: f"own {i}\nlast {i}" for i in range(501, 520)}}
