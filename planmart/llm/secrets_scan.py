@@ -1,9 +1,12 @@
 """Secret scan: fixed patterns and a battery of randomness tests.
 
 Patterns find assignments, access keys and hex strings. Beside them every run
-of 20 or more token characters is a candidate. Its encoding (hex, base32,
-single-case letters or alphanumerics, mixed-case, base64) is inferred, and
-three tests look for deviations from randomness over that alphabet:
+of 20 or more token characters is a candidate; ``=`` belongs to it as padding
+at its end only, so the value of ``NAME=value`` is one. A run that fits no
+encoding is split at the separators that base64 and base64url do not hold, and
+at all of them; its parts of 20 or more characters are candidates. The encoding
+(hex, base32, single-case letters or alphanumerics, mixed-case, base64) is
+inferred, and three tests look for deviations from randomness over that alphabet:
 chi-squared uniformity, runs above and below the middle, and lag-one serial
 correlation; Fisher's method combines them (``p_random``). The null to be
 rejected is that the candidate is ordinary text: text repeats symbols with an
@@ -12,7 +15,8 @@ non-central distribution whose centre grows with length; ``p_text`` is the
 chance of a statistic as small as seen. Short strings cannot reach a small
 ``p_text``. Benjamini-Hochberg control at rate ``fdr`` inside each length
 class, over all candidates of the corpus, sets the thresholds; a candidate
-below its threshold that the battery does not reject is reported as ``random``.
+below its threshold that the battery does not reject is reported as ``random``,
+unless it lies in a longer one.
 
 Scale: one pass over the texts writes spans and candidates (no texts); the
 thresholds come from a histogram of a few hundred counts per length class.
@@ -42,7 +46,8 @@ HEX = re.compile(r"[0-9a-f]+")
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/=_-]))?")
+PARTS = (re.compile(r"[A-Za-z0-9+/=]{20,}"), re.compile(r"[A-Za-z0-9_=-]{20,}"), re.compile(r"[A-Za-z0-9=]{20,}"))
 TEXT_IC = 0.065  # index of coincidence of ordinary text over 26 letters
 LENGTH_CLASSES = (20, 32, 48, 80)  # least length of each class
 BINS = 300  # of -log10(p), a tenth each
@@ -112,15 +117,24 @@ def battery(token: str) -> tuple[str, float, float] | None:
     return name, p_text, p_random
 
 
+def tested(text: str) -> Iterator[tuple[int, int, tuple[str, float, float]]]:
+    """(start, end, test results) of the candidates of a text."""
+    for m in CANDIDATE.finditer(text):
+        if found := battery(m[0]):
+            yield m.start(), m.end(), found
+        else:
+            for a, b in sorted({p.span() for part in PARTS for p in part.finditer(text, *m.span())} - {m.span()}):
+                if found := battery(text[a:b]):
+                    yield a, b, found
+
+
 def candidates(text: str) -> list[dict]:
     if max(map(len, text.encode("utf-8", "surrogatepass").translate(_TOKEN_BYTES).split()), default=0) < LENGTH_CLASSES[0]:
         return []
     out = []
-    for m in CANDIDATE.finditer(text):
-        if found := battery(m[0]):
-            out.append({"start": m.start(), "end": m.end(), "encoding": found[0],
-                        "length_class": sum(m.end() - m.start() >= n for n in LENGTH_CLASSES),
-                        "bin": min(BINS, int(-10 * math.log10(max(found[1], 1e-300)))), "p_random": found[2]})
+    for a, b, found in tested(text):
+        out.append({"start": a, "end": b, "encoding": found[0], "length_class": sum(b - a >= n for n in LENGTH_CLASSES),
+                    "bin": min(BINS, int(-10 * math.log10(max(found[1], 1e-300)))), "p_random": found[2]})
     return out
 
 
@@ -171,9 +185,13 @@ def find_secrets(docs: DataFrame, fdr: float = 0.05, alpha: float = 0.001, id_co
     if limits:
         least = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])
         outside = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        chosen = F.filter("candidates", lambda c: (
+            c["bin"] >= F.coalesce(F.try_element_at(least, c["length_class"]), F.lit(BINS + 1))) & (c["p_random"] >= alpha) & outside(c))
+        scanned = scanned.withColumn("chosen", chosen)
+        within = lambda c, o: (o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (
+            (o["start"] < c["start"]) | (c["end"] < o["end"]))
         added = F.transform(
-            F.filter("candidates", lambda c: (c["bin"] >= F.coalesce(F.try_element_at(least, c["length_class"]), F.lit(BINS + 1)))
-                     & (c["p_random"] >= alpha) & outside(c)),
+            F.filter("chosen", lambda c: ~F.exists("chosen", lambda o: within(c, o))),
             lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
         keyed = F.transform(F.concat(scanned["base"], added), lambda s: F.struct(
             s["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("rank"),

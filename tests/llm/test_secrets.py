@@ -52,3 +52,23 @@ def test_battery_separates_structure_from_chance():
 
 def test_empty_table(spark):
     assert X.find_secrets(docs_df(spark, [])).count() == 0
+
+
+def test_values_of_assignments_and_paths_are_candidates(spark):
+    rng = random.Random(8)
+    draw = lambda n, more="": "".join(rng.choice(string.ascii_letters + string.digits + more) for _ in range(n))
+    frames = ["AWS_SECRET_ACCESS_KEY={}", "DB_PASS={}", "x auth={}&y", "sig={}==", "my-bucket/{}/some_file", "a_b/c-d/{}"]
+    rows, want = [], {}
+    for i in range(60):
+        frame = frames[i % len(frames)]
+        secret = draw(44, "+/" if i % len(frames) < 4 else "")
+        rows.append((i, f"set {frame.format(secret)} here"))
+        want[i] = (4 + frame.index("{"), 4 + frame.index("{") + 44 + 2 * frame.endswith("=="))
+    rows += [(100 + i, f"THIS_IS_A_LONG_NAME_{i}=thisisaplainvalueofwords/and-a/path_of_words_in_a_row") for i in range(30)]
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == "random"] for r in X.find_secrets(docs_df(spark, rows)).collect()}
+    hit = lambda i: any(a < want[i][1] and want[i][0] < b and b - a >= 40 for a, b in got[i])
+    for k in range(len(frames)):
+        assert sum(map(hit, range(k, 60, len(frames)))) >= 8, frames[k]
+    assert sum(want[i] in got[i] for i in range(60) if i % len(frames) < 4) >= 34
+    assert not any(got[100 + i] for i in range(30))
+    assert [(a, b) for a, b, _ in X.tested("k=" + "aB3" * 8 + "== " + "aB3" * 8 + "=x")] == [(2, 28), (29, 53)]
