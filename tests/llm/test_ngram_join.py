@@ -1,3 +1,4 @@
+import math
 from collections import Counter
 from fractions import Fraction
 
@@ -114,3 +115,18 @@ def test_components(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u int, v int")).collect()))
     assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100} | {500 + k: 500 for k in range(80)}
     assert connected_components(spark.createDataFrame([], "u int, v int")).count() == 0
+
+
+def test_chance_to_drop_a_link_over_all_comparisons():
+    def lost(similarity):
+        alive, gone = {0: 1.0}, 0.0
+        for _, least in J.least_matches():
+            after = Counter()
+            for m, p in alive.items():
+                for k in range(J.COMPARE + 1):
+                    after[m + k] += p * math.comb(J.COMPARE, k) * similarity ** k * (1 - similarity) ** (J.COMPARE - k)
+            gone += sum(p for m, p in after.items() if m < least)
+            alive = {m: p for m, p in after.items() if m >= least}
+        return gone
+
+    assert 0 < lost(0.85) < lost(0.82) < lost(0.8) < 1e-4
