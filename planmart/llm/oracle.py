@@ -66,3 +66,74 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k
        sha256(coalesce(k.text, '')) AS kept_sha256
 FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
+
+
+def _digamma(x: str) -> str:
+    y = f"({x} + 6)"
+    return (f"(ln{y} - 1 / (2 * {y}) - 1 / (12 * {y} ** 2) + 1 / (120 * {y} ** 4) - 1 / (252 * {y} ** 6)"
+            + "".join(f" - 1 / ({x} + {i})" for i in range(6)) + ")")
+
+
+def _trigamma(x: str) -> str:
+    y = f"({x} + 6)"
+    return (f"(1 / {y} + 1 / (2 * {y} ** 2) + 1 / (6 * {y} ** 3) - 1 / (30 * {y} ** 5) + 1 / (42 * {y} ** 7)"
+            + "".join(f" + 1 / ({x} + {i}) ** 2" for i in range(6)) + ")")
+
+
+def _spread(table: str) -> str:
+    return f"""
+  SELECT 1 / round(coalesce(least(0.5, greatest(0.0001, (sum((k - n * m) ** 2 / (m * (1 - m))) - sum(n)) / nullif(sum(n * (n - 1)), 0))),
+                            0.5), 9) - 1 AS s
+  FROM (SELECT CAST(n AS DOUBLE) AS n, CAST(k AS DOUBLE) AS k, m FROM {table})"""
+
+
+ORACLE["op13_url_filter"] = rf"""
+WITH cut AS (
+  SELECT page_id, strpos(url, '://') > 0 AS ok, substr(url, strpos(url, '://') + 3) AS rest FROM pages),
+urls AS (
+  SELECT page_id,
+    CASE WHEN ok THEN translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+         ELSE '' END AS host,
+    CASE WHEN ok THEN regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) ELSE '' END AS path FROM cut),
+judged AS (
+  SELECT doc_id, max(CASE WHEN toxic = 1 OR quality = 0 THEN 1 ELSE 0 END) AS bad FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+numbered AS (
+  SELECT host, bad FROM urls JOIN judged ON try_cast(regexp_extract(path, '/([0-9]{{1,18}})([./][^/]*)?$', 1) AS BIGINT) = doc_id),
+hosts AS (
+  SELECT u.host, regexp_replace(regexp_replace(u.host, '^.*@', ''), ':[0-9]*$', '') AS bare,
+         coalesce(any_value(x.n), 0) AS n, coalesce(any_value(x.k), 0) AS k
+  FROM urls u LEFT JOIN (SELECT host, count(*) AS n, sum(bad) AS k FROM numbered GROUP BY host) x ON u.host = x.host GROUP BY u.host),
+split AS (
+  SELECT host, n, k, bare, regexp_matches(bare, '^[0-9.]+$') AS digits,
+         regexp_extract(bare, '[^.]*$') AS one, regexp_extract(bare, '([^.]*\.)?[^.]*$') AS two,
+         regexp_extract(bare, '([^.]*\.)?([^.]*\.)?[^.]*$') AS three FROM hosts),
+named AS (
+  SELECT host, n, k, CASE WHEN digits THEN bare WHEN known THEN three ELSE two END AS domain,
+         CASE WHEN digits THEN '' WHEN known THEN two ELSE one END AS suffix
+  FROM (SELECT *, two IN ('ac.uk', 'co.uk', 'gov.uk', 'org.uk', 'com.au', 'net.au', 'org.au', 'co.in', 'co.jp', 'ne.jp', 'or.jp',
+                          'co.kr', 'co.nz', 'co.za', 'com.br', 'com.cn', 'com.mx', 'com.tr') AS known FROM split)),
+whole AS (SELECT (coalesce(sum(k), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS m FROM named),
+suffixes AS (SELECT suffix, sum(n) AS n, sum(k) AS k, any_value(m) AS m FROM named, whole GROUP BY suffix),
+s1 AS ({_spread('suffixes')}),
+domains AS (
+  SELECT domain, sum(d.n) AS n, sum(d.k) AS k, any_value((s * x.m + x.k) / (s + x.n)) AS m
+  FROM named d JOIN suffixes x USING (suffix), s1 GROUP BY domain),
+s2 AS ({_spread('domains')}),
+last AS (
+  SELECT host, d.n, d.k, (s * x.m + x.k) / (s + x.n) AS m FROM named d JOIN domains x USING (domain), s2),
+s3 AS ({_spread('last')}),
+beta AS (SELECT host, n, k, s * m + k AS a, s * (1 - m) + (n - k) AS b FROM last, s3),
+bounds AS (
+  SELECT host, n, k, 1 / (1 + exp(-({_digamma('a')} - {_digamma('b')}
+                                    - 1.6448536269514715 * sqrt({_trigamma('a')} + {_trigamma('b')})))) AS low FROM beta),
+ruled AS (
+  SELECT *, CASE WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                 WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+                 WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+                 WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+                 WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM urls)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN low > 0.5 THEN 'block' ELSE 'allow' END AS verdict,
+       CAST(n AS BIGINT) AS n_labelled, CAST(k AS BIGINT) AS n_bad
+FROM ruled JOIN bounds USING (host)
+"""

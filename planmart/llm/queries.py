@@ -101,8 +101,22 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", removed.alias("n_removed"), sha256("kept_text").alias("kept_sha256"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whiten
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")).select(
+        "row.vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import filter_urls, page_outcomes
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    outcomes = page_outcomes(pages, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return filter_urls(pages, outcomes).select("row.page_id", "host", "path", "rule", "verdict", "n_labelled", "n_bad")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_lm_score, op3_decontamination, op4_exact_dedup, op5_secrets, op6_bpe, op7_ngram_join,
-        op8_line_dedup, op9_language_id, op10_substring_dedup)
+        op8_line_dedup, op9_language_id, op10_substring_dedup,
+        op12_whitening, op13_url_filter)
 }
