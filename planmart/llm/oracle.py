@@ -137,3 +137,24 @@ SELECT page_id, host, path, rule,
        CAST(n AS BIGINT) AS n_labelled, CAST(k AS BIGINT) AS n_bad
 FROM ruled JOIN bounds USING (host)
 """
+
+ORACLE["op11_lexical_search"] = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS nn, CAST(sum(n) AS BIGINT) AS l FROM sizes),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+counted AS (SELECT doc_id, t, count(*) AS tf FROM words WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, t),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM counted, whole GROUP BY t),
+parts AS (
+  SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))) AS part
+  FROM counted JOIN weights USING (t) JOIN sizes USING (doc_id), whole),
+scored AS (SELECT item_id, doc_id, CAST(sum(part) AS BIGINT) AS score FROM asked JOIN parts USING (t) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""

@@ -101,6 +101,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", removed.alias("n_removed"), sha256("kept_text").alias("kept_sha256"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lexical_search import search
+    return search(C.documents(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .whitening import whiten
     return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")).select(
@@ -118,5 +123,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sharding, op2_lm_score, op3_decontamination, op4_exact_dedup, op5_secrets, op6_bpe, op7_ngram_join,
         op8_line_dedup, op9_language_id, op10_substring_dedup,
-        op12_whitening, op13_url_filter)
+        op11_lexical_search, op12_whitening, op13_url_filter)
 }

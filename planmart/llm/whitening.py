@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 SCALE = 256.0
-COMPONENTS, OVERSAMPLE, DEGREE = 4, 12, 8
-TOLERANCE, MAX_ROUNDS = 1e-12, 200  # of the residual, as a share of the largest eigenvalue
+COMPONENTS, OVERSAMPLE, DEGREE = 4, 20, 8
+TOLERANCE, MAX_ROUNDS = 1e-13, 200  # of the residual, as a share of the largest eigenvalue
 BLOCK_BYTES = 1 << 20
 NO_VARIANCE = 1e-12
 LIMIT = float(1 << 53)
@@ -100,10 +100,8 @@ def _matrices(batch: pa.RecordBatch, dimension: int) -> Iterator[np.ndarray]:
         yield np.frombuffer(rows.as_buffer(), f"<i{width}").reshape(-1, dimension)
 
 
-def _pass(blocks: DataFrame, dimension: int, columns: int, part: Callable[[np.ndarray], np.ndarray],
-          kind: str = "double") -> np.ndarray:
-    """Sum over all blocks of ``part(rows)``, a matrix of a few rows: added up in each task, then by an aggregate."""
-    dtype = np.int64 if kind == "long" else np.float64
+def _pass(blocks: DataFrame, dimension: int, part: Callable[[np.ndarray], np.ndarray], kind: str = "double") -> np.ndarray:
+    """Sum over all blocks of ``part(rows)``, a small matrix: added up in each task, then place by place by an aggregate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -112,14 +110,11 @@ def _pass(blocks: DataFrame, dimension: int, columns: int, part: Callable[[np.nd
                 p = part(x)
                 total = p if total is None else total + p
         if total is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(total)), pa.int32()), *[pa.array(total[:, j].astype(dtype)) for j in range(columns)]],
-                names=["i", *[f"y{j}" for j in range(columns)]])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())],
+                                             names=["place", "value"])
 
-    names = [f"y{j}" for j in range(columns)]
-    sums = blocks.mapInArrow(run, "i int, " + ", ".join(f"{y} {kind}" for y in names))
-    got = sums.groupBy("i").agg(*[F.sum(y).alias(y) for y in names]).collect()  # as many rows as part() gives
-    return np.array([r[1:] for r in sorted(got)], dtype)
+    sums = blocks.mapInArrow(run, f"place int, value {kind}").groupBy("place").agg(F.sum("value").alias("value"))
+    return np.array([r.value for r in sorted(sums.collect())])  # as many rows as part() has places
 
 
 def _rayleigh_ritz(q: np.ndarray, vq: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,16 +159,16 @@ def fit(df: DataFrame, vector_col: str = "embedding", components: int = COMPONEN
     n = blocks.agg(F.sum("n")).first()[0]
     if not n:
         return None
-    sums = _pass(blocks, dimension, 1, lambda x: x.sum(axis=0, dtype=np.int64)[:, None], "long")[:, 0]
+    sums = _pass(blocks, dimension, lambda x: x.sum(axis=0, dtype=np.int64), "long")
     mean = sums / n
 
     def product(q: np.ndarray) -> np.ndarray:
         def part(x: np.ndarray) -> np.ndarray:
             c = x - mean
             return c.T @ (c @ q)
-        return _pass(blocks, dimension, q.shape[1], part) / n
+        return _pass(blocks, dimension, part).reshape(q.shape) / n
 
-    trace = _pass(blocks, dimension, 1, lambda x: np.square(x - mean).sum(axis=0)[:, None]).sum() / n
+    trace = _pass(blocks, dimension, lambda x: np.square(x - mean).sum(axis=0)).sum() / n
     values, vectors = principal(product, dimension, components, **options)
     vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])])
     some = values > NO_VARIANCE * max(values[0], 0)
@@ -184,7 +179,7 @@ def fit(df: DataFrame, vector_col: str = "embedding", components: int = COMPONEN
         def part(x: np.ndarray) -> np.ndarray:
             w = (x - mean) @ axes
             return np.vstack([w.T @ w, w.sum(axis=0)])
-        got = _pass(blocks, dimension, axes.shape[1], part) / n
+        got = _pass(blocks, dimension, part).reshape(-1, axes.shape[1]) / n
         error = float(np.abs(got[:-1] - np.outer(got[-1], got[-1]) - np.eye(axes.shape[1])).max())
     return Whitening(int(n), sums, values, vectors, float(trace), error)
 
