@@ -27,7 +27,7 @@ def run(spark, sf_small, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert {"pipeline", *QUERIES} <= set(E.queries()) and set(ORACLE) <= set(QUERIES)
 
 
