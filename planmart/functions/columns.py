@@ -55,10 +55,21 @@ def percent(num: Column, den: Column, places: int, out_type: str = "decimal(7,2)
     return F.round(ratio, places).cast(out_type)
 
 
+# Numbers as text: sign, digits with or without a point, exponent; or an infinity. No suffix, no hexadecimal, no grouping.
+NUMBER = r"^[ \t\r\n]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t\r\n]*$"
+INFINITY = r"^[ \t\r\n]*[+-]?[iI][nN][fF]([iI][nN][iI][tT][yY])?[ \t\r\n]*$"
+
+
 def lenient_double(col: Column | str) -> Column:
-    """Numeric cast where unparsable values become NULL instead of failing."""
-    c = F.col(col) if isinstance(col, str) else col
-    return c.try_cast(T.DoubleType())
+    """Text as a number; NULL where it is none, is NaN or is out of range.
+
+    The grammar is checked before the cast, whose own one is wider: it takes
+    ``1d``, ``2.5F`` and ``0x1p3``.
+    """
+    c = F.trim(F.translate(F.col(col) if isinstance(col, str) else col, "\t\r\n", "   "))
+    value = c.try_cast(T.DoubleType())
+    finite = F.abs(value) < F.lit(float("inf"))
+    return F.when(c.rlike(NUMBER) & finite, value).when(c.rlike(INFINITY), value)
 
 
 def canonical_position(col: Column | str, values: Sequence[str]) -> Column:

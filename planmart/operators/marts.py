@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rounded_avg
@@ -30,6 +30,12 @@ DM1_KEYS = ["StateCode", "MetalLevel"]
 DM2_KEYS = ["StateCode", "NetworkType", "IssuerName"]
 DM3_KEYS = ["StateCode", "MetalLevel", "NetworkType", "BenefitCategory"]
 MART_KEYS = {DM1_TABLE: DM1_KEYS, DM2_TABLE: DM2_KEYS, DM3_TABLE: DM3_KEYS}
+# Presentation order of each mart: (column, descending).
+MART_ORDERS = {
+    DM1_TABLE: [(c, False) for c in DM1_KEYS],
+    DM2_TABLE: [("StateCode", False), ("NetworkType", False), ("num_plans", True), ("IssuerName", False)],
+    DM3_TABLE: [(c, False) for c in DM3_KEYS],
+}
 
 
 def plan_ids_unique(costs: DataFrame) -> bool:
@@ -63,6 +69,20 @@ def _count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
+def _order(table: str) -> list[Column]:
+    return [F.col(c).desc() if descending else F.col(c).asc() for c, descending in MART_ORDERS[table]]
+
+
+def with_position(mart: DataFrame, table: str) -> DataFrame:
+    """Each row's place in the presentation order, whose columns end in the mart's key.
+
+    One window over the whole mart, which the domains of its keys bound; the
+    place doesn't rest on the order in which partitions are read.
+    """
+    place = F.row_number().over(Window.orderBy(*_order(table)))
+    return mart.withColumn("position", place.cast("bigint")).orderBy("position")
+
+
 def dm1_affordability(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False,
                       unique_plan_ids: bool = False) -> DataFrame:
     """DM1: deductibles, out-of-pocket maxima and affordability by state and metal."""
@@ -79,7 +99,7 @@ def dm1_affordability(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT,
         F.round(F.avg(score), 2).cast("double").alias("avg_affordability_score"),
     )
     if ordered:
-        df = df.orderBy(*DM1_KEYS)
+        df = df.orderBy(*_order(DM1_TABLE))
     return _tag(df, snapshot_date, DM1_ID)
 
 
@@ -100,7 +120,7 @@ def dm2_market(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered
         .where(F.col("num_plans") > 0)  # HAVING COUNT(DISTINCT PlanID) > 0
     )
     if ordered:
-        df = df.orderBy("StateCode", "NetworkType", F.col("num_plans").desc(), "IssuerName")
+        df = df.orderBy(*_order(DM2_TABLE))
     return _tag(df, snapshot_date, DM2_ID)
 
 
@@ -119,7 +139,7 @@ def dm3_competitiveness(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT
         F.countDistinct("Exclusions").alias("distinct_exclusions"),
     )
     if ordered:
-        df = df.orderBy(*DM3_KEYS)
+        df = df.orderBy(*_order(DM3_TABLE))
     return _tag(df, snapshot_date, DM3_ID)
 
 

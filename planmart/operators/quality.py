@@ -167,6 +167,11 @@ def observed(df: DataFrame, counts: list[Column], name: str) -> tuple[DataFrame,
     return df.observe(obs, *counts), obs
 
 
+def counted(df: DataFrame, counts: list[Column]) -> dict:
+    """The same counts by a job of their own (one row)."""
+    return df.agg(*counts).first().asDict()
+
+
 def funnel_of(counts: dict, rules: list[tuple[int, str]]) -> list[dict]:
     """Funnel rows from observed counts (nulls of an empty table count as 0)."""
     left, out = counts.get("total") or 0, []

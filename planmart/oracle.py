@@ -17,8 +17,11 @@ from .schemas import COST_COLUMNS, PLAN_COLUMNS, SILVER_COLUMNS
 from .sources.fixtures import COSTS_SQL, PLANS_SQL
 
 # Fixed values of the contract.
-VALID_STATES = ("AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ NM NY NC ND OH OK "
-                "OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC").split()
+VALID_STATES = [
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS", "KY",
+    "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY", "NC", "ND",
+    "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV", "WI", "WY", "DC",
+]
 VALID_NETWORK_TYPES = ["HMO", "PPO", "EPO", "POS"]
 VALID_METAL_LEVELS = ["Bronze", "Silver", "Gold", "Platinum", "Catastrophic"]
 METAL_ORDER = ["Catastrophic", "Bronze", "Silver", "Gold", "Platinum"]
@@ -418,8 +421,11 @@ WHERE {' AND '.join(f'{c} IS NOT NULL' for c in dm3_nums[:4])}""")
   {_dbl(_half_even_tenths('sum(num_hsa_eligible)', 'sum(num_plans)'), 1)} AS pct_hsa
 FROM f3 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel) t WHERE pct_hsa IS NOT NULL""")
     # the categories that occur, not a list
-    q["panel_exclusion_matrix"] = _panel_sql("""SELECT statecode, CAST(coalesce(COLUMNS(* EXCLUDE (statecode)), 0) AS BIGINT)
-FROM (PIVOT (SELECT statecode, benefitcategory, num_excluded FROM f3) ON benefitcategory USING sum(num_excluded) GROUP BY statecode)""")
+    q["panel_exclusion_matrix"] = _panel_sql("""SELECT s.statecode, c.benefitcategory,
+  CAST(coalesce((SELECT sum(num_excluded) FROM f3 WHERE f3.statecode = s.statecode AND f3.benefitcategory = c.benefitcategory), 0)
+       AS BIGINT) AS num_excluded
+FROM (SELECT DISTINCT statecode FROM f3 WHERE benefitcategory IS NOT NULL) s,
+     (SELECT DISTINCT benefitcategory FROM f3 WHERE benefitcategory IS NOT NULL) c""")
     q["panel_plans_by_metal"] = _panel_sql(f"""SELECT metallevel, CAST(sum(num_plans) AS BIGINT) AS num_plans
 FROM p1 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel""")
     q["panel_state_scatter"] = _panel_sql(f"""SELECT statecode, {_mean_double('avg_individual_deductible', 2)} AS deductible,
@@ -428,10 +434,18 @@ FROM p1 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel""")
     dated = lambda d, where: f"SELECT {plan_cols}, '{d}' AS snapshot_date FROM plans WHERE {where}"
     q["io_snapshot_roundtrip"] = _with(SOURCES) + (
         f"{dated(DEFAULT_SNAPSHOT, 'IsActive = 1')} UNION ALL {dated('2024-01-16', 'PlanYear >= 2022')}")
+    q["io_snapshot_failed_rerun"] = _with(SOURCES) + (
+        f"{dated(DEFAULT_SNAPSHOT, 'IsActive = 1')} UNION ALL {dated('2024-01-16', 'true')}")
     q["io_snapshot_empty_rerun"] = _with(SOURCES) + dated("2024-01-16", "IsActive = 1")
     q["io_catalog_table"] = _with(SOURCES, CLEAN, SILVER) + (
         f"SELECT {silver_cols}, '{DEFAULT_SNAPSHOT}' AS snapshot_date FROM silver")
     q["io_csv_source"] = _with(SOURCES) + f"SELECT {plan_cols} FROM plans"
+    q["io_csv_quarantine"] = _with(SOURCES) + f"""SELECT * FROM (
+SELECT {plan_cols}, CAST(NULL AS VARCHAR) AS line FROM numbered WHERE k NOT IN (7, 8) UNION ALL
+SELECT {", ".join(f"NULL AS {c}" for c in PLAN_COLUMNS)},
+  CASE WHEN k = 7 THEN PlanID || ',short' ELSE PlanID || '{"," * (len(PLAN_COLUMNS) - 1)}year' END FROM numbered WHERE k IN (7, 8))"""
+    q["io_csv_quarantine"] = q["io_csv_quarantine"].replace(
+        "SELECT * FROM (", ", numbered AS (SELECT *, coalesce(CAST(substr(PlanID, 3, 8) AS INTEGER), 0) % 50 AS k FROM plans) SELECT * FROM (", 1)
     q["io_pipeline_dm1"] = q["dm1_affordability"]
     q["io_pipeline_dm2"] = q["dm2_market"]
     q["io_pipeline_dm3"] = q["dm3_competitiveness"]
@@ -453,7 +467,13 @@ FROM p1 WHERE metallevel IN {_in(METAL_ORDER)} GROUP BY metallevel""")
     q["raw_panel_chosen_dm3"] = _panel_sql(f"SELECT {p3_double} FROM p3 {chosen} {metals}")
     q["raw_panel_none_chosen"] = _panel_sql(f"SELECT {p1_double} FROM p1 WHERE false")
     q["panel_lenient_limits"] = _with(SOURCES) + (
-        "SELECT PlanID, QuantitativeLimit, TRY_CAST(QuantitativeLimit AS DOUBLE) AS limit_value FROM costs")
+        """SELECT PlanID, limit_text,
+  CASE WHEN regexp_full_match(trim(limit_text), '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+       THEN CAST(trim(limit_text) AS DOUBLE) END AS limit_value
+FROM (SELECT PlanID, CASE CAST(CopayPrimaryCare AS INTEGER) % 12
+    WHEN 0 THEN l WHEN 1 THEN ' ' || l || ' ' WHEN 2 THEN '-' || l || '.5' WHEN 3 THEN l || 'e3' WHEN 4 THEN '+0' || l || '.'
+    WHEN 5 THEN l || 'd' WHEN 6 THEN l || '.5F' WHEN 7 THEN '0x' || l || 'p3' WHEN 8 THEN l || '_0' WHEN 9 THEN '1,' || l
+    WHEN 10 THEN l || 'e' ELSE l || ' 0' END AS limit_text FROM (SELECT *, QuantitativeLimit AS l FROM costs))""")
     for key, page_no in (("svc_affordability_page_envelope", 2), ("svc_affordability_page_envelope_past_end", 99)):
         q[key] = _marts_sql(f"""SELECT {page_no} AS page, 10 AS page_size, (SELECT CAST(count(*) AS BIGINT) FROM dm1) AS total,
   CAST(ceil((SELECT count(*) FROM dm1) / 10.0) AS BIGINT) AS total_pages, CAST(count(*) AS BIGINT) AS n_items,

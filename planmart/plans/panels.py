@@ -32,10 +32,11 @@ DM3_NUMERIC = ["avg_copay_primary", "avg_copay_specialist", "avg_copay_er", "avg
 
 
 def panel_frame(mart: DataFrame, numeric: Sequence[str], as_double: bool = True) -> DataFrame:
-    """P6 + P7: lower-case column names; optionally lenient numeric cast."""
+    """P6 + P7: lower-case column names; optionally numbers as double, lenient where they are text."""
     df = mart.toDF(*[c.lower() for c in mart.columns])
     if as_double:
-        df = df.withColumns({c: lenient_double(c) for c in numeric if c in df.columns})
+        text = {c for c, kind in df.dtypes if kind == "string"}
+        df = df.withColumns({c: lenient_double(c) if c in text else F.col(c).cast("double") for c in numeric if c in df.columns})
     return df
 
 
@@ -204,18 +205,19 @@ def hsa_pct(dm3f: DataFrame) -> DataFrame:
 
 
 def exclusion_matrix(dm3f: DataFrame) -> DataFrame:
-    """Chart 12: state x benefit category excluded count, gaps as 0.
+    """Chart 12: excluded count of every state and benefit category that occur, gaps as 0.
 
-    No rule bounds the categories, so the columns are those that occur in the
-    selection (one small job over the mart), in sort order.
+    No rule bounds the categories, so the matrix is a long grid with a fixed
+    schema: each state meets the array of categories found, a scalar subquery,
+    and the grid takes the sums that exist. Nothing is collected, and chart
+    clients lay the rows out by their two keys.
     """
-    found = dm3f.select("benefitcategory").where("benefitcategory IS NOT NULL").distinct().collect()
-    categories = sorted(r[0] for r in found)
-    wide = dm3f.groupBy("statecode")
-    if not categories:
-        return wide.agg(F.count(F.lit(1)).alias("_n")).drop("_n")
-    wide = wide.pivot("benefitcategory", categories).agg(F.sum("num_excluded"))
-    return wide.select("statecode", *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint").alias(c) for c in categories])
+    cells = dm3f.where(F.col("benefitcategory").isNotNull())
+    found = cells.select(F.array_sort(F.collect_set("benefitcategory"))).scalar()
+    grid = cells.select("statecode").distinct().select("statecode", F.explode(found).alias("benefitcategory"))
+    sums = cells.groupBy("statecode", "benefitcategory").agg(F.sum("num_excluded").alias("_sum"))
+    return grid.join(sums, ["statecode", "benefitcategory"], "left").select(
+        "statecode", "benefitcategory", F.coalesce("_sum", F.lit(0)).cast("bigint").alias("num_excluded"))
 
 
 def plans_by_metal(dm1p: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ gold (three marts), one callable per run date.
 Every hand-off is a written, dated Parquet dataset in the lake folder, so each
 step restarts from storage and a lost executor only re-runs the current step's
 tasks. Inside silver two more are handed on and removed at the end: the
-validated plans, whose write also counts the rule funnel, and the join, which
-enrichment reads three times with different columns. Row counts come from
+validated plans, whose write also counts the rule funnel, and the join, whose
+write counts the cost rule and which enrichment reads three times with
+different columns. Row counts come from
 ``observe`` on the writes themselves, not from extra ``count()`` jobs.
 """
 
@@ -21,9 +22,8 @@ from ..operators import marts as M
 from ..operators import quality as Q
 from ..operators.enrich import enrich, join_plans_costs
 from ..schemas import COSTS_SCHEMA, DM1_TABLE, DM2_TABLE, DM3_TABLE, PLAN_COLUMNS, PLANS_SCHEMA, SILVER_SCHEMA, without
-from ..session import delete_path
 from ..sources.catalog import register_snapshots
-from ..sources.snapshots import leaf_path, read_snapshot, write_snapshot
+from ..sources.snapshots import drop_snapshot, read_snapshot, write_snapshot
 from .store import MART_SCHEMAS
 
 SILVER_TABLE = "plans_enriched"
@@ -71,17 +71,20 @@ def process(spark: SparkSession, lake: str, run_date: str, catalog_db: str | Non
     kept = flagged.where(F.col("PlanID").isNotNull() & F.col("failed_rule").isNull()).select(*PLAN_COLUMNS)
     write_snapshot(kept, work, "clean_plans", run_date)
     result.plan_funnel = Q.funnel_of(counted.get, Q.PLAN_RULES)
-    result.cost_funnel = [r.asDict() for r in Q.cost_funnel(costs).collect()]  # one row; a scan of two columns
 
     clean = read_snapshot(spark, work, "clean_plans", PLANS_SCHEMA, run_date)
-    joined = join_plans_costs(clean, Q.clean_costs(costs))
+    counted_costs, cost_counts = Q.observed(costs, Q.cost_funnel_counts(), "cost_funnel")
+    joined = join_plans_costs(clean, Q.clean_costs(counted_costs))
     write_snapshot(joined, work, "joined", run_date)
+    # Adaptive execution skips the costs when no plan is left: then they are counted on their own.
+    counts = cost_counts.get if result.plan_funnel[-1]["remaining"] else Q.counted(costs, Q.cost_funnel_counts())
+    result.cost_funnel = Q.funnel_of(counts, [Q.COST_RULE])
     obs = Observation("silver")
     write_snapshot(enrich(read_snapshot(spark, work, "joined", joined.schema, run_date)), f"{lake}/silver", SILVER_TABLE,
                    run_date, observation=obs)
     result.rows["silver"] = _rows(obs)
     for table in ("clean_plans", "joined"):
-        delete_path(spark, leaf_path(work, table, run_date))
+        drop_snapshot(spark, work, table, run_date)
 
     if catalog_db:
         register_snapshots(spark, catalog_db, f"{lake}/silver", SILVER_TABLE, SILVER_SCHEMA, [run_date],

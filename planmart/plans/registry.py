@@ -21,7 +21,7 @@ from ..operators.enrich import join_plans_costs
 from ..schemas import DM1_TABLE, DM2_TABLE, DM3_TABLE, PLANS_SCHEMA, SILVER_SCHEMA
 from ..session import work_path
 from ..sources.catalog import read_table, register_snapshots
-from ..sources.csv import read_csv_source, write_csv_source
+from ..sources.csv import land_csv, read_csv_source, read_quarantine, write_csv_source
 from ..sources.fixtures import fixture_costs, fixture_plans
 from ..sources.snapshots import read_snapshot, write_snapshot
 from . import pipeline as PL
@@ -62,9 +62,8 @@ def _marts(spark, sf):
 
 
 def _ordered(spark, sf, table):
-    """The mart in its presentation order with the position of each row (a mart is small: one file)."""
-    rows = store(spark, sf).build_mart(table, ordered=True).coalesce(1)
-    return rows.withColumn("position", F.monotonically_increasing_id() + 1)
+    """The mart in its presentation order with the position of each row."""
+    return M.with_position(store(spark, sf).build_mart(table), table)
 
 
 def _panel_marts(spark, sf, as_double=False):
@@ -111,6 +110,23 @@ def io_snapshot_empty_rerun(spark, sf):
     return read_snapshot(spark, root, "plans", PLANS_SCHEMA)
 
 
+def io_snapshot_failed_rerun(spark, sf):
+    """A rerun that fails after it began to write leaves the rows of the run before."""
+    root = work_path(spark, "bronze")
+    src = plans(spark, sf)
+    write_snapshot(src.where("IsActive = 1"), root, "plans", RUN_DATE)
+    write_snapshot(src, root, "plans", NEXT_DATE)
+    broken = src.withColumn("PlanYear", F.when(F.col("PlanID").isNull(), F.col("PlanYear")).otherwise(
+        F.raise_error(F.lit("planted failure")).cast("int")))
+    for d in (RUN_DATE, NEXT_DATE):
+        try:
+            write_snapshot(broken, root, "plans", d)
+        except Exception as e:  # the planted one only
+            if "planted failure" not in str(e):
+                raise
+    return read_snapshot(spark, root, "plans", PLANS_SCHEMA)
+
+
 def _own_database() -> str:
     return f"planmart_{uuid.uuid4().hex[:8]}"  # runs don't share names
 
@@ -131,6 +147,21 @@ def io_csv_source(spark, sf):
     return read_csv_source(spark, path, PLANS_SCHEMA)
 
 
+def io_csv_quarantine(spark, sf):
+    """S3: plans as CSV with planted short lines and lines with a word for the year; rows and quarantined lines."""
+    lines, root = work_path(spark, "plans_lines"), work_path(spark, "landed")
+    number = F.coalesce(F.substring("PlanID", 3, 8).cast("int"), F.lit(0))
+    text = F.to_csv(F.struct(*PLANS_SCHEMA.fieldNames()), {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+                                                          "ignoreTrailingWhiteSpace": "false"})
+    line = (F.when(number % 50 == 7, F.concat("PlanID", F.lit(",short")))
+            .when(number % 50 == 8, F.concat("PlanID", F.lit("," * (len(PLANS_SCHEMA) - 1) + "year"))).otherwise(text))
+    plans(spark, sf).select(line.alias("value")).write.text(lines)
+    land_csv(spark, lines, PLANS_SCHEMA, root, "plans", RUN_DATE, header=False)
+    good = read_snapshot(spark, root, "plans", PLANS_SCHEMA, RUN_DATE)
+    bad = read_quarantine(spark, root, "plans", RUN_DATE)
+    return good.withColumn("line", F.lit(None).cast("string")).unionByName(bad.select("line"), allowMissingColumns=True)
+
+
 def _pipeline(spark, sf, catalog_db=None):
     lake = work_path(spark, "lake")
     return lake, PL.run(spark, plans(spark, sf), costs(spark, sf), lake, RUN_DATE, catalog_db=catalog_db)
@@ -160,9 +191,18 @@ def io_pipeline_funnel(spark, sf):
     return spark.createDataFrame(rows, "rule_no int, rule string, rejected long, remaining long")
 
 
+# Text forms around a limit; the first five are numbers where the limit is one.
+LIMIT_FORMS = (("", ""), (" ", " "), ("-", ".5"), ("", "e3"), ("+0", "."), ("", "d"), ("", ".5F"), ("0x", "p3"), ("", "_0"),
+               ("1,", ""), ("", "e"), ("", " 0"))
+
+
 def lenient_limits(spark, sf):
-    """Text that is no number becomes NULL."""
-    return costs(spark, sf).select("PlanID", "QuantitativeLimit", lenient_double("QuantitativeLimit").alias("limit_value"))
+    """Text that is no number becomes NULL; limits stand in several forms, by the primary-care copay."""
+    form = F.pmod(F.col("CopayPrimaryCare").cast("int"), F.lit(len(LIMIT_FORMS)))
+    text = F.coalesce(*[F.when(form == k, F.concat(F.lit(a), F.col("QuantitativeLimit"), F.lit(b)))
+                        for k, (a, b) in enumerate(LIMIT_FORMS)])
+    rows = costs(spark, sf).select("PlanID", text.alias("limit_text"))
+    return rows.withColumn("limit_value", lenient_double("limit_text"))
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -245,8 +285,10 @@ QUERIES: dict[str, QueryFn] = {
     # Sources and sinks
     "io_snapshot_roundtrip": io_snapshot_roundtrip,
     "io_snapshot_empty_rerun": io_snapshot_empty_rerun,
+    "io_snapshot_failed_rerun": io_snapshot_failed_rerun,
     "io_catalog_table": io_catalog_table,
     "io_csv_source": io_csv_source,
+    "io_csv_quarantine": io_csv_quarantine,
     "io_pipeline_dm1": _gold(DM1_TABLE),
     "io_pipeline_dm2": _gold(DM2_TABLE),
     "io_pipeline_dm3": _gold(DM3_TABLE),

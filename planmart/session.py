@@ -64,9 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def work_folder(spark: SparkSession, name: str = "") -> str:
+    """A location under the shared folder, the same for each call of one application."""
+    return f"{ensure_checkpoint_dir(spark)}/planmart-work/{spark.sparkContext.applicationId}/{name}".rstrip("/")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh location under the shared folder for a written table."""
-    return f"{ensure_checkpoint_dir(spark)}/planmart-work/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+    return work_folder(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -76,7 +81,7 @@ def delete_path(spark: SparkSession, path: str) -> None:
 
 def clear_work(spark: SparkSession) -> None:
     """Delete what this application wrote under the shared folder."""
-    delete_path(spark, f"{ensure_checkpoint_dir(spark)}/planmart-work/{spark.sparkContext.applicationId}")
+    delete_path(spark, work_folder(spark))
 
 
-__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "work_path", "clear_work", "delete_path"]
+__all__ = ["DEFAULT_CONF", "local_session", "ensure_checkpoint_dir", "work_folder", "work_path", "clear_work", "delete_path"]

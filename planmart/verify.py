@@ -46,7 +46,8 @@ def compare(df, con, sql: str, strict: bool = False) -> tuple[bool, str]:
     ``strict`` compares doubles bit for bit and decimals with their scale.
     """
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(sql)
+    con.execute(f"CREATE OR REPLACE TEMP VIEW oracle_result AS {sql}")  # as a view, like the driver's check
+    res = con.execute("SELECT * FROM oracle_result")
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     if sorted(df.columns) != sorted(ocols):

@@ -2,6 +2,7 @@
 
 from planmart.operators import marts as M
 from planmart.operators.enrich import build_silver
+from planmart.functions import lenient_double
 from planmart.plans import panels as P
 from tests.helpers import cost, costs_df, plan, plans_df
 
@@ -76,6 +77,18 @@ def test_exclusions_of_any_category_are_kept(spark):
                      costs_df(spark, [cost(f"P{i}", category=c, covered=k) for i, (_, c, k) in enumerate(rows)]))
     d3 = P.panel_frame(M.dm3_competitiveness(s), P.DM3_NUMERIC, False)
     m = P.exclusion_matrix(d3)
-    assert m.columns == ["statecode", "Ambulatory Care", "Benefit_1", "Dental | Vision"]
-    assert sorted(map(tuple, m.collect())) == [("AK", 0, 1, 0), ("AL", 0, 0, 1), ("AZ", 1, 0, 0)]
-    assert P.exclusion_matrix(d3.limit(0)).columns == ["statecode"]
+    assert m.columns == ["statecode", "benefitcategory", "num_excluded"]
+    excluded = {("AK", "Benefit_1"), ("AL", "Dental | Vision"), ("AZ", "Ambulatory Care")}
+    assert sorted(map(tuple, m.collect())) == [(s, c, int((s, c) in excluded)) for s in ("AK", "AL", "AZ")
+                                               for c in ("Ambulatory Care", "Benefit_1", "Dental | Vision")]
+    none = P.exclusion_matrix(d3.limit(0))
+    assert none.schema == m.schema and none.count() == 0
+
+
+def test_lenient_numbers(spark):
+    good = {"1e3": 1000.0, " 7 ": 7.0, ".5": 0.5, "5.": 5.0, "+3": 3.0, "-.5e-2": -0.005, "\t8\n": 8.0, "inf": float("inf"),
+            "-Infinity": -float("inf"), "0": 0.0}
+    bad = ["1d", "2.5F", "0x1p3", "0x10", "1_000", "1e", "e1", "", "  ", "1,000", "True", "+ 3", "1e400", "nan", "NaN", "1 2", ".",
+           "Unlimited", None]
+    df = spark.createDataFrame([(t,) for t in [*good, *bad]], "t string").select("t", lenient_double("t").alias("v"))
+    assert {r.t: r.v for r in df.collect()} == good | dict.fromkeys(bad)
