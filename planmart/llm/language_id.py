@@ -16,7 +16,7 @@ Defined cases: a null text or one without letters is ``und`` with score 0 and
 rejected; rows without a label or id are never learned from; with no labelled
 row at all every text is ``und``; repeated rows and ties get equal results
 (the first label in order wins a tie); an empty table gives no rows; further
-columns are carried in ``row``.
+columns are carried in ``row``; too many labels are an error, none is left out.
 """
 
 from __future__ import annotations
@@ -141,21 +141,27 @@ def learnable(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 != 2
 
 
-def train(docs: DataFrame, sample_rows: int = 2500, max_labels: int = 256, buckets: int = BUCKETS,
+def train(docs: DataFrame, sample_rows: int = 2500, max_labels: int = 4096, buckets: int = BUCKETS,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", **options) -> Model | None:
-    """Fit on about ``sample_rows`` labelled rows, the same share of each of the ``max_labels`` commonest labels."""
+    """Fit on about ``sample_rows`` labelled rows, the same number of every label (two at least).
+
+    More than ``max_labels`` labels are an error: the model holds ``buckets`` numbers for each.
+    """
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.where(learnable(id_col) & F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-    counts = {r[0]: r[1] for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy("label").count().limit(max_labels + 1).collect()}
     if not counts:
         return None
+    if len(counts) > max_labels:
+        raise ValueError(f"more than {max_labels} labels in {label_col}; raise max_labels")
     want = max(2, sample_rows // len(counts))
     shares = spark.createDataFrame([(k, min(1 << 20, -(-want * (1 << 20) // n))) for k, n in counts.items()],
                                    "label string, share long")
     picked = rows.join(F.broadcast(shares), "label").where(  # max_labels rows
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share")).limit(2 * sample_rows + max_labels)
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share"))
+    picked = picked.select("doc_id", "text", "label").distinct()  # rows that repeat altogether fall together: once
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = letter_table()
@@ -167,7 +173,7 @@ def train(docs: DataFrame, sample_rows: int = 2500, max_labels: int = 256, bucke
                 [batch.column("label"), pa.array([i.astype(np.int32).tobytes() for i in at], pa.binary()),
                  pa.array([x.tobytes() for x in share], pa.binary())], names=["label", "at", "share"])
 
-    # packed numbers: at most 2 * sample_rows rows of 8 bytes a bucket, in fact about a tenth of that
+    # packed numbers: about sample_rows rows of 8 bytes a bucket at most, in fact about a tenth of that
     sample = picked.select("label", "text").mapInArrow(features, "label string, at binary, share binary").collect()
     sample.sort(key=lambda r: (r[0], r[1], r[2]))  # the same model whatever order the tasks end in
     sample = [r for r in sample if r[1]]
@@ -203,13 +209,14 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
     """Every row as struct ``row`` with lang_pred, score and rejected."""
     spark = docs.sparkSession
     bound_batches(spark)
-    sent = spark.sparkContext.broadcast(model)  # buckets x labels numbers
+    # buckets x labels numbers; plain values, as a broadcast is unpickled where the package may be missing
+    sent = spark.sparkContext.broadcast(model and (model.labels, model.table, model.bias, model.temperature, model.threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = letter_table()
+        letters, known_model = letter_table(), sent.value and Model(*sent.value)
         for batch in batches:
             row = batch.column("row")
-            known, scores, rejected = predict(row.field(text_col).to_pylist(), sent.value, letters)
+            known, scores, rejected = predict(row.field(text_col).to_pylist(), known_model, letters)
             yield pa.RecordBatch.from_arrays(
                 [row, pa.array(known, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=["row", "lang_pred", "score", "rejected"])

@@ -1,5 +1,8 @@
+import math
 import zlib
 
+import pytest
+
 from planmart.llm import language_id as L
 
 from .helpers import docs_df
@@ -46,3 +49,45 @@ def test_subwords_do_not_depend_on_pieces(monkeypatch):
     assert (L.bucket_counts(text, letters) == whole).all()
     words = "ab c"  # boundary bigrams and trigrams by hand: _a ab b_ _c c_ | _ab ab_ _c_ | _ab_
     assert L.bucket_counts(words, letters).sum() == 9
+
+
+def plain_prediction(text, model):
+    """The same prediction by loops over n-grams cut from strings."""
+    counts = [0.0] * len(model.labels)
+    words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split(" ")
+    grams = [w[i:i + n] for w in (f"\0{x}\0" for x in words if x) for n in (2, 3, 4) for i in range(len(w) - n + 1)]
+    if not grams:
+        return "und", 0.0
+    for gram in grams:
+        h = len(gram)
+        for c in gram:
+            h = (h * 0x100000001B3 % (1 << 64)) ^ (0 if c == "\0" else ord(c))
+        bucket = (h * 0x9E3779B97F4A7C15 % (1 << 64) >> 40) % len(model.table)
+        for k in range(len(counts)):
+            counts[k] += float(model.table[bucket][k])
+    z = [(c / len(grams) + float(b)) / model.temperature for c, b in zip(counts, model.bias, strict=True)]
+    e = [math.exp(x - max(z)) for x in z]
+    best = max(range(len(e)), key=lambda k: e[k])
+    return model.labels[best], e[best] / sum(e)
+
+
+def test_prediction_against_brute_force(spark, sf_small):
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    model = L.train(docs)
+    extra = docs_df(spark, [(1, "İstanbul Straße 𝒜bc"), (2, None), (3, "12 ?"), (4, "a"), (5, "ʼn ß-ß" * 40)]).select(*docs.columns)
+    got = L.identify(docs.unionByName(extra), model).select("row.text", "lang_pred", "score", "rejected").collect()
+    assert len(got) == docs.count() + 5
+    for r in got:
+        lang, score = plain_prediction(r.text, model)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-5)
+        assert r.rejected == (lang == "und" or score < model.threshold) or abs(score - model.threshold) < 1e-5
+
+
+def test_every_label_is_learned_and_too_many_are_an_error(spark):
+    rows = [(i, f"{chr(97 + i % 26) * 5} {chr(98 + i // 26 % 20) * 4}", f"l{i % 300}") for i in range(3000)]
+    rows += [(90_000, "same text", "twice")] * 500  # a row that repeats altogether
+    docs = docs_df(spark, rows)
+    model = L.train(docs, epochs=1, least_steps=1)
+    assert set(model.labels) >= {f"l{k}" for k in range(300)}
+    with pytest.raises(ValueError, match="max_labels"):
+        L.train(docs, max_labels=299)
