@@ -19,18 +19,22 @@ hashes are shuffled until texts are joined with their own deleted lines once.
 Defined cases: a null text stays null with no lines; an empty text has one
 empty line; texts of fewer than ``window`` lines lose long lines only; null ids sort
 first; rows that repeat id and text count as one document, all keep the same
-lines; an empty table gives no rows; further columns are kept.
+lines; an empty table gives no rows; further columns are kept, but for
+``n_lines`` and ``n_removed``, which the counts replace. Time grows with a
+text's lines, not with their square.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import by_shuffle, materialize, row_key
 
 WINDOW = 2
-LONG_WORDS = 13  # the long lines of the pipeline
+LONG_WORDS = 13  # the long lines of the query and the pipeline
 
 
 def _window_starts(hashes: Column, window: int) -> Column:
@@ -77,19 +81,30 @@ def repeated_lines(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "n_lines")).alias("starts"))  # of one document
 
 
+def _with(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with ``value`` computed once a row, also where ``then`` looks into it from a lambda."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def line_dedup(df: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
                long_words: int | None = None) -> DataFrame:
     """``df`` with later repeated runs of lines deleted from ``text_col``, plus n_lines and n_removed."""
     starts = materialize(repeated_lines(df, window, id_col, text_col, long_words), "repeated-lines").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("starts").alias("_starts"))
-    joined = df.withColumn("_key", F.xxhash64(F.col(text_col))).join(
-        by_shuffle(starts), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines))
-    covered = F.flatten(F.transform("_starts", lambda s: F.sequence(s["start"], s["start"] + s["n_lines"] - 1)))
-    keep = F.array_except(F.sequence(F.lit(0), n - 1), covered)
-    text = F.when(F.col("_starts").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))
-    removed = F.when(F.col("_starts").isNull(), 0).otherwise(n - F.size(keep))
-    return (joined.withColumns({"_text": text, "n_lines": n.cast("long"), "n_removed": removed.cast("long")})
-            .withColumn(text_col, F.col("_text")).drop("_text", "_key", "_id", "_hash", "_starts"))
+        F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"), "starts")
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), df[id_col].alias("id"), df[text_col].alias("text"),
+                     F.xxhash64(df[text_col]).alias("hash"))
+    joined = rows.join(by_shuffle(starts), F.col("id").eqNullSafe(F.col("of_id")) & (F.col("hash") == F.col("of_hash")), "left")
+    covered = F.flatten(F.transform("starts", lambda s: F.sequence(s["start"], s["start"] + s["n_lines"] - 1)))
+
+    def cut(lines: Column) -> Column:
+        keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), covered)
+        kept = F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n")
+        return F.struct(F.when(F.col("starts").isNull(), F.col("text")).otherwise(kept).alias("text"),
+                        F.size(lines).cast("long").alias("n_lines"),
+                        F.when(F.col("starts").isNull(), 0).otherwise(F.size(lines) - F.size(keep)).cast("long").alias("n_removed"))
+
+    done = joined.select("row", _with(F.split("text", "\n", -1), cut).alias("cut"))
+    counts = ("n_lines", "n_removed")
+    none = F.col(f"row.`{text_col}`").isNull()
+    kept = [(F.col("cut.text") if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in df.columns if c not in counts]
+    return done.select(*kept, *[F.when(none, F.lit(0).cast("long")).otherwise(F.col(f"cut.{c}")).alias(c) for c in counts])

@@ -37,12 +37,16 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
-ORACLE["op8_line_dedup"] = """
+ORACLE["op8_line_dedup"] = r"""
 WITH docs AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
 pairs AS (SELECT doc_id, i, l[i] AS a, l[i + 1] AS b FROM (SELECT doc_id, l, unnest(range(1, len(l))) AS i FROM docs)),
 ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, i) AS n FROM pairs),
-gone AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM ranked WHERE n > 1),
 lines AS (SELECT doc_id, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS line FROM docs),
+long_ranked AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY line ORDER BY doc_id, i) AS n
+  FROM lines WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 13),
+gone AS (
+  SELECT doc_id, unnest([i, i + 1]) AS i FROM ranked WHERE n > 1 UNION SELECT doc_id, i FROM long_ranked WHERE n > 1),
 kept AS (
   SELECT k.doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY k.i) AS text
   FROM lines k LEFT JOIN gone g ON k.doc_id = g.doc_id AND k.i = g.i WHERE g.i IS NULL GROUP BY k.doc_id)

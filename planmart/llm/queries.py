@@ -76,8 +76,8 @@ def bpe_digests(coded: DataFrame) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .line_dedup import line_dedup
-    return line_dedup(C.documents(spark, sf_dir).select("doc_id", "text")).select(
+    from .line_dedup import LONG_WORDS, line_dedup
+    return line_dedup(C.documents(spark, sf_dir).select("doc_id", "text"), long_words=LONG_WORDS).select(
         "doc_id", "n_lines", "n_removed", sha256("text").alias("kept_sha256"))
 
 

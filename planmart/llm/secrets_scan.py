@@ -19,7 +19,9 @@ below its threshold that the battery does not reject is reported as ``random``,
 unless it lies in a longer one.
 
 Scale: one pass over the texts writes spans and candidates (no texts); the
-thresholds come from a histogram of a few hundred counts per length class.
+thresholds come from a histogram of a few hundred counts per length class;
+spans are chosen by sweeps over sorted lists, so time grows with a text's
+candidates, not with their square.
 
 Defined cases: a null or empty text has no spans; equal texts have equal
 spans; an empty table gives no rows; further columns are ignored.
@@ -29,7 +31,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -176,26 +180,36 @@ def thresholds(scanned: DataFrame, fdr: float) -> dict[int, int]:
     return out
 
 
+def chosen_spans(base: list[dict], found: list[dict], limits: dict[int, int], alpha: float) -> list[tuple[str, int, int]]:
+    """Pattern spans and the discoveries outside them that lie in no longer one, by start, then kind: one sweep each."""
+    begins, reach = [b["start"] for b in base], list(accumulate((b["end"] for b in base), max))
+    out = [(b["kind"], b["start"], b["end"]) for b in base]
+    last = -1  # the furthest end of the discoveries so far, which begin no later
+    for c in sorted(found, key=lambda c: (c["start"], -c["end"])):
+        if c["bin"] < limits.get(c["length_class"], BINS + 1) or c["p_random"] < alpha:
+            continue
+        before = bisect_left(begins, c["end"])  # pattern spans that begin before its end
+        if before and reach[before - 1] > c["start"]:
+            continue
+        if c["end"] > last:
+            out.append(("random", c["start"], c["end"]))
+            last = c["end"]
+    return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+
+
 def find_secrets(docs: DataFrame, fdr: float = 0.05, alpha: float = 0.001, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Every document: doc_id, base, spans (pattern spans and random strings outside them), by start, then kind."""
     scanned = materialize(scan(docs, id_col, text_col), "secrets")
     limits = thresholds(scanned, fdr)
-    spans = scanned["base"]
-    if limits:
-        least = F.create_map(*[F.lit(v) for kv in limits.items() for v in kv])
-        outside = lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-        chosen = F.filter("candidates", lambda c: (
-            c["bin"] >= F.coalesce(F.try_element_at(least, c["length_class"]), F.lit(BINS + 1))) & (c["p_random"] >= alpha) & outside(c))
-        scanned = scanned.withColumn("chosen", chosen)
-        within = lambda c, o: (o["start"] <= c["start"]) & (c["end"] <= o["end"]) & (
-            (o["start"] < c["start"]) | (c["end"] < o["end"]))
-        added = F.transform(
-            F.filter("chosen", lambda c: ~F.exists("chosen", lambda o: within(c, o))),
-            lambda c: F.struct(F.lit("random").alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-        keyed = F.transform(F.concat(scanned["base"], added), lambda s: F.struct(
-            s["start"].alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), s["kind"]).alias("rank"),
-            s["end"].alias("end"), s["kind"].alias("kind")))
-        spans = F.transform(F.array_sort(keyed), lambda s: F.struct(
-            s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return scanned.select("doc_id", "base", spans.alias("spans"))
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            base = batch.column("base")
+            spans = [[dict(zip(("kind", "start", "end"), s, strict=True)) for s in chosen_spans(b, c, limits, alpha)]
+                     for b, c in zip(base.to_pylist(), batch.column("candidates").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), base, pa.array(spans, pa.list_(_SPAN))],
+                                             names=["doc_id", "base", "spans"])
+
+    span = "array<struct<kind:string,start:int,end:int>>"
+    return scanned.mapInArrow(choose, f"doc_id {scanned.schema['doc_id'].dataType.simpleString()}, base {span}, spans {span}")

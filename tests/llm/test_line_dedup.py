@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import pytest
@@ -74,3 +75,24 @@ def test_long_lines_are_windows(spark):
     kept = P.drop_repeated_lines(spark, docs_df(spark, rows[:23]), "")
     assert {r.doc_id: r.text for r in kept.collect()} == {
         500: rows[0][1], 531: line[:-2], **{i: f"own {i}\nlast {i}" for i in range(501, 520)}}
+
+
+def test_a_text_of_many_lines_takes_time_in_proportion(spark):
+    lines = [f"line {i}" for i in range(100_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["own", lines[70], lines[71], *(f"x{i}" for i in range(100_000))]))]
+    began = time.time()
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in line_dedup(docs_df(spark, rows)).collect()}
+    assert got[1] == (100_000, 0, rows[0][1])
+    assert got[2] == (100_003, 2, "\n".join(["own", *(f"x{i}" for i in range(100_000))]))
+    assert time.time() - began < 120  # the square of it took more than ten minutes
+
+
+def test_columns_with_any_name_are_kept(spark):
+    names = ["_id", "_hash", "_starts", "_key", "_text", "id", "hash", "row", "cut", "starts", "of_id", "key", "mark", "hashes"]
+    rows = [(i, "a\nb\n" + str(i), *[f"{c}{i}" for c in names], 7) for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names) + ", n_lines int")
+    out = line_dedup(df)
+    assert out.columns == ["doc_id", "text", *names, "n_lines", "n_removed"]
+    for r in out.collect():
+        assert [r[c] for c in names] == [f"{c}{r.doc_id}" for c in names]
+        assert (r.n_lines, r.n_removed, r.text) == (3, 2 if r.doc_id else 0, str(r.doc_id) if r.doc_id else "a\nb\n0")

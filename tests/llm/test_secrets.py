@@ -1,6 +1,7 @@
 import random
 import re
 import string
+import time
 
 from planmart.llm import secrets_scan as X
 
@@ -72,3 +73,32 @@ def test_values_of_assignments_and_paths_are_candidates(spark):
     assert sum(want[i] in got[i] for i in range(60) if i % len(frames) < 4) >= 34
     assert not any(got[100 + i] for i in range(30))
     assert [(a, b) for a, b, _ in X.tested("k=" + "aB3" * 8 + "== " + "aB3" * 8 + "=x")] == [(2, 28), (29, 53)]
+
+
+def test_a_text_of_many_candidates_takes_time_in_proportion(spark):
+    rng = random.Random(3)
+    draw = lambda n, a: "".join(rng.choice(a) for _ in range(n))
+    hashes = "\n".join(draw(32, "0123456789abcdef") for _ in range(100_000))
+    mixed = "\n".join(draw(30, string.ascii_letters + string.digits) for _ in range(100_000))
+    began = time.time()
+    got = {r.doc_id: r for r in X.find_secrets(docs_df(spark, [(1, hashes), (2, mixed)])).collect()}
+    assert len(got[1].base) == 100_000 and len(got[1].spans) == 100_000
+    assert len(got[2].spans) > 50_000
+    assert time.time() - began < 180  # the square of it took hours
+
+
+def test_sweeps_choose_what_the_definition_says():
+    rng = random.Random(4)
+    for _ in range(300):
+        base = sorted(({"kind": rng.choice(X.KINDS[:3]), "start": s, "end": s + rng.randint(1, 9)}
+                       for s in (rng.randrange(60) for _ in range(rng.randint(0, 5)))), key=lambda b: (b["start"], X.KINDS.index(b["kind"])))
+        spans = {(s, s + rng.randint(1, 12)) for s in (rng.randrange(60) for _ in range(rng.randint(0, 12)))}
+        found = [{"start": a, "end": b, "length_class": rng.randint(0, 1), "bin": rng.randint(0, 9), "p_random": rng.random()} for a, b in spans]
+        limits = {0: 3}
+        chosen = [c for c in found if c["length_class"] == 0 and c["bin"] >= 3 and c["p_random"] >= 0.2
+                  and not any(b["start"] < c["end"] and c["start"] < b["end"] for b in base)]
+        want = [("random", c["start"], c["end"]) for c in chosen
+                if not any(o["start"] <= c["start"] and c["end"] <= o["end"] and o is not c for o in chosen)]
+        want += [(b["kind"], b["start"], b["end"]) for b in base]
+        got = X.chosen_spans(base, found, limits, 0.2)
+        assert sorted(got) == sorted(want) and [s[1] for s in got] == sorted(s[1] for s in got)
