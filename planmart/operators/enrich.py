@@ -8,12 +8,13 @@ map-side-combined aggregates that are joined back, one path at every size:
 * W2-W5 (averages and counts per state / state+network / state+metal) from one
   aggregate at (state, network, metal) grain. Rules R2/R4/R6 bound it to
   51 x 4 x 5 = 1,020 rows, so it is broadcast.
-* W1 (``rank`` by deductible within state) as a counted rank: rows per
-  (state, deductible); the rank is 1 + the rows of smaller deductibles, summed
-  in two levels: inside a bucket of ``BUCKET`` money units (at most 10,000
-  cent values) and over the buckets of a state. That table grows with the
-  deductibles that occur, so its join is a shuffle join on
-  (state, deductible), whose hot pairs adaptive execution splits.
+* W1 (``rank`` by deductible within state) by prefix: rows are dealt by
+  (state, bucket of ``BUCKET`` money units) and ranked there; a table of the
+  rows in lower buckets of the state, with one row per bucket, raises these
+  ranks. Rows, that table and the window share one exchange and one sort, so
+  rows cross the network once. A bucket that holds many rows (a deductible that
+  a third of all plans have) never meets in one task: its ranks come from the
+  counts of its at most 10,000 cent values.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from ..schemas import DEC_MONEY, SILVER_COLUMNS
 STATE, NETWORK, METAL = "StateCode", "NetworkType", "MetalLevel"
 DED, OOP = "IndividualDeductible", "IndividualOutOfPocketMax"
 BUCKET = 100
+HOT_ROWS = 1_000_000  # more rows in one bucket don't meet in one task
 
 
 def join_plans_costs(plans: DataFrame, costs: DataFrame) -> DataFrame:
@@ -71,21 +73,33 @@ def with_network_share(joined: DataFrame) -> DataFrame:
     return _null_safe_join(joined, F.broadcast(network_shares(joined)), [STATE, NETWORK])
 
 
-def counted_rank(joined: DataFrame) -> DataFrame:
-    """W1 as a table (state, deductible, rank): 1 + rows with a smaller deductible.
+def _running(keys: list[str], order: Column) -> Column:
+    """Sum of ``_c`` over the rows before this one."""
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("_c").over(before), F.lit(0))
 
-    NULL deductibles sort first, as in ``rank()`` ascending.
+
+def with_rank(joined: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join output plus the rank by deductible within the state; NULL deductibles sort first, as in ``rank()``.
+
+    Ranks are taken inside buckets and raised by the rows in lower buckets of
+    the state. Buckets with more than ``hot_rows`` rows are ranked by counts
+    instead; their table has one row per ``hot_rows`` rows at most, so it is
+    broadcast.
     """
-    counts = joined.groupBy(STATE, DED).agg(F.count(F.lit(1)).alias("_c")).withColumn(
-        "_b", F.floor(F.col(DED) / BUCKET).cast("bigint"))
-    in_bucket = Window.partitionBy(STATE, "_b").orderBy(F.col(DED).asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
-    lower = Window.partitionBy(STATE).orderBy(F.col("_b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda w, c: F.coalesce(F.sum(c).over(w), F.lit(0))
-    inside = counts.withColumn("_inside", before(in_bucket, "_c"))
-    totals = counts.groupBy(STATE, "_b").agg(F.sum("_c").alias("_t")).withColumn("_lower", before(lower, "_t"))
-    return _null_safe_join(inside, totals, [STATE, "_b"]).select(
-        STATE, DED, (F.col("_lower") + F.col("_inside") + 1).cast("bigint").alias("rank_deductible_state"))
+    rows = joined.withColumns({
+        "_s": F.coalesce(F.concat(F.lit("="), STATE), F.lit("")),  # keys without nulls: one exchange for join and window
+        "_b": F.coalesce(F.floor(F.col(DED) / BUCKET).cast("bigint"), F.lit(-(1 << 62)))})
+    counts = rows.groupBy("_s", "_b").agg(F.count(F.lit(1)).alias("_c"))
+    lower = counts.select("_s", "_b", _running(["_s"], F.col("_b")).alias("_lower"), (F.col("_c") > hot_rows).alias("_hot"))
+    hot = F.broadcast(lower.where("_hot").select("_s", "_b", "_lower"))
+    inside = Window.partitionBy("_s", "_b").orderBy(F.col(DED).asc_nulls_first())
+    rank = (F.col("_lower") + F.col("_rank")).cast("bigint").alias("rank_deductible_state")
+    even = rows.join(lower.where(~F.col("_hot")), ["_s", "_b"]).withColumn("_rank", F.rank().over(inside))
+    values = rows.join(hot, ["_s", "_b"]).groupBy("_s", "_b", "_lower", DED).agg(F.count(F.lit(1)).alias("_c"))
+    values = values.select("_s", DED, "_lower", (_running(["_s", "_b"], F.col(DED).asc_nulls_first()) + 1).alias("_rank"))
+    of_hot = _null_safe_join(rows.join(hot.select("_s", "_b"), ["_s", "_b"], "left_semi"), values, ["_s", DED])
+    return even.select(*joined.columns, rank).unionByName(of_hot.select(*joined.columns, rank))
 
 
 def _null_safe_join(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
@@ -100,12 +114,11 @@ def enrich(joined: DataFrame) -> DataFrame:
 
     Statistics run over every joined row (inactive plans included), as in the
     source job; the active filter comes later, in the marts. ``joined`` is
-    read three times (cells, ranks, rows), so callers pass a stored table:
+    read three times (cells, buckets, rows), so callers pass a stored table:
     the pipeline and the registry write the join once as Parquet, and each
     read is pruned to its columns.
     """
-    out = _null_safe_join(joined, counted_rank(joined), [STATE, DED])
-    out = _null_safe_join(out, F.broadcast(group_stats(joined)), [STATE, NETWORK, METAL])
+    out = _null_safe_join(with_rank(joined), F.broadcast(group_stats(joined)), [STATE, NETWORK, METAL])
     return out.withColumns({
         "diff_from_avg_state_deductible": F.col(DED) - F.col("avg_deductible_state"),
         "pct_network_type_in_state": _network_share(),

@@ -6,7 +6,8 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from planmart.operators import quality as Q
-from planmart.operators.enrich import build_silver, enrich, join_plans_costs, with_network_share
+from planmart.operators.enrich import build_silver, enrich, join_plans_costs, with_network_share, with_rank
+from planmart.plans.store import store
 from planmart.schemas import COSTS_SCHEMA, PLANS_SCHEMA, SILVER_SCHEMA
 from planmart.sources.fixtures import fixture_costs, fixture_plans
 from tests.helpers import cost, costs_df, plan, plans_df
@@ -99,3 +100,25 @@ def test_network_share_is_that_of_silver(spark, sf_small):
     cols = ["PlanID", "pct_network_type_in_state"]
     a, b = with_network_share(j).select(cols), enrich(j).select(cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_buckets_are_ranked_by_counts(spark):
+    deds = [50, 50, 50, 7, 99, None, 50, 200, 250, 300, 300, None, 12, 50]
+    states = ["CA", None, "CA", "CA", "CA", "CA", "TX", "CA", "CA", None, "TX", "TX", "", "CA"]
+    p = plans_df(spark, [plan(f"P{i}", state=s or "") for i, s in enumerate(states)]).withColumn(
+        "StateCode", F.when(F.col("PlanID").isin([f"P{i}" for i, s in enumerate(states) if s is None]), None).otherwise(F.col("StateCode")))
+    c = costs_df(spark, [cost(f"P{i}", ded=None if d is None else str(d)) for i, d in enumerate(deds)])
+    joined = join_plans_costs(p, c)
+    groups = {s: [d for d, t in zip(deds, states) if t == s] for s in set(states)}
+    want = {f"P{i}": _rank(groups[s])[[k for k, t in enumerate(states) if t == s].index(i)] for i, s in enumerate(states)}
+    for hot_rows in (0, 1, 3, 1000):  # every bucket is hot, some are, none is
+        got = with_rank(joined, hot_rows=hot_rows)
+        assert got.columns == [*joined.columns, "rank_deductible_state"]
+        assert {r.PlanID: r.rank_deductible_state for r in got.collect()} == want
+
+
+def test_rows_cross_the_network_once_for_the_rank(spark, sf_small):
+    joined = store(spark, sf_small).joined()
+    plan_text = with_rank(joined)._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan_text.splitlines() if "Window" in line and "rank(" in line]
+    assert len(wide) == 1 and "_s" in wide[0] and "_b" in wide[0]
