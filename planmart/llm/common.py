@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_FOLDER: list[str] = []
+from ..session import clear_work, work_folder
+
+__all__ = ["bound_batches", "by_shuffle", "clear_work", "documents", "materialize", "row_key", "same_row", "shared_folder",
+           "shuffle_partitions"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,20 +18,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the session names in ``spark.checkpoint.dir``.
-
-    A folder set by ``sc.setCheckpointDir`` counts too. Only a local master
-    may have neither: then one temporary folder serves (tests).
-    """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        if not _LOCAL_FOLDER:
-            _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="llm-work-"))
-        root = _LOCAL_FOLDER[0]
-    return f"{root.rstrip('/')}/llm-work/{sc.applicationId}"
+    """A folder of this application that the driver and all executors share; ``clear_work`` deletes it."""
+    return work_folder(spark, "llm")
 
 
 def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -48,13 +38,6 @@ def bound_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
-def clear_work(spark: SparkSession) -> None:
-    """Delete what this application wrote; results that still read it must be stored first."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def by_shuffle(df: DataFrame) -> DataFrame:
     """A side that grows with the corpus: joined by shuffle and sort at every size, never broadcast."""
     return df.hint("merge")
