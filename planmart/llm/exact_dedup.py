@@ -7,8 +7,8 @@ neighbouring full texts. Splitters are short keys, so sampling stays small
 however long the texts are; the leading bytes decide only where a row is
 sorted, never whether two texts are equal.
 
-Hot texts: a text with more rows than a quarter of a mean partition is salted
-into runs of about that length; there are at most ``4 * partitions`` such
+Hot texts: a text with more rows than a quarter of a mean partition (and more
+than ``HOT_ROWS``) is salted into runs of about that length; there are at most ``4 * partitions`` such
 texts, so their table may be broadcast. Run results of hot texts are merged by
 a map-side folding aggregate of digests.
 
@@ -28,11 +28,12 @@ from pyspark.sql.window import Window
 from .common import materialize, shuffle_partitions
 
 LEADING_CHARS = 24
+HOT_ROWS = 256  # a text with no more rows than this is never hot, however small the table
 
 
 def _hot_texts(keyed: DataFrame, partitions: int) -> DataFrame:
-    """text_hash, runs: texts that would fill more than a quarter of a mean partition."""
-    run = max(1, keyed.count() // (4 * partitions))
+    """text_hash, runs: texts that would fill more than a quarter of a mean partition, and have over ``HOT_ROWS`` rows."""
+    run = max(HOT_ROWS, keyed.count() // (4 * partitions))
     counts = keyed.groupBy("text_hash").agg(F.count(F.lit(1)).alias("n"))
     # more than total/(4*partitions) rows each, hence not many more than 4*partitions hash values
     return counts.where(F.col("n") > run).select("text_hash", F.ceil(F.col("n") / run).alias("runs"))
