@@ -2,8 +2,9 @@
 
 Every record hashes into one of thousands of virtual slots and never leaves
 it. Bytes and rows are summed per slot, and a small, versioned table maps
-slots to shards. Rebalancing and growing edit that table only; records move
-as whole slots.
+slots to shards. Rebalancing and growing add a version to that table only;
+records move as whole slots. Versions lie side by side (``version=<n>``), and
+readers take the last one that was written whole.
 
 The slot table has ``n_slots`` rows (a parameter), so it can be broadcast and
 folded in one expression whatever the size of the corpus. Only digests
@@ -17,13 +18,16 @@ columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize
+from .common import materialize, shared_folder
 
 N_SLOTS = 4096
+MAP_SCHEMA = "virtual_slot int, shard int, bytes long, rows long, moved boolean"
 
 
 def with_slots(df: DataFrame, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -115,16 +119,46 @@ def assign(records: DataFrame, slot_map: DataFrame) -> DataFrame:
             .withColumn("slot", F.col("offset") + F.col("n")).drop("offset", "n"))
 
 
-def shard(df: DataFrame, n_shards: int, n_slots: int = N_SLOTS, id_col: str = "doc_id",
-          text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(rows with shard and slot, stored slot map of version 1), shards near equal in bytes."""
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions that were written whole, ascending."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = list(fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")) or [])
+    return sorted(int(f.getPath().getParent().getName().removeprefix("version=")) for f in found)
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The last version of the slot map stored at ``path``, or the one asked for."""
+    versions = _versions(spark, path)
+    wanted = versions[-1] if version is None and versions else version
+    if wanted not in versions:
+        raise LookupError(f"no version {wanted} of the slot map {path}")
+    return spark.read.schema(MAP_SCHEMA).parquet(f"{path}/version={wanted}").withColumn("version", F.lit(wanted))
+
+
+def store_map(slot_map: DataFrame, path: str, version: int) -> DataFrame:
+    """Store a version of the map beside the earlier ones; one that was written whole is never replaced."""
+    spark = slot_map.sparkSession
+    if version in _versions(spark, path):
+        raise FileExistsError(f"version {version} of the slot map {path} exists")
+    slot_map.drop("version").write.mode("overwrite").parquet(f"{path}/version={version}")  # what a failed write left goes
+    return load_map(spark, path, version)
+
+
+def shard(df: DataFrame, n_shards: int, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text",
+          map_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows with shard and slot, stored slot map of version 1), shards near equal in bytes.
+
+    The map is kept at ``map_path``; without it in a work folder, until ``clear_work``.
+    """
     records = materialize(with_slots(df, n_slots, id_col, text_col), "shard-records")
-    slot_map = materialize(edit_map(slot_totals(records, n_slots), n_shards), "slot-map", "version")
+    path = map_path or f"{shared_folder(df.sparkSession)}/slot-map-{uuid.uuid4().hex[:12]}"
+    slot_map = store_map(edit_map(slot_totals(records, n_slots), n_shards), path, 1)
     return assign(records, slot_map), slot_map
 
 
-def rebalance(slot_map: DataFrame, totals: DataFrame, n_shards: int) -> DataFrame:
-    """Store and return the next version of ``slot_map`` for new totals or another number of shards."""
-    last = slot_map.agg(F.max("version")).first()[0]
-    current = slot_map.where(F.col("version") == last)
-    return materialize(edit_map(totals, n_shards, current, last + 1), "slot-map", "version")
+def rebalance(map_path: str, totals: DataFrame, n_shards: int) -> DataFrame:
+    """Store and return the next version of the map at ``map_path`` for new totals or another number of shards."""
+    spark = totals.sparkSession
+    version = _versions(spark, map_path)[-1]
+    return store_map(edit_map(totals, n_shards, load_map(spark, map_path, version), version + 1), map_path, version + 1)

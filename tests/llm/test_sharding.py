@@ -1,6 +1,11 @@
+import os
 import zlib
 from collections import Counter
 
+import pytest
+
+from planmart.session import work_path
+
 from planmart.llm import sharding as S
 
 from .helpers import corpus, docs_df
@@ -28,8 +33,9 @@ def test_slots_sizes_and_positions(spark):
 def test_growing_moves_slots_only_to_the_new_shard(spark):
     records = S.with_slots(docs_df(spark, corpus(n=400)), 64)
     totals = S.slot_totals(records, 64)
-    old = S.edit_map(totals, 4).cache()
-    new = S.rebalance(old, totals, 5)
+    path = work_path(spark, "slot-map")
+    old = S.store_map(S.edit_map(totals, 4), path, 1)
+    new = S.rebalance(path, totals, 5)
     before = {r.virtual_slot: r.shard for r in old.collect()}
     after = {r.virtual_slot: (r.shard, r.moved, r.version) for r in new.collect()}
     assert {v[2] for v in after.values()} == {2}
@@ -38,6 +44,24 @@ def test_growing_moves_slots_only_to_the_new_shard(spark):
     assert all(after[s][0] == before[s] for s in after if s not in moved)
 
 
+def test_versions_are_kept_and_the_last_whole_one_is_read(spark):
+    docs = docs_df(spark, corpus(n=100))
+    path = work_path(spark, "slot-map")
+    _, first = S.shard(docs, 4, 64, map_path=path)
+    with pytest.raises(FileExistsError):
+        S.shard(docs, 5, 64, map_path=path)
+    totals = S.slot_totals(S.with_slots(docs, 64), 64)
+    for shards in (5, 6):
+        S.rebalance(path, totals, shards)
+    os.makedirs(f"{path}/version=4")  # a write that did not end
+    last = S.load_map(spark, path)
+    assert {r.version for r in last.collect()} == {3} and {r.shard for r in last.collect()} == set(range(6))
+    assert sorted(map(tuple, S.load_map(spark, path, 1).collect())) == sorted(map(tuple, first.collect()))
+    with pytest.raises(LookupError):
+        S.load_map(spark, path, 9)
+    assert S.rebalance(path, totals, 6).first().version == 4
+
+
 def test_an_even_map_is_left_alone(spark):
     totals = S.slot_totals(S.with_slots(docs_df(spark, [(i, "x" * 9) for i in range(500)]), 64), 64)
     old = S.edit_map(totals, 4)
