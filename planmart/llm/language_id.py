@@ -161,7 +161,6 @@ def train(docs: DataFrame, sample_rows: int = 2500, max_labels: int = 4096, buck
                                    "label string, share long")
     picked = rows.join(F.broadcast(shares), "label").where(  # max_labels rows
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("share"))
-    picked = picked.select("doc_id", "text", "label").distinct()  # rows that repeat altogether fall together: once
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = letter_table()
@@ -170,11 +169,13 @@ def train(docs: DataFrame, sample_rows: int = 2500, max_labels: int = 4096, buck
             at = [np.flatnonzero(c) for c in found]
             share = [(c[i] / max(1, c.sum())).astype(np.float32) for c, i in zip(found, at, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array([i.astype(np.int32).tobytes() for i in at], pa.binary()),
-                 pa.array([x.tobytes() for x in share], pa.binary())], names=["label", "at", "share"])
+                [batch.column("key"), batch.column("label"), pa.array([i.astype(np.int32).tobytes() for i in at], pa.binary()),
+                 pa.array([x.tobytes() for x in share], pa.binary())], names=["key", "label", "at", "share"])
 
     # packed numbers: about sample_rows rows of 8 bytes a bucket at most, in fact about a tenth of that
-    sample = picked.select("label", "text").mapInArrow(features, "label string, at binary, share binary").collect()
+    packed = picked.select(F.xxhash64("doc_id", "text").alias("key"), "label", "text").mapInArrow(
+        features, "key long, label string, at binary, share binary")
+    sample = packed.distinct().drop("key").collect()  # rows that repeat altogether are picked together: they count once
     sample.sort(key=lambda r: (r[0], r[1], r[2]))  # the same model whatever order the tasks end in
     sample = [r for r in sample if r[1]]
     labels = sorted({r[0] for r in sample})
