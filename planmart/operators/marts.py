@@ -12,6 +12,11 @@ plan count is a plain count, so only small-domain distinct measures remain
 and every mart combines map-side. The ORDER BY of the source job is
 presentational (it is lost on the JDBC write) and is applied only when
 ``ordered=True``.
+
+Where plan ids are unique, all three marts also roll up from one table of cells
+(``mart_cells``): sums, counts, minima and maxima at the grain of every mart's
+keys and distinct measures together, from a single scan of silver. Callers
+store it, so the rows are read and shuffled once, not once per mart.
 """
 
 from __future__ import annotations
@@ -20,9 +25,20 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from ..functions import rounded_avg
-from ..schemas import DM1_ID, DM1_TABLE, DM2_ID, DM2_TABLE, DM3_ID, DM3_TABLE
+from pyspark.sql import types as T
+
+from ..functions import canonical_position, decimal_avg, rounded_avg
+from ..schemas import (
+    DEC_MONEY,
+    DEC_RATE,
+    DM1_ID,
+    DM1_TABLE,
+    DM2_ID,
+    DM2_TABLE,
+    DM3_ID,
+    DM3_TABLE,
+    VALID_METAL_LEVELS,
+)
 
 DEFAULT_SNAPSHOT = "2024-01-15"
 
@@ -69,6 +85,10 @@ def _count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0)))
 
 
+def _score() -> Column:
+    return F.col("IndividualDeductible") + F.col("IndividualOutOfPocketMax") * F.lit(Decimal("0.3"))
+
+
 def _order(table: str) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c, descending in MART_ORDERS[table]]
 
@@ -86,7 +106,6 @@ def with_position(mart: DataFrame, table: str) -> DataFrame:
 def dm1_affordability(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT, ordered: bool = False,
                       unique_plan_ids: bool = False) -> DataFrame:
     """DM1: deductibles, out-of-pocket maxima and affordability by state and metal."""
-    score = F.col("IndividualDeductible") + F.col("IndividualOutOfPocketMax") * F.lit(Decimal("0.3"))
     df = active(silver).groupBy(*DM1_KEYS).agg(
         _num_plans(unique_plan_ids),
         rounded_avg("IndividualDeductible", 2).alias("avg_individual_deductible"),
@@ -96,7 +115,7 @@ def dm1_affordability(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT,
         F.round(F.min("IndividualDeductible"), 2).alias("min_deductible"),
         F.round(F.max("IndividualDeductible"), 2).alias("max_deductible"),
         # Mean of the exact decimal score, then double (the column's contract).
-        F.round(F.avg(score), 2).cast("double").alias("avg_affordability_score"),
+        F.round(F.avg(_score()), 2).cast("double").alias("avg_affordability_score"),
     )
     if ordered:
         df = df.orderBy(*_order(DM1_TABLE))
@@ -143,6 +162,94 @@ def dm3_competitiveness(silver: DataFrame, snapshot_date: str = DEFAULT_SNAPSHOT
     return _tag(df, snapshot_date, DM3_ID)
 
 
+# Cells: the keys of all marts, and the columns whose distinct values two of them count.
+CELL_KEYS = ["StateCode", "MetalLevel", "NetworkType", "IssuerName", "BenefitCategory", "CountyName", "Exclusions"]
+SHARE_TYPE = T.DecimalType(5, 2)
+# Averaged measure -> type of its values; each has a sum ``s_`` and a count ``n_`` in a cell.
+CELL_MEANS = {
+    "IndividualDeductible": DEC_MONEY, "FamilyDeductible": DEC_MONEY,
+    "IndividualOutOfPocketMax": DEC_MONEY, "FamilyOutOfPocketMax": DEC_MONEY,
+    "CopayPrimaryCare": DEC_MONEY, "CopaySpecialist": DEC_MONEY, "CopayER": DEC_MONEY, "CopayGenericDrug": DEC_MONEY,
+    "CoinsuranceRate": DEC_RATE,
+}
+
+
+def mart_cells(silver: DataFrame) -> DataFrame:
+    """Mergeable parts of all three marts per cell of active plans, one map-side-combined aggregate.
+
+    Every buffer has a fixed width, so it is a hash aggregate. There are never
+    more cells than rows, and no more than the product of the domains. Sums
+    and counts add up exactly, so any roll-up equals the mart over the rows,
+    provided that no PlanID repeats (``plan_ids_unique``).
+    """
+    parts = {name: F.col(name) for name in CELL_MEANS}
+    parts["score"] = _score()
+    parts["share"] = F.col("pct_network_type_in_state").cast(SHARE_TYPE)
+    sums = [agg for name, c in parts.items() for agg in (F.sum(c).alias(f"s_{name}"), F.count(c).alias(f"n_{name}"))]
+    return active(silver).groupBy(*CELL_KEYS).agg(
+        F.count("PlanID").alias("num_plans"), *sums,
+        F.min("IndividualDeductible").alias("min_deductible"), F.max("IndividualDeductible").alias("max_deductible"),
+        _count_if(F.col("BenefitCovered") == 0).alias("num_excluded"),
+        _count_if(F.col("HSAEligible") == 1).alias("num_hsa_eligible"),
+    )
+
+
+def _mean(name: str, places: int, kind: T.DecimalType | None = None) -> Column:
+    mean = decimal_avg(F.sum(f"s_{name}"), F.sum(f"n_{name}"), kind or CELL_MEANS[name])
+    return F.round(mean, places)
+
+
+def _score_type(cells: DataFrame) -> T.DecimalType:
+    """Type of one score, from the type of its sum (ten digits wider)."""
+    total = cells.schema["s_score"].dataType
+    return T.DecimalType(total.precision - 10, total.scale)
+
+
+def roll_up(cells: DataFrame, table: str, snapshot_date: str = DEFAULT_SNAPSHOT) -> DataFrame:
+    """One of the three marts from ``mart_cells``: the same rows as from silver with unique plan ids.
+
+    At most one distinct measure is left per mart (counties, exclusions), so
+    there is no Expand; metals come from the fixed list of rule R6 and are a
+    bitmap of as many bits.
+    """
+    plans = F.sum("num_plans").alias("num_plans")
+    if table == DM1_TABLE:
+        df = cells.groupBy(*DM1_KEYS).agg(
+            plans,
+            _mean("IndividualDeductible", 2).alias("avg_individual_deductible"),
+            _mean("FamilyDeductible", 2).alias("avg_family_deductible"),
+            _mean("IndividualOutOfPocketMax", 2).alias("avg_individual_oop_max"),
+            _mean("FamilyOutOfPocketMax", 2).alias("avg_family_oop_max"),
+            F.round(F.min("min_deductible"), 2).alias("min_deductible"),
+            F.round(F.max("max_deductible"), 2).alias("max_deductible"),
+            _mean("score", 2, _score_type(cells)).cast("double").alias("avg_affordability_score"),
+        )
+        return _tag(df, snapshot_date, DM1_ID)
+    if table == DM2_TABLE:
+        metal = canonical_position("MetalLevel", VALID_METAL_LEVELS).cast("int")
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), metal)
+        df = cells.withColumn("_metal", bit).groupBy(*DM2_KEYS).agg(
+            plans,
+            F.coalesce(F.bit_count(F.bit_or("_metal")), F.lit(0)).cast("bigint").alias("metal_diversity"),
+            _mean("share", 2, SHARE_TYPE).cast("double").alias("network_share_pct"),
+            _mean("IndividualDeductible", 2).alias("avg_deductible"),
+            F.countDistinct("CountyName").alias("county_coverage"),
+        ).where(F.col("num_plans") > 0)
+        return _tag(df, snapshot_date, DM2_ID)
+    df = cells.groupBy(*DM3_KEYS).agg(
+        plans,
+        _mean("CopayPrimaryCare", 2).alias("avg_copay_primary"),
+        _mean("CopaySpecialist", 2).alias("avg_copay_specialist"),
+        _mean("CopayER", 2).alias("avg_copay_er"),
+        _mean("CopayGenericDrug", 2).alias("avg_copay_generic"),
+        _mean("CoinsuranceRate", 4).alias("avg_coinsurance_rate"),
+        F.sum("num_excluded").alias("num_excluded"),
+        F.sum("num_hsa_eligible").alias("num_hsa_eligible"),
+        F.countDistinct("Exclusions").alias("distinct_exclusions"),
+    )
+    return _tag(df, snapshot_date, DM3_ID)
+
+
 def mart_volumes(dm1: DataFrame, dm2: DataFrame, dm3: DataFrame) -> DataFrame:
     """(datamart, lignes) row counts of the three marts."""
     parts = [

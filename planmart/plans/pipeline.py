@@ -75,9 +75,10 @@ def process(spark: SparkSession, lake: str, run_date: str, catalog_db: str | Non
     clean = read_snapshot(spark, work, "clean_plans", PLANS_SCHEMA, run_date)
     counted_costs, cost_counts = Q.observed(costs, Q.cost_funnel_counts(), "cost_funnel")
     joined = join_plans_costs(clean, Q.clean_costs(counted_costs))
-    write_snapshot(joined, work, "joined", run_date)
-    # Adaptive execution skips the costs when no plan is left: then they are counted on their own.
-    counts = cost_counts.get if result.plan_funnel[-1]["remaining"] else Q.counted(costs, Q.cost_funnel_counts())
+    written = write_snapshot(joined, work, "joined", run_date)
+    # Adaptive execution drops the join, counts included, when either side turns out empty: then the costs are counted on
+    # their own.
+    counts = cost_counts.get if written.rows else Q.counted(costs, Q.cost_funnel_counts())
     result.cost_funnel = Q.funnel_of(counts, [Q.COST_RULE])
     obs = Observation("silver")
     write_snapshot(enrich(read_snapshot(spark, work, "joined", joined.schema, run_date)), f"{lake}/silver", SILVER_TABLE,
@@ -97,16 +98,30 @@ def read_silver(spark: SparkSession, lake: str, run_date: str) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, lake: str, run_date: str, result: RunResult | None = None) -> RunResult:
-    """Gold: three marts from the silver leaf (an error when it is missing), each written in one pass."""
+    """Gold: three marts from the silver leaf (an error when it is missing), each written in one pass.
+
+    Where no PlanID repeats (a scan of that column tells), silver is read once
+    into the cells, which are handed on like silver's own intermediates, and
+    each mart rolls up from these. Otherwise each mart counts distinct ids over
+    silver itself.
+    """
     result = result or RunResult(run_date)
     silver = read_silver(spark, lake, run_date)
-    unique = M.plan_ids_unique(silver.select("PlanID"))  # a scan of that column
-    builders = ((DM1_TABLE, M.dm1_affordability), (DM2_TABLE, M.dm2_market), (DM3_TABLE, M.dm3_competitiveness))
-    for table, build in builders:
+    unique, work = M.plan_ids_unique(silver.select("PlanID")), f"{lake}/work"
+    if unique:
+        cells = M.mart_cells(silver)
+        write_snapshot(cells, work, "mart_cells", run_date)
+        cells = read_snapshot(spark, work, "mart_cells", cells.schema, run_date)
+        marts = {table: M.roll_up(cells, table, run_date) for table in M.MART_KEYS}
+    else:
+        builders = {DM1_TABLE: M.dm1_affordability, DM2_TABLE: M.dm2_market, DM3_TABLE: M.dm3_competitiveness}
+        marts = {table: build(silver, snapshot_date=run_date) for table, build in builders.items()}
+    for table, mart in marts.items():
         obs = Observation(table)
-        mart = build(silver, snapshot_date=run_date, unique_plan_ids=unique).drop("snapshot_date")
-        write_snapshot(mart, f"{lake}/gold", table, run_date, observation=obs)
+        write_snapshot(mart.drop("snapshot_date"), f"{lake}/gold", table, run_date, observation=obs)
         result.rows[table] = _rows(obs)
+    if unique:
+        drop_snapshot(spark, work, "mart_cells", run_date)
     return result
 
 

@@ -1,8 +1,8 @@
-"""The join and the marts of one source folder, written once and read back.
+"""The join, the cells and the marts of one source folder, written once and read back.
 
 Marts, reports, pages and panels all start from the same join of validated
-plans and costs. A ``Store`` writes that join and each mart as Parquet when
-first asked for, into the shared work folder of the running application, and
+plans and costs. A ``Store`` writes that join, the cells that all marts roll up
+from, and each mart as Parquet when first asked for, into the shared work folder of the running application, and
 every reader scans them with its own columns and filters. A store is tied to
 the names, sizes and modification times of its source files: changed sources
 get a new one.
@@ -90,11 +90,17 @@ class Store:
             self._unique = M.plan_ids_unique(self._costs())
         return self._unique
 
+    def cells(self) -> DataFrame:
+        """Mergeable parts of all three marts, from one scan of the join (and one of two columns for the share)."""
+        return self._stored("cells", lambda: M.mart_cells(with_network_share(self.joined())))
+
     def build_mart(self, table: str) -> DataFrame:
-        """A mart from the columns it needs: marts 1 and 3 of the join, mart 2 of the join with the network share."""
+        """A mart rolled up from the stored cells; where plan ids repeat, from the columns of the join that it needs."""
+        if self.unique_plan_ids():
+            return M.roll_up(self.cells(), table)
         build = {DM1_TABLE: M.dm1_affordability, DM2_TABLE: M.dm2_market, DM3_TABLE: M.dm3_competitiveness}[table]
         rows = with_network_share(self.joined()) if table == DM2_TABLE else self.joined()
-        return build(rows, unique_plan_ids=self.unique_plan_ids())
+        return build(rows)
 
     def mart(self, table: str) -> DataFrame:
         """The stored mart."""

@@ -1,5 +1,10 @@
 """Marts: active filter, conditional counts, distinct counts and invariants."""
 
+import contextlib
+import io
+
+import pytest
+
 from planmart.operators import marts as M
 from planmart.operators import quality as Q
 from planmart.operators.enrich import build_silver
@@ -67,3 +72,38 @@ def test_duplicate_cost_rows_are_detected(spark):
     assert not M.plan_ids_unique(costs_df(spark, [cost("A"), cost("A", category="Benefit_2"), cost("B")]))
     # Fan-out: averages weigh both cost rows, the plan is counted once.
     assert M.dm1_affordability(s).collect()[0].num_plans == 2
+
+
+BUILDERS = {M.DM1_TABLE: M.dm1_affordability, M.DM2_TABLE: M.dm2_market, M.DM3_TABLE: M.dm3_competitiveness}
+
+
+def _same_rows(a, b):
+    assert [(f.name, f.dataType) for f in a.schema.fields] == [(f.name, f.dataType) for f in b.schema.fields]
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("table", BUILDERS)
+def test_roll_up_of_cells_equals_the_mart(spark, sf_small, table):
+    s = build_silver(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
+    _same_rows(M.roll_up(M.mart_cells(s), table, "2024-02-01"), BUILDERS[table](s, "2024-02-01"))
+
+
+@pytest.mark.parametrize("table", BUILDERS)
+def test_roll_up_of_nulls_ties_and_nothing(spark, table):
+    plans = [plan("A", county="x"), plan("B", county="x", metal="Silver"), plan("C", metal="Bronze", active=None),
+             plan("D", active=0, network="PPO"), plan("E", county="y", issuer=" Issuer_01 "), plan("F", state="TX")]
+    costs = [cost("A", exclusions=None), cost("B", covered=None, hsa=1), cost("C"), cost("D", covered=0),
+             cost("E", category=None, covered=0, ded="0", oop="0.01"), cost("F", exclusions="None", hsa=None)]
+    for s in (_silver(spark, plans, costs), _silver(spark, plans, []).where("StateCode = 'none'")):
+        _same_rows(M.roll_up(M.mart_cells(s), table), BUILDERS[table](s))
+
+
+@pytest.mark.parametrize("table", BUILDERS)
+def test_roll_up_has_hash_aggregates_without_expand(spark, sf_small, table):
+    s = build_silver(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
+    cells = spark.createDataFrame([], M.mart_cells(s).schema)
+    for df in (M.roll_up(cells, table), M.mart_cells(spark.createDataFrame([], s.schema))):
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain()
+        assert "Expand" not in out.getvalue() and "SortAggregate" not in out.getvalue()
