@@ -1,6 +1,7 @@
 """Validation rules R1-R7 on hand-made rows (FIXTURES.md section 3) and the funnel."""
 
 from planmart.operators import quality as Q
+from planmart.schemas import PLANS_SCHEMA
 from planmart.sources.fixtures import fixture_costs, fixture_plans
 from tests.helpers import cost, costs_df, plan, plans_df
 
@@ -26,6 +27,28 @@ def test_dedup_is_deterministic(spark):
     assert row.MetalLevel == "Bronze"
 
 
+def test_dedup_against_brute_force(spark):
+    rows = [plan("A"), plan("B", year=2021), plan("B", year=2024, state=None), plan("B", year=2024, state="TX"),
+            plan("C", year=None), plan("C", year=2020), plan("D"), plan("D"), plan(None, year=2022), plan(None, year=2024),
+            plan("")] + [plan("HOT", year=2020 + i % 4, issuer=f"Issuer_{i % 7}") for i in range(40)]
+
+    def order(row):
+        named = dict(zip(PLANS_SCHEMA.fieldNames(), row, strict=True))
+        return [(named[c] is None, 0 if named[c] is None else -named[c] if d else named[c]) for c, d in Q.DEDUP_ORDER]
+
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    want = {(*min(g, key=order), len(g)) for g in groups.values()}
+    got = Q.deduplicate_plans(plans_df(spark, rows), with_counts=True).collect()
+    assert len(got) == len(want) and {tuple(r) for r in got} == want
+
+
+def test_dedup_of_no_rows(spark):
+    assert Q.deduplicate_plans(plans_df(spark, [])).count() == 0
+    assert [(r.rejected, r.remaining) for r in Q.plan_funnel(plans_df(spark, [])).collect()][1:] == [(0, None)] * 5
+
+
 def test_domain_rules_reject_null_and_case(spark):
     rows = [plan("S1", state=None), plan("S2", state="ca"), plan("N1", network=None), plan("N2", network="hmo"),
             plan("M1", metal=None), plan("M2", metal="gold"), plan("OK")]
