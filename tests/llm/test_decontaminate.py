@@ -1,6 +1,9 @@
+import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from planmart.llm import decontaminate as D
 
@@ -63,3 +66,35 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.drop_contaminated(docs_df(spark, DOCS), none).count() == len(DOCS)
     assert D.find_contamination(docs_df(spark, []), spark.createDataFrame(ITEMS, none.schema)).count() == 0
+
+
+def test_long_texts_random_words(spark):
+    rng = random.Random(5)
+    draw = lambda n, k: " ".join(f"w{rng.randrange(k)}" for _ in range(n))
+    items = [(i, draw(rng.choice([1, 2, 5, 9, 10, 11, 40]), 3)) for i in range(30)] + [(99, draw(700, 40))]
+    # more words than a lane has, windows across lane borders, and a text without any word of an item
+    docs = [(i, draw(n, 4)) for i, n in enumerate([0, 1, 9, 10, D.LANE - 1, D.LANE, D.LANE + 1, 3 * D.LANE + 5, 2000])]
+    docs += [(20, "x " * 250 + items[-1][1] + " y" * 300), (21, "x y z " * 1000), (22, items[-1][1])]
+    want = brute(docs, items)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    for block_bytes in (D.BLOCK_BYTES, 300):
+        found = D.find_contamination(docs_df(spark, docs), table, block_bytes=block_bytes)
+        got = {r[0]: (r[1], r[2], r[3]) for r in found.select("row.doc_id", "n_words", "hit_words", "items").collect()}
+        assert got == want
+
+
+def test_blocks_keep_repeated_rows_and_nulls(spark):
+    docs = DOCS + DOCS[:3] + [(3, None), (None, "two words")]
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    digest = docs_df(spark, docs).withColumn("digest", F.lit("x")).withColumn("hit_words", F.lit(7))  # clashing names
+    one, many = (D.find_contamination(digest, items, block_bytes=b) for b in (D.BLOCK_BYTES, 40))
+    assert many.columns == one.columns and many.count() == len(docs)
+    assert one.exceptAll(many).count() == many.exceptAll(one).count() == 0
+
+
+def test_states_are_few_and_flat():
+    rng = random.Random(6)
+    words = [f"word{rng.randrange(50_000)}" for _ in range(100_000)]
+    automaton = D.Automaton([(k, " ".join(words[k * 500:(k + 1) * 500])) for k in range(200)], 10)
+    flat = sum(x.nbytes for x in vars(automaton).values() if isinstance(x, np.ndarray))
+    assert len(automaton) <= 10 * len(words) and flat <= 30 * len(automaton)
