@@ -11,8 +11,9 @@ document with a smaller id; every word covered by such a window is removed.
 3. Subtrees: the suffixes around the places that are left are partitioned by
    that 5-word prefix; one row holds the words around a place, from which all
    windows that selected it follow as suffixes that begin up to eight words
-   before it. Prefixes have variable length: one that is heavy in a sample of
-   the corpus is lengthened to the whole window. A task sorts the suffixes of
+   before it. Prefixes have variable length: one with more than ``group_rows``
+   places, by exact counts over the corpus, is lengthened to the whole window,
+   under which a task holds a single one. A task sorts the suffixes of
    its groups, which is the order of their tree's leaves; the words that
    neighbours share are the depth of the node between them, and a node of depth
    ``WINDOW`` holds all occurrences of one window. Its first document keeps the
@@ -21,10 +22,10 @@ document with a smaller id; every word covered by such a window is removed.
 
 Hot cases: whole windows that are heavy in the sample get their smallest
 document from a folding aggregate over the corpus instead (a list of at most
-``HEAVY_ROWS`` rows, broadcast). 5-grams that the sample sees twice are known
+``HEAVY_ROWS`` rows, broadcast; others stream through a task). 5-grams that the sample sees twice are known
 to repeat, so they need no counting and are salted. The sample only decides
 how rows are dealt, never what is found. A task holds one batch of rows and the
-distinct windows of the group that it is in.
+distinct windows of the group that it is in, of at most ``group_rows`` places.
 
 Defined cases: null texts have no words; texts of fewer than ``WINDOW`` words
 lose nothing; rows without an id neither remove nor lose words; rows that
@@ -50,8 +51,9 @@ SPAN = WINDOW - GRAM + 1  # 5-grams of a window
 AROUND = WINDOW + SPAN - 1  # words around a place that its windows can hold
 WORD_BYTES = 6  # of each word's hash that a row carries
 SAMPLE = 64  # one document in so many is looked at for heavy prefixes and windows
-HEAVY, HEAVY_SHARE = 8, 0.005  # occurrences in the sample that make one heavy, at least, and per document of it
-HEAVY_ROWS = 100_000  # longest list of heavy prefixes or windows; broadcast
+GROUP_ROWS = 20_000  # places under one prefix: a task holds up to SPAN windows of 86 bytes for each, 16 MB
+WINDOW_ROWS = 20_000  # rows of one window that may meet in one task (a sample tells which have more)
+HEAVY_ROWS = 100_000  # longest list from the sample; broadcast; what it leaves out takes the plain way
 
 _RNG = np.random.default_rng(13)
 _MULTIPLIERS = (_RNG.integers(0, 1 << 63, 16, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -85,8 +87,8 @@ class Words:
             best[lower], place[lower] = other[lower], at[lower] + k
         return best.view(np.int64), place
 
-    def marks(self) -> tuple[np.ndarray, np.ndarray]:
-        """(5-gram hash, text) of all selected places, each pair once."""
+    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(5-gram hash, text, places) of all selected places, each pair once."""
         mark, place = self.selected()
         fresh = np.ones(len(place), bool)
         fresh[1:] = place[1:] != place[:-1]
@@ -95,7 +97,8 @@ class Words:
         mark, owner = mark[order], owner[order]
         fresh = np.ones(len(mark), bool)
         fresh[1:] = (mark[1:] != mark[:-1]) | (owner[1:] != owner[:-1])
-        return mark[fresh], owner[fresh]
+        first = np.flatnonzero(fresh)
+        return mark[first], owner[first], np.diff(np.append(first, len(mark)))
 
     def around(self, places: np.ndarray) -> np.ndarray:
         """Bytes of the words around each place, from SPAN-1 before it on (0 beyond the ends)."""
@@ -128,8 +131,8 @@ def later_copies(docs: DataFrame) -> DataFrame:
             .agg(F.collect_set("digest").alias("copies")))  # one, unless rows share the id
 
 
-def heavy_lists(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """From a sample: 5-grams that two documents or more select; heavy 5-grams; heavy windows (hashes, sorted)."""
+def sampled_lists(docs: DataFrame, window_rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """From a sample: 5-grams that two documents or more select; windows of more than ``window_rows`` rows (hashes, sorted)."""
     sample = docs.where(F.pmod(F.xxhash64("doc_key", F.lit(3)), F.lit(SAMPLE)) == 0).select("doc_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,14 +145,11 @@ def heavy_lists(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                      pa.array(np.concatenate([h for h, _ in found])), pa.array(np.concatenate([n for _, n in found]))],
                     names=["whole", "hash", "n"])
 
-    heavy = max(HEAVY, int(HEAVY_SHARE * sample.count()))
+    least = max(2, window_rows // SAMPLE)
     counted = (sample.mapInArrow(run, "whole int, hash long, n long").groupBy("whole", "hash").agg(F.sum("n").alias("n"))
-               .where(F.col("n") >= F.when(F.col("whole") == 0, 2).otherwise(heavy)))
-    rows = []
-    for whole in (0, 1):
-        rows.append(counted.where(F.col("whole") == whole).orderBy(F.desc("n"), "hash").limit(HEAVY_ROWS).collect())
-    sorted_ = lambda r, least: np.sort(np.array([x[1] for x in r if x[2] >= least], np.int64))
-    return sorted_(rows[0], 2), sorted_(rows[0], heavy), sorted_(rows[1], heavy)
+               .where(F.col("n") >= F.when(F.col("whole") == 0, 2).otherwise(least)))
+    rows = [counted.where(F.col("whole") == whole).orderBy(F.desc("n"), "hash").limit(HEAVY_ROWS).collect() for whole in (0, 1)]
+    return tuple(np.sort(np.array([x[1] for x in r], np.int64)) for r in rows)
 
 
 def first_documents(docs: DataFrame, heavy: np.ndarray) -> dict[int, int]:
@@ -175,22 +175,34 @@ def first_documents(docs: DataFrame, heavy: np.ndarray) -> dict[int, int]:
 
 
 def repeated_marks(docs: DataFrame, known: np.ndarray) -> DataFrame:
-    """doc_key, marks: selected 5-grams of each document that other documents select too."""
+    """doc_key, marks, places: selected 5-grams of each document that other documents select too, and how often it does."""
     sent = docs.sparkSession.sparkContext.broadcast(known)  # at most HEAVY_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, words in chunks(batch.column("doc_text")):
-                mark, owner = words.marks()
+                mark, owner, places = words.marks()
                 owner = owner + k
                 salt = np.where(np.isin(mark, sent.value), 1 + (owner * 31 + mark % 97) % 199, 0)
-                yield pa.RecordBatch.from_arrays([pa.array(mark), pa.array(salt.astype(np.int16)),
-                                                  batch.column("doc_key").take(pa.array(owner))], names=["mark", "salt", "doc_key"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(mark), pa.array(salt.astype(np.int16)), pa.array(places.astype(np.int32)),
+                     batch.column("doc_key").take(pa.array(owner))], names=["mark", "salt", "places", "doc_key"])
 
-    rows = docs.select("doc_key", "doc_text").mapInArrow(run, f"mark long, salt short, doc_key {_kind(docs)}")
+    rows = docs.select("doc_key", "doc_text").mapInArrow(run, f"mark long, salt short, places int, doc_key {_kind(docs)}")
     same = F.count(F.lit(1)).over(Window.partitionBy("mark", "salt"))
     kept = rows.withColumn("n", same).where("n > 1 OR salt > 0")
-    return kept.groupBy("doc_key").agg(F.collect_set("mark").alias("marks"))  # of one document
+    own = kept.groupBy("doc_key").agg(F.collect_list(F.struct("mark", "places")).alias("own"))  # of one document
+    return own.select("doc_key", F.col("own.mark").alias("marks"), F.col("own.places").alias("places"))
+
+
+def heavy_prefixes(marks: DataFrame, group_rows: int) -> np.ndarray:
+    """5-grams selected at more than ``group_rows`` places, by exact counts (hashes, sorted).
+
+    There is at most one per ``group_rows`` places of the whole corpus.
+    """
+    each = marks.select(F.explode(F.arrays_zip("marks", "places")).alias("m")).select("m.marks", "m.places")
+    heavy = each.groupBy("marks").agg(F.sum("places").alias("n")).where(F.col("n") > group_rows).select("marks")
+    return np.sort(np.array([r[0] for r in heavy.collect()], np.int64))
 
 
 def suffix_rows(marked: DataFrame, heavy_marks: np.ndarray, firsts: dict[int, int]) -> DataFrame:
@@ -201,7 +213,7 @@ def suffix_rows(marked: DataFrame, heavy_marks: np.ndarray, firsts: dict[int, in
     earlier document.
     """
     windows = np.array(sorted(firsts), np.int64)
-    sent = marked.sparkSession.sparkContext.broadcast(  # at most HEAVY_ROWS each
+    sent = marked.sparkSession.sparkContext.broadcast(  # bounded lists, see above
         (heavy_marks, windows, np.array([firsts[h] for h in windows.tolist()])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +316,8 @@ def settle_groups(dealt: DataFrame) -> DataFrame:
         run, f"doc_key {kind}, tag int, place int, known short")
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_rows: int = GROUP_ROWS,
+                   window_rows: int = WINDOW_ROWS) -> DataFrame:
     """One row per input row: doc_id, n_words, spans (word ranges [start, end) removed, maximal), kept_text."""
     bound_batches(df.sparkSession)
     # The tag tells apart texts that share an id. The columns get names of their own: a renamed column keeps its alias
@@ -313,9 +326,11 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                      F.xxhash64(F.col(text_col)).bitwiseAND(0x7FFFFFFF).cast("int").alias("tag"))
     docs = rows.where("doc_key IS NOT NULL AND doc_text IS NOT NULL")
     copies = materialize(later_copies(docs), "copies")
-    known, heavy_marks, heavy_windows = heavy_lists(docs)
+    known, heavy_windows = sampled_lists(docs, window_rows)
     firsts = first_documents(docs, heavy_windows)
     marks = materialize(repeated_marks(docs, known), "marks")
+    heavy_marks = heavy_prefixes(marks, group_rows)
+    marks = marks.drop("places")
 
     # from here on one query: both joins read the same exchange of the texts
     marked = (docs.join(by_shuffle(marks), "doc_key").join(by_shuffle(copies), "doc_key", "left").where(~_is_copy()))
