@@ -9,7 +9,7 @@ from .common import materialize
 
 
 def connected_components(edges: DataFrame, left: str = "u", right: str = "v") -> DataFrame:
-    """node, component (its smallest node) for every node of an edge that joins two nodes.
+    """node, component (its smallest node), members (nodes of the component) for every node of an edge that joins two nodes.
 
     In each round every node steps to the least of itself and its neighbours,
     in an order hashed anew, and once more from there; edges are redrawn
@@ -18,6 +18,9 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
     work of all rounds is a small multiple of the first. Tables are written
     after each step: joins start from them, and adaptive execution splits hot
     keys. Only whether an edge is left reaches the driver.
+
+    Defined cases: edges from a node to itself or with a null end join nothing
+    and are left out; repeated edges count once; no edges give no rows.
     """
     drawn = lambda df: df.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     live = materialize(drawn(edges.select(F.col(left).alias("u"), F.col(right).alias("v"))), "edges")
@@ -39,5 +42,6 @@ def connected_components(edges: DataFrame, left: str = "u", right: str = "v") ->
         b = moved.select(F.col("node").alias("v"), F.col("to").alias("b"))
         live = materialize(drawn(live.join(a, "u").join(b, "v").select(F.col("a").alias("u"), F.col("b").alias("v"))), "edges")
         turn += 1
-    names = materialize(labels.groupBy("label").agg(F.min("node").alias("component")), "components")
-    return labels.join(names, "label").select("node", "component")
+    names = materialize(labels.groupBy("label").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("members")),
+                        "components")
+    return labels.join(names, "label").select("node", "component", "members")

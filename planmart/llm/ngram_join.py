@@ -10,9 +10,11 @@ exactly on the whole sets.
 
 No pair list is made: surviving pairs of a bucket only contribute a spanning
 forest (fewer edges than members). The components of all forests hold every
-candidate link; inside a component all pairs are verified block by block with
-exact set intersections, and each block gives link counts per class and again
-a spanning forest, now of verified links. A group of n near copies thus
+candidate link. Inside a component the members are compared in the same way,
+block by block, with a stricter tolerance; only pairs that survive are
+verified by exact set intersections, and each block gives link counts per
+class and again a spanning forest, now of verified links. N-gram sets are
+hashed once, before members go to their blocks. A group of n near copies thus
 shuffles and writes in proportion to n times its number of blocks.
 
 Hot cases: copies fold map-side; buckets above ``BUCKET_BLOCK`` and components
@@ -21,7 +23,8 @@ spread over tasks.
 
 A link may be missed only if its classes share no band (below 0.01 % at 0.8)
 or are dropped by a comparison (0.0071 % over all comparisons at 0.8, less
-above; ``tolerance`` bounds the posterior at each); no false link is made.
+above; ``tolerance`` bounds the posterior at each; below one in ten million
+for the comparisons inside components); no false link is made.
 
 Defined cases: null and wordless texts have no links and are their own class;
 texts of fewer words than an n-gram are one n-gram of all words; a class is
@@ -50,7 +53,9 @@ HASHES, ROWS = 96, 4
 BANDS = HASHES // ROWS
 COMPARE = 16  # MinHash values compared at a time
 TOLERANCE = 1e-5  # at each of the looks; over all of them a pair at the threshold is dropped with chance 7.1e-5
+VERIFY_TOLERANCE = 1e-9  # at each of the looks inside a component, where most pairs are near
 BUCKET_BLOCK, VERIFY_BLOCK = 1024, 256
+DENSE = 4  # pairs a set from which a group of pairs is intersected by matrix products
 
 _RNG = np.random.default_rng(20)
 _MULTIPLIERS = (_RNG.integers(0, 1 << 63, 64, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -100,6 +105,18 @@ def least_matches(threshold: float = float(THRESHOLD), tolerance: float = TOLERA
     return out
 
 
+def _survivors(sigs: np.ndarray, i: int, j: np.ndarray, needed: list[tuple[int, int]]) -> np.ndarray:
+    """Those of ``j`` whose pair with i no comparison drops."""
+    same = np.zeros(len(j), np.int64)
+    for n, least in needed:
+        if not len(j):
+            break
+        part = slice(n - COMPARE, n)
+        same += (sigs[j, part] == sigs[i, part]).sum(axis=1)
+        j, same = j[same >= least], same[same >= least]
+    return j
+
+
 def surviving_forest(sigs: np.ndarray, side: np.ndarray | None, needed: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Spanning forest (i, j) of the pairs that no comparison dropped; with ``side``, of pairs across sides only."""
     group = np.arange(len(sigs))
@@ -109,20 +126,24 @@ def surviving_forest(sigs: np.ndarray, side: np.ndarray | None, needed: list[tup
         j = j[group[j] != group[i]]  # pairs already joined add nothing
         if side is not None:
             j = j[side[j] != side[i]]
-        same = np.zeros(len(j), np.int64)
-        for n, least in needed:
-            if not len(j):
-                break
-            part = slice(n - COMPARE, n)
-            same += (sigs[j, part] == sigs[i, part]).sum(axis=1)
-            j, same = j[same >= least], same[same >= least]
-        for k in j:
+        for k in _survivors(sigs, i, j, needed):
             if group[k] != group[i]:
                 group[group == group[k]] = group[i]
                 edges.append((i, int(k)))
     return edges
 
 
+def surviving_pairs(sigs: np.ndarray, side: np.ndarray | None, needed: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (i < j) of a block that no comparison dropped; with ``side``, those across sides only."""
+    first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in range(len(sigs) - 1):
+        j = np.arange(i + 1, len(sigs))
+        j = _survivors(sigs, i, j if side is None else j[side[j] != side[i]], needed)
+        first.append(np.full(len(j), i))
+        second.append(j)
+    return np.concatenate(first), np.concatenate(second)
+
+
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections."""
     n = len(sets)
@@ -150,24 +171,45 @@ def intersections(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verified_links(sets: list[np.ndarray], side: np.ndarray | None,
-                   threshold: Fraction = THRESHOLD) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """(number of links of each set, spanning forest of the links)."""
-    inter = intersections(sets)
-    sizes = np.array([len(s) for s in sets])
-    union = sizes[:, None] + sizes[None] - inter
-    linked = inter * threshold.denominator >= union * threshold.numerator
-    np.fill_diagonal(linked, False)
-    if side is not None:
-        linked &= side[:, None] != side[None]
-    group = np.arange(len(sets))
+def spanning_forest(n: int, first: np.ndarray, second: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(edges of a spanning forest of the pairs, group of each of the n places); pairs come in order of ``first``."""
+    group = np.arange(n)
     edges = []
-    for i in range(len(sets)):
-        for k in np.flatnonzero(linked[i]):
-            if group[k] != group[i]:
-                group[group == group[k]] = group[i]
-                edges.append((i, int(k)))
-    return linked.sum(axis=1), edges
+    bounds = np.searchsorted(first, np.arange(n + 1))
+    for i in range(n):
+        ends = second[bounds[i]:bounds[i + 1]]
+        while len(ends := ends[group[ends] != group[i]]):
+            edges.append((i, int(ends[0])))
+            group[group == group[ends[0]]] = group[i]
+    return edges, group
+
+
+def pair_intersections(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the pairs: by products of 0/1 rows where many pairs tie few sets, else one by one."""
+    out = np.zeros(len(first), np.int64)
+    _, group = spanning_forest(len(sets), first, second)
+    owner = group[first]
+    order = np.argsort(owner, kind="stable")
+    for pairs in np.split(order, np.flatnonzero(np.diff(owner[order])) + 1):
+        members = np.unique(np.concatenate((first[pairs], second[pairs])))
+        if len(pairs) > DENSE * len(members):
+            a, b = np.searchsorted(members, first[pairs]), np.searchsorted(members, second[pairs])
+            out[pairs] = intersections([sets[k] for k in members])[a, b]
+        else:
+            for k in pairs:
+                out[k] = np.intersect1d(sets[first[k]], sets[second[k]], assume_unique=True).size
+    return out
+
+
+def verified_links(sets: list[np.ndarray], first: np.ndarray, second: np.ndarray,
+                   threshold: Fraction = THRESHOLD) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """(number of links of each set, spanning forest of the links) among the pairs, which come in order of ``first``."""
+    inter = pair_intersections(sets, first, second)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    linked = inter * threshold.denominator >= (sizes[first] + sizes[second] - inter) * threshold.numerator
+    first, second = first[linked], second[linked]
+    counts = np.bincount(first, minlength=len(sets)) + np.bincount(second, minlength=len(sets))
+    return counts, spanning_forest(len(sets), first, second)[0]
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -250,24 +292,34 @@ def candidate_forest(classes: DataFrame) -> DataFrame:
 def verify(df: DataFrame, classes: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Exact links inside candidate components: set_key, links (with one block of others), parent (forest edge or null)."""
     parts = shuffle_partitions(df)
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     nodes = materialize(
-        groups.join(sizes, "component").join(classes.select("set_key", "first"), F.col("node") == F.col("set_key"))
-        .select("component", "members", "set_key", "first.doc_id", "first.text_hash"), "nodes")
+        groups.join(classes.select("set_key", "first", "bands"), F.col("node") == F.col("set_key"))
+        .select("component", "members", "set_key", "bands", "first.doc_id", "first.text_hash"), "nodes")
     texts = df.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("hash"), F.col(text_col).alias("text"))
     found = texts.join(by_shuffle(nodes), texts["id"].eqNullSafe(nodes["doc_id"]) & (texts["hash"] == nodes["text_hash"])).select(
-        "component", "members", "set_key", "text")
-    dealt = (_blocks(found, "component", "set_key", "members", VERIFY_BLOCK)
+        "component", "members", "set_key", "bands", "text")
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams = pa.array([ngram_set(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], grams], names=["component", "members", "set_key", "bands", "grams"])
+
+    hashed = found.mapInArrow(to_sets, "component binary, members long, set_key binary, bands array<long>, grams binary")
+    dealt = (_blocks(hashed, "component", "set_key", "members", VERIFY_BLOCK)
              .repartition(parts, "component", "i", "j").sortWithinPartitions("component", "i", "j", "set_key"))
+    needed = least_matches(tolerance=VERIFY_TOLERANCE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, ["component", "i", "j"]):
             keys = group.column("set_key").to_pylist()
             once = [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]]  # rows may repeat
-            texts = group.column("text")
-            sets = [ngram_set(texts[k].as_py()) for k in once]
+            sigs = group.column("bands").combine_chunks().flatten().to_numpy().view(np.uint16).reshape(-1, HASHES)[once]
             own = group.column("own").to_numpy()[once] if group.column("i")[0] != group.column("j")[0] else None
-            links, forest = verified_links(sets, own)
+            pairs = surviving_pairs(sigs, own, needed)
+            if not len(pairs[0]):
+                continue
+            grams = group.column("grams")
+            links, forest = verified_links([np.frombuffer(grams[k].as_py(), np.uint64) for k in once], *pairs)
             rows = [(keys[once[k]], int(n), None) for k, n in enumerate(links) if n]
             rows += [(keys[once[a]], 0, keys[once[b]]) for a, b in forest]
             if rows:
@@ -275,7 +327,7 @@ def verify(df: DataFrame, classes: DataFrame, groups: DataFrame, id_col: str, te
                     [pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()),
                      pa.array([r[2] for r in rows], pa.binary())], names=["set_key", "links", "parent"])
 
-    return dealt.select("component", "i", "j", "own", "set_key", "text").mapInArrow(
+    return dealt.select("component", "i", "j", "own", "set_key", "bands", "grams").mapInArrow(
         run, "set_key binary, links long, parent binary")
 
 
@@ -295,7 +347,7 @@ def ngram_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     linked = materialize(
         classes.select("set_key", "first", "copies").join(labels, F.col("set_key") == F.col("node"))
         .join(counts, "set_key").select("set_key", "component", "first", "copies", "n_links"), "linked")
-    leaders = linked.groupBy("component").agg(F.min("first").alias("leader"))
+    leaders = materialize(linked.groupBy("component").agg(F.min("first").alias("leader")), "leaders")
     alone = classes.where("copies > 1").join(linked, "set_key", "left_anti").select(
         "set_key", F.col("first").alias("leader"), F.lit(0).cast("long").alias("n_links"), "copies")
     named = materialize(linked.join(leaders, "component").select("set_key", "leader", "n_links", "copies")

@@ -106,21 +106,53 @@ def test_intersections_and_links():
     sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(20)]
     want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
     assert J.intersections(sets).tolist() == want
-    links, forest = J.verified_links(sets, None, Fraction(1, 3))
-    assert sum(links) % 2 == 0 and len(forest) < 20
+    pairs = [(i, j) for i in range(20) for j in range(i + 1, 20) if (i + j) % 3]
+    for chosen in (pairs, pairs[::9], []):
+        first, second = (np.array([p[k] for p in chosen], np.int64) for k in (0, 1))
+        assert J.pair_intersections(sets, first, second).tolist() == [want[i][j] for i, j in chosen]
+        links, forest = J.verified_links(sets, first, second, Fraction(1, 3))
+        true = [(i, j) for i, j in chosen if 3 * want[i][j] >= len(sets[i]) + len(sets[j]) - want[i][j]]
+        assert links.tolist() == [sum(k in p for p in true) for k in range(20)]
+        assert set(forest) <= set(true)
+        assert components_of(20, forest) == components_of(20, true)
+
+
+def components_of(n, edges):
+    group = list(range(n))
+    for a, b in edges:
+        group = [group[a] if g == group[b] else g for g in group]
+    return {frozenset(k for k in range(n) if group[k] == g) for g in group}
+
+
+def test_pairs_of_a_chain_are_dropped_before_the_exact_check():
+    words = [f"w{k}" for k in range(600)]
+    texts = [" ".join(words[4 * k:4 * k + 100]) for k in range(100)]  # neighbours overlap, distant ones share nothing
+    sets = [J.ngram_set(t) for t in texts]
+    sigs = np.stack([J.signature(s) for s in sets])
+    first, second = J.surviving_pairs(sigs, None, J.least_matches(tolerance=J.VERIFY_TOLERANCE))
+    survived = set(zip(first.tolist(), second.tolist(), strict=True))
+    true = {(i, j) for i in range(100) for j in range(i + 1, 100)
+            if 5 * (inter := len(np.intersect1d(sets[i], sets[j]))) >= 4 * (len(sets[i]) + len(sets[j]) - inter)}
+    assert true and true <= survived and len(survived) < 1000  # of 4950
+    side = np.arange(100) % 2
+    across = set(zip(*(x.tolist() for x in J.surviving_pairs(sigs, side, J.least_matches())), strict=True))
+    assert across <= {(i, j) for i, j in survived if side[i] != side[j]}
 
 
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 200), (200, 300), (7, 7)] + [(500, 500 + k) for k in range(1, 80)]
-    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "u int, v int")).collect()))
-    assert got == {i: 0 for i in range(61)} | {100: 100, 200: 100, 300: 100} | {500 + k: 500 for k in range(80)}
+    found = connected_components(spark.createDataFrame([*edges, (9, None), (None, 3), (0, 1)], "u int, v int")).collect()
+    got = {r.node: (r.component, r.members) for r in found}
+    assert len(found) == len(got)
+    assert got == ({i: (0, 61) for i in range(61)} | {i: (100, 3) for i in (100, 200, 300)}
+                   | {500 + k: (500, 80) for k in range(80)})
     assert connected_components(spark.createDataFrame([], "u int, v int")).count() == 0
 
 
 def test_chance_to_drop_a_link_over_all_comparisons():
-    def lost(similarity):
+    def lost(similarity, tolerance=J.TOLERANCE):
         alive, gone = {0: 1.0}, 0.0
-        for _, least in J.least_matches():
+        for _, least in J.least_matches(tolerance=tolerance):
             after = Counter()
             for m, p in alive.items():
                 for k in range(J.COMPARE + 1):
@@ -130,3 +162,4 @@ def test_chance_to_drop_a_link_over_all_comparisons():
         return gone
 
     assert 0 < lost(0.85) < lost(0.82) < lost(0.8) < 1e-4
+    assert 0 < lost(0.8, J.VERIFY_TOLERANCE) < 1e-7
