@@ -100,19 +100,21 @@ def read_silver(spark: SparkSession, lake: str, run_date: str) -> DataFrame:
 def build_gold(spark: SparkSession, lake: str, run_date: str, result: RunResult | None = None) -> RunResult:
     """Gold: three marts from the silver leaf (an error when it is missing), each written in one pass.
 
-    Where no PlanID repeats (a scan of that column tells), silver is read once
-    into the cells, which are handed on like silver's own intermediates, and
-    each mart rolls up from these. Otherwise each mart counts distinct ids over
-    silver itself.
+    Where no PlanID repeats (a scan of that column tells), each mart rolls up
+    from its cells, which are written from its columns of silver and handed on
+    like silver's own intermediates. Otherwise each mart counts distinct ids
+    over silver itself.
     """
     result = result or RunResult(run_date)
     silver = read_silver(spark, lake, run_date)
     unique, work = M.plan_ids_unique(silver.select("PlanID")), f"{lake}/work"
     if unique:
-        cells = M.mart_cells(silver)
-        write_snapshot(cells, work, "mart_cells", run_date)
-        cells = read_snapshot(spark, work, "mart_cells", cells.schema, run_date)
-        marts = {table: M.roll_up(cells, table, run_date) for table in M.MART_KEYS}
+        marts = {}
+        for table in M.MART_KEYS:
+            cells = M.mart_cells(silver, table)
+            write_snapshot(cells, work, f"mart_cells_{table}", run_date)
+            cells = read_snapshot(spark, work, f"mart_cells_{table}", cells.schema, run_date)
+            marts[table] = M.roll_up(cells, table, run_date)
     else:
         builders = {DM1_TABLE: M.dm1_affordability, DM2_TABLE: M.dm2_market, DM3_TABLE: M.dm3_competitiveness}
         marts = {table: build(silver, snapshot_date=run_date) for table, build in builders.items()}
@@ -120,8 +122,8 @@ def build_gold(spark: SparkSession, lake: str, run_date: str, result: RunResult
         obs = Observation(table)
         write_snapshot(mart.drop("snapshot_date"), f"{lake}/gold", table, run_date, observation=obs)
         result.rows[table] = _rows(obs)
-    if unique:
-        drop_snapshot(spark, work, "mart_cells", run_date)
+        if unique:
+            drop_snapshot(spark, work, f"mart_cells_{table}", run_date)
     return result
 
 

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import uuid
 
 import pytest
 
@@ -9,6 +10,7 @@ from planmart.operators import marts as M
 from planmart.operators import quality as Q
 from planmart.operators.enrich import build_silver
 from planmart.schemas import DM1_SCHEMA, DM2_SCHEMA, DM3_SCHEMA
+from planmart.sources import commits as C
 from planmart.sources.fixtures import fixture_costs, fixture_plans
 from tests.helpers import cost, costs_df, plan, plans_df
 
@@ -88,6 +90,30 @@ def test_roll_up_of_cells_equals_the_mart(spark, sf_small, table):
     _same_rows(M.roll_up(M.mart_cells(s), table, "2024-02-01"), BUILDERS[table](s, "2024-02-01"))
 
 
+@pytest.mark.parametrize("table", BUILDERS)
+def test_cells_of_one_mart(spark, sf_small, table):
+    s = build_silver(Q.clean_plans(fixture_plans(spark, sf_small)), Q.clean_costs(fixture_costs(spark, sf_small)))
+    cells, mart = M.mart_cells(s, table), BUILDERS[table](s)
+    _same_rows(M.roll_up(cells, table), mart)
+    assert set(M.MART_KEYS[table]) <= set(cells.columns) and len(cells.columns) < len(M.mart_cells(s).columns)
+    assert table != M.DM1_TABLE or cells.count() == mart.count()  # no finer than its mart
+    nulls = _silver(spark, [plan("A", metal="Gold"), plan("B", county="x", active=None), plan("C", issuer="I")],
+                    [cost("A", exclusions=None), cost("B"), cost("C", category=None, covered=None)])
+    for rows in (nulls, nulls.where("StateCode = 'none'")):
+        _same_rows(M.roll_up(M.mart_cells(rows, table), table), BUILDERS[table](rows))
+
+
+def test_store_reads_the_sources_once_for_the_marts(spark, sf_small, monkeypatch):
+    from planmart.plans import store as S
+
+    reads = []
+    monkeypatch.setattr(S, "fixture_costs", lambda *a: reads.append(a) or fixture_costs(*a))
+    s = S.Store(spark, sf_small, uuid.uuid4().hex)
+    assert s.unique_plan_ids() and s.cells(M.DM1_TABLE).count() == s.mart(M.DM1_TABLE).count()
+    assert len(reads) == 1
+    C.delete(spark, s.root)
+
+
 @pytest.mark.parametrize("table", BUILDERS)
 def test_roll_up_of_nulls_ties_and_nothing(spark, table):
     plans = [plan("A", county="x"), plan("B", county="x", metal="Silver"), plan("C", metal="Bronze", active=None),

@@ -44,6 +44,24 @@ def test_dedup_against_brute_force(spark):
     assert len(got) == len(want) and {tuple(r) for r in got} == want
 
 
+def test_dedup_folds_crowded_keys_first(spark):
+    rows = [plan("HOT", year=2020 + i % 4, issuer=f"Issuer_{i % 7}") for i in range(40)] + [plan("A"), plan("A", year=2024)]
+    rows += [plan(None, year=2020 + i % 3) for i in range(9)]
+    got = [sorted(map(tuple, Q.deduplicate_plans(plans_df(spark, rows), True, hot_rows=n).collect()), key=str) for n in (5, 1000)]
+    assert got[0] == got[1]
+    assert {(r[0], r[-2], r[-1]) for r in got[0]} == {("HOT", 2023, 40), ("A", 2024, 2), (None, 2022, 9)}
+
+
+def test_dedup_sorts_after_the_exchange_only(spark):
+    df = Q.deduplicate_plans(plans_df(spark, [plan("A"), plan("A", year=2024), plan("B")]))
+    assert ids(df) == ["A", "B"]
+    df = Q.deduplicate_plans(plans_df(spark, [plan("A"), plan("A", year=2024), plan("B")]))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    above, below = final.split("REPARTITION_BY_COL", 1)
+    assert "SortAggregate" in above and "Sort" not in below
+
+
 def test_dedup_of_no_rows(spark):
     assert Q.deduplicate_plans(plans_df(spark, [])).count() == 0
     assert [(r.rejected, r.remaining) for r in Q.plan_funnel(plans_df(spark, [])).collect()][1:] == [(0, None)] * 5
@@ -79,6 +97,15 @@ def test_funnel_charges_first_failed_rule(spark):
     assert f == {1: (2, 7), 2: (1, 6), 4: (1, 5), 5: (1, 4), 6: (1, 3), 7: (1, 2)}
 
 
+def test_costs_of_crowded_orders(spark, tmp_path):
+    lines = [(1, 1 + i % 5, 3 + i % 4, 500.0 + i) for i in range(60)] + [(2, 4, 9, 77.5), (2, 8, 2, 60.0), (None, 6, 1, 9.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_extendedprice double").write.parquet(
+        f"{tmp_path}/lineitem.parquet")
+    got = [sorted(map(tuple, fixture_costs(spark, str(tmp_path), hot_rows=n).collect()), key=str) for n in (5, 1000)]
+    assert got[0] == got[1]
+    assert [(r[0], int(r[1])) for r in got[0]] == [("PL00000001", 500), ("PL00000002", 60), (None, 9)]
+
+
 def test_funnel_matches_fixture_counts(spark, sf_small):
     f = {r.rule_no: r.rejected for r in Q.plan_funnel(fixture_plans(spark, sf_small)).collect()}
     assert f == {1: 5, 2: 16, 4: 42, 5: 1, 6: 2, 7: 223}
